@@ -20,6 +20,16 @@ def minute(ts: Column) -> Column:
     return F.date_trunc("minute", ts)
 
 
+def period(ts: Column, grain: str) -> Column:
+    """First day of the storage period (``day``, ``month`` …) that holds ``ts``."""
+    return F.to_date(F.date_trunc(grain, ts))
+
+
+def day_of_key(key: Column) -> Column:
+    """The day a ``date_key`` stands for."""
+    return F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
+
+
 def slot(ts: Column, minutes: int = 15) -> Column:
     """Start of the fixed-width slot that holds ``ts``."""
     width = minutes * 60

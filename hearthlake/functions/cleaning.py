@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from hearthlake.schemas import ROOM_NAMES, SENSOR_BOUNDS, SEVERITY_PATTERNS
 
 
-def to_number(raw: Column) -> Column:
-    """Double of a payload value given as text: JSON booleans count as 1 and 0, unreadable text gives null.
+def number_sql(raw: str) -> str:
+    """SQL for the double of a value given as text: JSON booleans count as 1 and 0, unreadable text gives null.
 
-    A trailing Java float suffix (``12d``) is not a number in a payload, although a plain cast takes it for one.
+    A trailing Java float suffix (``12d``) is no number in a payload, although a plain cast takes it for one.
     """
-    suffixed = raw.rlike(r"[0-9.][dDfF]\s*$")
-    return F.when(raw == "true", 1.0).when(raw == "false", 0.0).when(~suffixed, raw.try_cast("double"))
+    return (
+        f"CASE {raw} WHEN 'true' THEN 1D WHEN 'false' THEN 0D "
+        f"ELSE CASE WHEN NOT rlike({raw}, '[0-9.][dDfF] *$') THEN try_cast({raw} AS DOUBLE) END END"
+    )
+
+
+def to_number(raw: Column) -> Column:
+    """Double of a text cell by the plain rules, without booleans; unreadable text gives null."""
+    return F.when(~raw.rlike(r"[0-9.][dDfF]\s*$"), raw.try_cast("double"))
 
 
 def normalise(value: Column, mapping: dict[str, str]) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,91 +15,81 @@ PAYLOAD_SCHEMA = (
     f"humidities {_ROOMS}, consumptions {_ROOMS}, _corrupt string"
 )
 SECTIONS = ["plugs", "doorsWindows", "motions", "meteos", "humidities", "consumptions"]
-_NO_READINGS = (
-    "array<struct<room:string,sensor_type:string,field:string,unit:string,raw:string,value:double>>"
-)
-
-
-def _reading(room: Column, sensor_type: Column, field: str, unit: str, raw: Column, value: Column) -> Column:
-    return F.struct(
-        room.alias("room"),
-        sensor_type.alias("sensor_type"),
-        F.lit(field).alias("field"),
-        F.lit(unit).alias("unit"),
-        raw.alias("raw"),
-        value.alias("value"),
-    )
-
-
-def _meteo_rooms(meteos: Column) -> Column:
-    """Rooms of the meteo section, which may or may not be wrapped in an inner ``meteo`` object."""
-    outer = F.from_json(meteos, "map<string,string>")
-    inner = F.when(F.map_contains_key(outer, "meteo"), outer["meteo"]).otherwise(meteos)
-    return F.from_json(inner, _ROOMS)
-
-
-def _room_readings(section: str, rooms: Column) -> Column:
-    """Readings of a room -> object section; absent and null fields give none."""
-    kind = F.lit(SECTION_TYPE[section])
-
-    def of_room(entry: Column) -> Column:
-        cells = [
-            _reading(entry["key"], kind, field, unit, entry["value"][source], cleaning.to_number(entry["value"][source]))
-            for source, field, unit in SECTION_FIELDS[section]
-        ]
-        return F.filter(F.array(*cells), lambda r: r["raw"].isNotNull())
-
-    return F.flatten(F.transform(F.map_entries(rooms), of_room))
-
-
-def _contacts(raw: Column) -> Column:
-    """Door and window sensors of one room: a list, or a single object standing for a list of one."""
-    many = F.from_json(raw, "array<map<string,string>>")
-    one = F.array(F.from_json(raw, "map<string,string>"))
-    return F.when(raw.startswith("["), many).otherwise(one)
 
-
-def _contact_rooms(section: Column) -> Column:
-    return F.transform(
-        F.map_entries(section),
-        lambda e: F.struct(e["key"].alias("room"), _contacts(e["value"]).alias("sensors")),
+# Section columns once parsed: rooms of plain sections, the meteo rooms, and the door and window sensors per room.
+_ROOM_COLUMNS = {
+    "plugs": "payload.plugs",
+    "motions": "payload.motions",
+    "meteos": "meteo_rooms",
+    "humidities": "payload.humidities",
+    "consumptions": "payload.consumptions",
+}
+
+# The meteo section may or may not be wrapped in an inner object named meteo.
+_METEO_ROOMS = f"""
+from_json(
+  CASE WHEN map_contains_key(from_json(payload.meteos, 'map<string,string>'), 'meteo')
+       THEN from_json(payload.meteos, 'map<string,string>')['meteo'] ELSE payload.meteos END,
+  '{_ROOMS}')"""
+
+# Sensors of one room are a list, or a single object standing for a list of one.
+_CONTACTS = """
+transform(map_entries(payload.doorsWindows), e -> named_struct('room', e.key, 'sensors',
+  CASE WHEN startswith(e.value, '[') THEN from_json(e.value, 'array<map<string,string>>')
+       ELSE array(from_json(e.value, 'map<string,string>')) END))"""
+
+
+def _cell(room: str, sensor_type: str, field: str, unit: str, raw: str) -> str:
+    return (
+        f"named_struct('room', {room}, 'sensor_type', {sensor_type}, 'field', '{field}', 'unit', '{unit}', 'raw', {raw})"
     )
 
 
-def _contact_readings(rooms: Column) -> Column:
-    def of_sensor(room: Column, sensor: Column) -> Column:
-        kind = F.lower(F.coalesce(sensor["type"], F.lit("door")))
-        is_open = F.when(F.lower(sensor["switch"]) == "on", 1.0).otherwise(0.0)
-        battery = _reading(room, kind, "battery", "%", sensor["battery"], cleaning.to_number(sensor["battery"]))
-        opened = _reading(room, kind, "open", "bool", F.lit("open"), is_open)
-        return F.filter(F.array(opened, battery), lambda r: r["raw"].isNotNull())
-
-    def of_room(entry: Column) -> Column:
-        return F.flatten(F.transform(entry["sensors"], lambda s: of_sensor(entry["room"], s)))
+def _room_cells(section: str) -> str:
+    """All cells of a room -> object section, whether or not the payload has them."""
+    kind = f"'{SECTION_TYPE[section]}'"
+    cells = [_cell("e.key", kind, field, unit, f"e.value['{key}']") for key, field, unit in SECTION_FIELDS[section]]
+    return f"flatten(transform(map_entries({_ROOM_COLUMNS[section]}), e -> array({', '.join(cells)})))"
 
-    return F.flatten(F.transform(rooms, of_room))
 
+def _contact_cells() -> str:
+    """Open state of every door and window sensor, and its battery."""
+    kind = "lower(coalesce(s['type'], 'door'))"
+    opened = "CASE WHEN lower(s['switch']) = 'on' THEN '1' ELSE '0' END"
+    cells = [_cell("r.room", kind, "open", "bool", opened), _cell("r.room", kind, "battery", "%", "s['battery']")]
+    return f"flatten(transform(contacts, r -> flatten(transform(r.sensors, s -> array({', '.join(cells)})))))"
 
-def _any_null(values: Column) -> Column:
-    return F.coalesce(F.exists(values, lambda v: v.isNull()), F.lit(False))
 
+def _readings() -> str:
+    """The cells that hold something, their values read as numbers."""
+    per_section = [_contact_cells() if name == "doorsWindows" else _room_cells(name) for name in SECTIONS]
+    cells = ", ".join(f"coalesce({cells}, array())" for cells in per_section)
+    return f"""transform(filter(concat({cells}), c -> c.raw IS NOT NULL), c -> named_struct(
+        'room', c.room, 'sensor_type', c.sensor_type, 'field', c.field, 'unit', c.unit,
+        'value', {cleaning.number_sql("c.raw")}))"""
 
-def _bad_contacts(rooms: Column) -> Column:
-    """A sensor that is no object, or whose type is an explicit null."""
 
-    def bad(sensor: Column) -> Column:
-        return sensor.isNull() | (F.map_contains_key(sensor, "type") & sensor["type"].isNull())
-
-    return F.coalesce(
-        F.exists(rooms, lambda r: r["sensors"].isNull() | F.exists(r["sensors"], bad)), F.lit(False)
-    )
-
-
-def _null_section(section: str) -> Column:
-    """The section is there but holds null. The keys are listed only when the name occurs in an unparsed section."""
-    suspected = F.col(f"payload.{section}").isNull() & F.col("value").contains(f'"{section}"')
-    listed = F.array_contains(F.json_object_keys("value"), section)
-    return F.when(suspected, F.coalesce(listed, F.lit(False))).otherwise(F.lit(False))
+def _bad() -> str:
+    """Whether any part of the file cannot be read: the document, a section, a room, a sensor or a value."""
+    rooms = [f"exists(map_values({column}), v -> v IS NULL)" for column in _ROOM_COLUMNS.values()]
+    # A section that holds null; its keys are listed only when the name occurs although the section is null.
+    nulls = [
+        f"""CASE WHEN payload.{name} IS NULL AND contains(value, '"{name}"')
+            THEN array_contains(json_object_keys(value), '{name}') ELSE false END"""
+        for name in SECTIONS
+    ]
+    sensors = """exists(contacts, r -> r.sensors IS NULL OR exists(r.sensors,
+        s -> s IS NULL OR (map_contains_key(s, 'type') AND s['type'] IS NULL)))"""
+    parts = [
+        "payload IS NULL",
+        "payload._corrupt IS NOT NULL",
+        "payload.meteos IS NOT NULL AND meteo_rooms IS NULL",
+        sensors,
+        "exists(readings, r -> r.value IS NULL)",
+        *rooms,
+        *nulls,
+    ]
+    return " OR ".join(f"coalesce({part}, false)" for part in parts)
 
 
 def parse_payloads(raw: DataFrame) -> DataFrame:
@@ -111,52 +99,30 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
     The check needs no shuffle because a file is still one row here. Readings take the payload's own time, else the
     time in the file name, else the file's modification time.
     """
-    parsed = raw.withColumn(
-        "payload",
-        F.from_json("value", PAYLOAD_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
-    )
-    parsed = parsed.withColumns(
-        {"meteo_rooms": _meteo_rooms(F.col("payload.meteos")), "contacts": _contact_rooms(F.col("payload.doorsWindows"))}
+    payload = F.from_json("value", PAYLOAD_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = (
+        raw.withColumn("payload", payload)
+        .withColumns({"meteo_rooms": F.expr(_METEO_ROOMS), "contacts": F.expr(_CONTACTS)})
+        .withColumn("readings", F.expr(_readings()))
     )
-    rooms = {
-        "plugs": F.col("payload.plugs"),
-        "motions": F.col("payload.motions"),
-        "meteos": F.col("meteo_rooms"),
-        "humidities": F.col("payload.humidities"),
-        "consumptions": F.col("payload.consumptions"),
-    }
-    arrays = [
-        _contact_readings(F.col("contacts")) if name == "doorsWindows" else _room_readings(name, rooms[name])
-        for name in SECTIONS
-    ]
-    readings = F.concat(*[F.coalesce(a, F.array().cast(_NO_READINGS)) for a in arrays])
-    parsed = parsed.withColumn("readings", readings)
-
-    bad_parts = [
-        F.col("payload").isNull(),
-        F.col("payload._corrupt").isNotNull(),
-        F.col("payload.meteos").isNotNull() & F.col("meteo_rooms").isNull(),
-        _bad_contacts(F.col("contacts")),
-        F.exists("readings", lambda r: r["value"].isNull()),
-        *[_any_null(F.map_values(column)) for column in rooms.values()],
-        *[_null_section(name) for name in SECTIONS],
-    ]
-    ts = calendar.parse_sensor_ts(F.col("payload.datetime"), F.coalesce("file_ts", "modified"))
+    file_ts = F.coalesce("file_ts", "modified")
     return parsed.select(
         "path",
         "name",
         "apartment",
-        F.coalesce("file_ts", "modified").alias("file_ts"),
-        ts.alias("timestamp"),
-        reduce(lambda a, b: a | b, [F.coalesce(p, F.lit(False)) for p in bad_parts]).alias("is_bad"),
+        file_ts.alias("file_ts"),
+        calendar.parse_sensor_ts(F.col("payload.datetime"), file_ts).alias("timestamp"),
+        F.expr(_bad()).alias("is_bad"),
         "readings",
     )
 
 
 def readings_of(parsed: DataFrame) -> DataFrame:
     """Long readings of the good files, with ``_file_ts`` and ``_path`` to order equal keys by."""
-    long = parsed.filter(~F.col("is_bad")).select(
-        "apartment", "timestamp", F.col("file_ts").alias("_file_ts"), F.col("path").alias("_path"), F.inline("readings")
+    # A filter on is_bad would be pushed below the projection that parses, and parse every payload again for it.
+    good = F.when(~F.col("is_bad"), F.col("readings"))
+    long = parsed.select(
+        "apartment", "timestamp", F.col("file_ts").alias("_file_ts"), F.col("path").alias("_path"), F.inline(good)
     )
     return long.select(
         "apartment",
@@ -179,7 +145,8 @@ def flatten_sensors(raw: DataFrame) -> DataFrame:
 
 def quarantined(parsed: DataFrame) -> DataFrame:
     """Files rejected as a whole; they stay out of the manifest and are tried again."""
-    return parsed.filter("is_bad").select("path", "name", "apartment", "file_ts")
+    once = F.explode(F.when(F.col("is_bad"), F.array(F.lit(True))))  # not a filter, see readings_of
+    return parsed.select("path", "name", "apartment", "file_ts", once.alias("is_bad")).drop("is_bad")
 
 
 def last_reading_order() -> list[Column]:

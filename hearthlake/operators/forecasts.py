@@ -24,10 +24,6 @@ def not_before(ts: Column, year: int) -> Column:
     return ts >= F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp")
 
 
-def _number(raw: Column) -> Column:
-    return F.when(~raw.rlike(r"[0-9.][dDfF]\s*$"), raw.try_cast("double"))
-
-
 def without_sentinel(value: Column, sentinel: float = WEATHER_SENTINEL) -> Column:
     return F.nullif(value, F.lit(sentinel))
 
@@ -47,8 +43,8 @@ def _typed(raw: DataFrame) -> DataFrame:
     return raw.withColumns(
         {
             "timestamp": F.col("Time").try_cast("timestamp"),
-            "value": without_sentinel(_number(F.col("Value"))),
-            "run": _number(F.col("Prediction")),
+            "value": without_sentinel(cleaning.to_number(F.col("Value"))),
+            "run": cleaning.to_number(F.col("Prediction")),
         }
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -31,13 +31,17 @@ MINUTE_FACTS: dict[str, Callable] = {
 }
 
 
-def _dated(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("date", T.DateType())])
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("period", T.DateType())])
 
 
 @dataclass
 class Lake:
-    """A folder of tables plus the settings of one installation."""
+    """A folder of tables plus the settings of one installation.
+
+    ``grain`` is the period of a stored partition. A day suits a steady stream of readings, where each tick rewrites
+    the current day; sparse history is better kept by month, so that partitions do not become tiny.
+    """
 
     spark: SparkSession
     root: str
@@ -45,15 +49,19 @@ class Lake:
     building_patterns: dict[str, str] = field(default_factory=dict)  # pattern in building name -> apartment
     weather_sites: list[str] = field(default_factory=list)
     min_year: int = schemas.WEATHER_MIN_YEAR
+    grain: str = "day"
+
+    def with_period(self, df: DataFrame, ts: str = "timestamp") -> DataFrame:
+        return df.withColumn("period", calendar.period(F.col(ts), self.grain))
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def readings(self) -> DataFrame:
-        return tables.read(self.spark, self.path(SENSOR_EVENTS), _dated(schemas.READINGS))
+        return tables.read(self.spark, self.path(SENSOR_EVENTS), _stored(schemas.READINGS))
 
     def forecasts(self) -> DataFrame:
-        return tables.read(self.spark, self.path(FORECASTS), _dated(schemas.FORECASTS))
+        return tables.read(self.spark, self.path(FORECASTS), _stored(schemas.FORECASTS))
 
     def errors(self) -> DataFrame:
         return tables.read(self.spark, self.path(DI_ERRORS), schemas.DI_ERRORS)
@@ -81,32 +89,32 @@ def _mark_done(lake: Lake, names: DataFrame, table: str, now: datetime) -> None:
 
 
 def load_sensors(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
-    """Flatten, upsert and mark a batch of sensor files; returns the dates it touched.
+    """Flatten, upsert and mark a batch of sensor files; returns the periods it touched.
 
     The batch is parsed once. Readings are stored before their files are marked, so a failure in between only
     means that the same files are upserted again.
     """
     keyed = sensors.with_file_keys(raw, lake.apartment_map).filter(F.col("apartment").isNotNull())
     parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
-    readings = flatten.readings_of(parsed).withColumn("date", F.to_date("timestamp"))
+    readings = lake.with_period(flatten.readings_of(parsed))
     tables.upsert(
-        readings, lake.path(SENSOR_EVENTS), schemas.READING_KEY, "date", order_by=flatten.last_reading_order()
+        readings, lake.path(SENSOR_EVENTS), schemas.READING_KEY, "period", order_by=flatten.last_reading_order()
     )
     flatten.quarantined(parsed).write.mode("append").parquet(lake.path(QUARANTINE))
     _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
     good = parsed.filter(~F.col("is_bad") & (F.size("readings") > 0))
-    return good.select(F.to_date("timestamp").alias("date")).distinct()
+    return lake.with_period(good).select("period").distinct()
 
 
 def load_weather(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
-    """Clean, upsert and mark a batch of forecast files; returns the dates it touched."""
+    """Clean, upsert and mark a batch of forecast files; returns the periods it touched."""
     usable = session.materialise(forecasts.usable_files(raw, lake.min_year), "usable_forecasts")
-    clean = forecasts.clean_forecasts(usable, lake.min_year).withColumn("date", F.to_date("timestamp"))
+    clean = lake.with_period(forecasts.clean_forecasts(usable, lake.min_year))
     tables.upsert(
-        clean, lake.path(FORECASTS), schemas.FORECAST_KEY, "date", order_by=forecasts.last_forecast_order()
+        clean, lake.path(FORECASTS), schemas.FORECAST_KEY, "period", order_by=forecasts.last_forecast_order()
     )
     _mark_done(lake, usable.select("name").distinct(), WEATHER_MANIFEST, now)
-    return clean.select("date").distinct()
+    return clean.select("period").distinct()
 
 
 # ---- silver to gold ---------------------------------------------------------------------------------------------
@@ -165,32 +173,30 @@ def refresh_dimensions(lake: Lake, readings: DataFrame, weather: DataFrame) -> d
 
 
 def _publish(lake: Lake, name: str, rows: DataFrame) -> DataFrame:
-    """Replace the days that ``rows`` covers. Facts derive from silver alone, so a failed run is simply repeated."""
-    tables.replace_partitions(rows.hint("rebalance", "date_key"), lake.path(f"gold/{name}"), ["date_key"])
+    """Replace the periods that ``rows`` covers. Facts derive from silver alone, so a failed run is simply repeated."""
+    day = calendar.day_of_key(F.col("date_key")).cast("timestamp")
+    dated = rows.withColumn("period", calendar.period(day, lake.grain))
+    tables.replace_partitions(dated.hint("rebalance", "period"), lake.path(f"gold/{name}"), ["period"])
     return lake.gold(name)
 
 
-def _on(df: DataFrame, dates: Iterable[date] | None) -> DataFrame:
-    return df if dates is None else df.filter(F.col("date").isin(list(dates)))
+def _within(df: DataFrame, periods: list[date] | None) -> DataFrame:
+    return df if periods is None else df.filter(F.col("period").isin(periods))
 
 
 def refresh_gold(
-    lake: Lake, dates: Iterable[date] | None = None, sensor: bool = True, weather: bool = True
+    lake: Lake, periods: list[date] | None = None, sensor: bool = True, weather: bool = True
 ) -> dict[str, DataFrame]:
-    """Rebuild gold for the given dates, or for all. Only those silver partitions are read."""
-    readings, outlook = _on(lake.readings(), dates), _on(lake.forecasts(), dates)
+    """Rebuild gold for the given periods, or for all. Only those silver partitions are read."""
+    readings, outlook = _within(lake.readings(), periods), _within(lake.forecasts(), periods)
     gold = refresh_dimensions(lake, readings, outlook)
     if sensor:
         for name, build in MINUTE_FACTS.items():
             gold[name] = _publish(lake, name, build(readings, gold))
-        errors = lake.errors()
-        if dates is not None:
-            errors = errors.filter(F.to_date("timestamp").isin(list(dates)))
+        errors = _within(lake.with_period(lake.errors()), periods)
         name = "fact_device_health_day"
         gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold))
-        energy = gold["fact_energy_minute"]
-        if dates is not None:
-            energy = energy.filter(F.col("date_key").isin([int(d.strftime("%Y%m%d")) for d in dates]))
+        energy = _within(gold["fact_energy_minute"], periods).drop("period")
         costed = facts.energy_with_cost(energy, gold["dim_date"], gold["dim_tariff"])
         gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed)
     if weather:
@@ -199,9 +205,9 @@ def refresh_gold(
     return gold
 
 
-def as_list(dates: DataFrame) -> list[date]:
-    """Touched dates on the driver: at most one value per calendar day."""
-    return [row[0] for row in dates.distinct().collect()]
+def as_list(periods: DataFrame) -> list[date]:
+    """Touched periods on the driver: at most one value per calendar day."""
+    return [row[0] for row in periods.distinct().collect()]
 
 
 # ---- backfill ---------------------------------------------------------------------------------------------------
@@ -221,13 +227,13 @@ def backfill(lake: Lake, raw: DataFrame, now: datetime) -> None:
     """Load history in one go: flatten, drop duplicates keeping the oldest row, verify, publish, mark."""
     keyed = sensors.with_file_keys(raw, lake.apartment_map).filter(F.col("apartment").isNotNull())
     parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
-    new = flatten.readings_of(parsed).withColumn("date", F.to_date("timestamp"))
-    old = tables.touched_partitions(lake.readings(), new, "date").withColumns(
+    new = lake.with_period(flatten.readings_of(parsed))
+    old = tables.touched_partitions(lake.readings(), new, "period").withColumns(
         {"_file_ts": F.lit(None).cast("timestamp"), "_path": F.lit(None).cast("string")}
     )
     oldest_first = [F.asc_nulls_first("_file_ts"), F.asc_nulls_first("_path"), F.asc_nulls_last("value"), F.asc("unit")]
     merged = dedupe.one_per_key(old.unionByName(new), schemas.READING_KEY, oldest_first).drop("_file_ts", "_path")
     staged = session.materialise(merged, "backfill")
     verify_unique(staged, schemas.READING_KEY)
-    tables.replace_partitions(staged.hint("rebalance", "date"), lake.path(SENSOR_EVENTS), ["date"])
+    tables.replace_partitions(staged.hint("rebalance", "period"), lake.path(SENSOR_EVENTS), ["period"])
     _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)

@@ -125,10 +125,10 @@ def predict_consumption(model: PipelineModel, rows: DataFrame, made_at: Column)
     return _prediction(scored, DAY, "linear_regression", "Consumption", made_at, cells)
 
 
-def store_predictions(predictions: DataFrame, path: str) -> None:
+def store_predictions(predictions: DataFrame, path: str, grain: str = "day") -> None:
     """Upsert predictions; one row per room, slot and model."""
-    dated = predictions.withColumn("date", F.to_date("timestamp_rounded"))
-    tables.upsert(dated, path, PREDICTION_KEY, "date")
+    dated = predictions.withColumn("period", calendar.period(F.col("timestamp_rounded"), grain))
+    tables.upsert(dated, path, PREDICTION_KEY, "period")
 
 
 def backtest(predictions: DataFrame, predicted: str, actual: str) -> DataFrame:

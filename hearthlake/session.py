@@ -53,6 +53,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/hearthlake/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores; larger scans are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -43,25 +43,25 @@ def with_file_keys(df: DataFrame, apartment_map: dict[str, str], name_col: str =
     )
 
 
-def land_payloads(raw: DataFrame, path: str) -> None:
-    """Append payloads to the bronze table, one Parquet partition per apartment and day.
+def land_payloads(raw: DataFrame, path: str, grain: str = "day") -> None:
+    """Append payloads to the bronze table, one Parquet partition per apartment and period.
 
-    Replaces a tree of tiny compressed files. ``rebalance`` sizes the output files and splits a day or an apartment
-    that holds far more than its share over several tasks.
+    Replaces a tree of tiny compressed files. ``rebalance`` sizes the output files and splits a period or an
+    apartment that holds far more than its share over several tasks.
     """
-    day = F.to_date(F.coalesce("file_ts", "modified"))
-    landed = raw.filter(F.col("apartment").isNotNull()).withColumn("date", day)
+    period = calendar.period(F.coalesce("file_ts", "modified"), grain)
+    landed = raw.filter(F.col("apartment").isNotNull()).withColumn("period", period)
     (
-        landed.hint("rebalance", "apartment", "date")
+        landed.hint("rebalance", "apartment", "period")
         .write.mode("append")
-        .partitionBy("apartment", "date")
+        .partitionBy("apartment", "period")
         .option("compression", "zstd")
         .parquet(path)
     )
 
 
 BRONZE_SCHEMA = (
-    "path string, name string, modified timestamp, value string, file_ts timestamp, apartment string, date date"
+    "path string, name string, modified timestamp, value string, file_ts timestamp, apartment string, period date"
 )
 
 

@@ -31,10 +31,10 @@ def ingest_sensors(
     refresh: bool = True,
     clock: Callable[[], datetime] = utc_now,
 ) -> StreamingQuery:
-    """A stream of payloads (from raw files or from landed ones) to silver, and gold for the dates touched.
+    """A stream of payloads (from raw files or from landed ones) to silver, and gold for the periods touched.
 
     The checkpoint remembers which files were taken. A batch that is replayed after a failure upserts the same keys
-    again, so the tables end up the same. Late files need no bound: their dates are simply recomputed.
+    again, so the tables end up the same. Late files need no bound: their periods are simply recomputed.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -54,7 +54,7 @@ def ingest_weather(
     refresh: bool = True,
     clock: Callable[[], datetime] = utc_now,
 ) -> StreamingQuery:
-    """A stream of forecast rows to silver, and the weather fact for the dates each batch touched."""
+    """A stream of forecast rows to silver, and the weather fact for the periods each batch touched."""
 
     def handle(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():

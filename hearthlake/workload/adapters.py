@@ -31,7 +31,7 @@ def _kind(*names: str) -> Column:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     room = F.element_at(F.array(*[F.lit(r) for r in RAW_ROOMS]), (F.col("user_id") % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "events").select(
+    return session.spread(table(spark, sf_dir, "events").drop("props")).select(
         F.col("event_id").alias("id"),
         F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
         F.when(F.col("user_id") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment"),
@@ -48,7 +48,8 @@ def _shifted(day: str) -> Column:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     at_minute = F.unix_timestamp(_shifted("o_orderdate")) + (F.col("o_orderkey") % 1440) * 60
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return session.spread(orders).select(
         F.col("o_orderkey").alias("id"),
         F.timestamp_seconds(at_minute).alias("ts"),
         F.when(F.col("o_custkey") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment"),

@@ -567,8 +567,8 @@ def _predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         "consumption": (ml.fit_consumption, ml.predict_consumption),
     }[kind]
     path = session.new_path(spark, f"fact_prediction_{kind}")
-    ml.store_predictions(predict(fit(past), rows, made_at), path)
-    return spark.read.parquet(path).drop("date")
+    ml.store_predictions(predict(fit(past), rows, made_at), path, "year")
+    return spark.read.parquet(path).drop("period")
 
 
 @query()

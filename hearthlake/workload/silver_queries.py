@@ -17,6 +17,7 @@ from hearthlake.streaming import ingest
 from hearthlake.workload import adapters, oracles
 from hearthlake.workload.registry import query, rounded, rounded_sql
 
+_GRAIN = "year"  # a few readings a day over seven years: smaller partitions would be tiny files
 _NOW = datetime.fromisoformat(adapters.NOW)
 _READING = 'apartment, room, sensor_type, field, value, unit, "timestamp", is_outlier'
 
@@ -27,7 +28,12 @@ def _keyed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lake(spark: SparkSession) -> lakes.Lake:
     return lakes.Lake(
-        spark, session.new_path(spark, "lake"), adapters.APARTMENT_MAP, adapters.APARTMENT_MAP, adapters.SITES
+        spark,
+        session.new_path(spark, "lake"),
+        adapters.APARTMENT_MAP,
+        adapters.APARTMENT_MAP,
+        adapters.SITES,
+        grain=_GRAIN,
     )
 
 
@@ -39,15 +45,15 @@ def _silver(df: DataFrame) -> DataFrame:
 
 
 @query(
-    """SELECT CASE WHEN user_id % 2 = 0 THEN 'apt_a' ELSE 'apt_b' END AS apartment, count(*) AS files,
-       sum(value) AS total FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS value FROM events) GROUP BY 1"""
+    """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'apt_a' ELSE 'apt_b' END AS apartment, count(*) AS files,
+       sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS total FROM customer GROUP BY 1"""
 )
 def sensor_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON file per event, found recursively and read whole."""
+    """One JSON file per customer, found recursively and read whole."""
     root = session.new_path(spark, "json_files")
-    events = adapters.table(spark, sf_dir, "events")
-    apartment = F.when(F.col("user_id") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment")
-    payload = events.select(apartment, F.struct("event_id", "value").alias("reading"))
+    customers = adapters.table(spark, sf_dir, "customer").repartition("c_custkey")
+    apartment = F.when(F.col("c_custkey") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment")
+    payload = customers.select(apartment, F.struct("c_custkey", F.col("c_acctbal").alias("value")).alias("reading"))
     payload.write.partitionBy("apartment").option("maxRecordsPerFile", 1).json(root)
     files = sensors.read_sensor_files(spark, root)
     folder = F.regexp_extract("path", "apartment=([^/]+)/", 1)
@@ -133,15 +139,15 @@ def prediction_date_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     oracles.over_readings(
-        """SELECT apartment, CAST(ts AS DATE) AS date, count(*) AS files FROM (
+        """SELECT apartment, CAST(date_trunc('year', ts) AS DATE) AS period, count(*) AS files FROM (
              SELECT apartment, ts FROM ev_all UNION ALL SELECT apartment, ts FROM ord) GROUP BY 1, 2"""
     )
 )
 def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads landed as Parquet partitioned by apartment and day."""
+    """Payloads landed as Parquet partitioned by apartment and period."""
     path = session.new_path(spark, "bronze")
-    sensors.land_payloads(_keyed_payloads(spark, sf_dir), path)
-    return sensors.read_bronze(spark, path).groupBy("apartment", "date").agg(F.count(F.lit(1)).alias("files"))
+    sensors.land_payloads(_keyed_payloads(spark, sf_dir), path, _GRAIN)
+    return sensors.read_bronze(spark, path).groupBy("apartment", "period").agg(F.count(F.lit(1)).alias("files"))
 
 
 def _listing_and_manifest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -194,7 +200,7 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files, bytes and newest modification per apartment of the landed payloads."""
     path = session.new_path(spark, "bronze")
-    sensors.land_payloads(_keyed_payloads(spark, sf_dir), path)
+    sensors.land_payloads(_keyed_payloads(spark, sf_dir), path, _GRAIN)
     source = F.regexp_extract("path", "apartment=([^/]+)/", 1)
     return listing.footprint(listing.list_files(spark, path, "*.parquet"), source)
 
@@ -208,11 +214,12 @@ _UPSERTED = """SELECT apartment, room, sensor_type, field,
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches upserted by key; the second corrects some of the first and is then replayed."""
     path = session.new_path(spark, "sensor_events")
-    first = adapters.readings(spark, sf_dir).withColumn("date", F.to_date("timestamp"))
+    period = calendar.period(F.col("timestamp"), _GRAIN)
+    first = adapters.readings(spark, sf_dir).withColumn("period", period)
     second = first.filter(F.col("field").isin("battery", "open")).withColumn("value", F.col("value") + 1)
     for batch in (first, second, second):
-        tables.upsert(batch, path, schemas.READING_KEY, "date", order_by=flatten.last_reading_order())
-    return _silver(tables.read(spark, path, first.select(*[f.name for f in schemas.READINGS], "date").schema))
+        tables.upsert(batch, path, schemas.READING_KEY, "period", order_by=flatten.last_reading_order())
+    return _silver(tables.read(spark, path, first.select(*[f.name for f in schemas.READINGS], "period").schema))
 
 
 @query("SELECT DISTINCT l_partkey AS part FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25)")
@@ -322,7 +329,7 @@ def weather_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = session.materialise(adapters.raw_forecasts(spark, sf_dir), "raw_forecasts")
     for _ in range(2):
         lakes.load_weather(lake, raw, _NOW)
-    return rounded(lake.forecasts().drop("date"))
+    return rounded(lake.forecasts().drop("period"))
 
 
 _SEVERITY = """CASE WHEN regexp_matches(lower({0}), 'fatal|crash|down|offline') THEN 'high'
@@ -484,7 +491,7 @@ def stopped_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed payloads streamed to silver and on to the gold of the touched dates, in one catch-up run."""
     lake = _lake(spark)
-    sensors.land_payloads(_keyed_payloads(spark, sf_dir), lake.path("bronze/sensors"))
+    sensors.land_payloads(_keyed_payloads(spark, sf_dir), lake.path("bronze/sensors"), _GRAIN)
     stream = sensors.stream_bronze(spark, lake.path("bronze/sensors"), max_files=1_000_000)
     ingest.ingest_sensors(lake, stream, every=None, clock=lambda: _NOW).awaitTermination()
     energy = lake.gold("fact_energy_minute").join(lake.gold("dim_device").select("device_key", "device_id"), "device_key")
