@@ -171,8 +171,5 @@ def dim_weather_site(sites: DataFrame, existing: DataFrame | None = None) -> Dat
 
 def link_weather_site(apartments: DataFrame, sites: DataFrame, first_site: str) -> DataFrame:
     """Give apartments without a weather site the first configured one."""
-    linked = apartments.withColumn("site_name", F.lit(first_site)).join(
-        sites.select("site_name", "site_key"), "site_name", "left"
-    )
-    key = F.coalesce("weather_site_key", "site_key")
-    return linked.withColumn("weather_site_key", key).select(*apartments.columns)
+    first = sites.filter(F.col("site_name") == first_site).select(F.max("site_key")).scalar()
+    return apartments.withColumn("weather_site_key", F.coalesce(F.col("weather_site_key"), first))

@@ -99,14 +99,6 @@ def measure(
     return aggregate([name], tables, by, where)
 
 
-def _join_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Join two aggregates on their groups; without groups ``right`` is a single row, which goes to every row."""
-    if by:
-        return left.join(right, by, "full")
-    one = F.lit(1).alias("__one")
-    return left.select("*", one).join(F.broadcast(right.select("*", one)), "__one", "left").drop("__one")
-
-
 def daily_cost(tables: dict[str, DataFrame], by: list[str] = (), where: dict[str, list] | None = None) -> DataFrame:
     """Total cost over the number of calendar dates under the same filter.
 
@@ -121,7 +113,10 @@ def daily_cost(tables: dict[str, DataFrame], by: list[str] = (), where: dict[str
         if column in date_columns:
             dates = dates.filter(F.col(column).isin(values))
     days = dates.groupBy(*date_by).agg(F.count_distinct("date").alias("days"))
-    joined = cost.join(days, date_by, "left") if date_by else _join_groups(cost, days, [])
+    if date_by:
+        joined = cost.join(days, date_by, "left")
+    else:
+        joined = cost.withColumn("days", days.scalar())
     return joined.select(*by, (F.col("total_cost_chf").cast("double") / F.nullif("days", F.lit(0))).alias("daily_cost_chf"))
 
 
@@ -134,8 +129,8 @@ def temperature_delta(
     """
     indoor = aggregate(["avg_indoor_temp_c"], tables, by, where)
     outdoor = aggregate(["avg_outdoor_temp_c"], tables, by, where)
-    delta = F.col("avg_indoor_temp_c") - F.col("avg_outdoor_temp_c")
-    return _join_groups(indoor, outdoor, list(by)).select(*by, delta.alias("temp_delta_c"))
+    both = indoor.join(outdoor, list(by), "full") if by else indoor.withColumn("avg_outdoor_temp_c", outdoor.scalar())
+    return both.select(*by, (F.col("avg_indoor_temp_c") - F.col("avg_outdoor_temp_c")).alias("temp_delta_c"))
 
 
 def drill_down(name: str, tables: dict[str, DataFrame], where: dict[str, list] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hearthlake import session
 from hearthlake.functions import calendar, cleaning
 from hearthlake.plans import dimensions, facts
+from hearthlake.schemas import WEATHER_MEASUREMENTS, WEATHER_MIN_YEAR
 
 APARTMENT_MAP = {"alpha": "apt_a", "beta": "apt_b"}
 RAW_ROOMS = ["Bhroom", "Bdroom", "Livingroom", "Office", "Attic"]
@@ -136,71 +137,58 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_events.unionByName(from_orders)
 
 
-def _cell(sensor_type, field: str, value: Column, unit: str, room: Column | None = None) -> Column:
-    return F.struct(
-        (F.col("room") if room is None else room).alias("room"),
-        (F.lit(sensor_type) if isinstance(sensor_type, str) else sensor_type).alias("sensor_type"),
-        F.lit(field).alias("field"),
-        value.cast("double").alias("value"),
-        F.lit(unit).alias("unit"),
-    )
+def _cells(room: str, *cells: tuple[str, str, str, str]) -> str:
+    """SQL array of readings from (sensor_type, field, value, unit)."""
+    structs = [
+        f"named_struct('room', {room}, 'sensor_type', '{kind}', 'field', '{field}', 'value', double({value}), 'unit', '{unit}')"
+        for kind, field, value, unit in cells
+    ]
+    return f"array({', '.join(structs)})"
+
+
+_HUMIDITY = [("humidity", "temperature", "v / 2", "C"), ("humidity", "humidity", "v", "%"), ("humidity", "battery", "v", "%")]
+_CELLS = {
+    "event_type = 'click'": [("plug", "power", "v * 30", "W"), ("plug", "total", "v * 100", "Wh")],
+    "event_type = 'purchase'": [("plug", "power", "v", "W"), ("plug", "total", "v * 10", "Wh")],
+    "event_type = 'view'": [
+        ("meteo", "temperature_c", "v", "C"),
+        ("meteo", "co2_ppm", "v * 20", "ppm"),
+        ("meteo", "humidity_pct", "v", "%"),
+        ("meteo", "noise_db", "v", "dB"),
+        ("meteo", "pressure_hpa", "v + 850", "hPa"),
+        ("meteo", "abs_pressure_hpa", "900", "hPa"),
+        ("meteo", "battery", "v", "%"),
+    ],
+    "event_type = 'signup'": [
+        ("motion", "motion", "int(id % 3 = 0)", "bool"),
+        ("motion", "light", "user_id", "lux"),
+        ("motion", "temperature", "v", "C"),
+    ],
+    "event_type = 'error' AND id % 2 = 0": [
+        ("door", "open", "int(id % 5 < 2)", "bool"),
+        ("door", "battery", "v", "%"),
+        ("window", "open", "int(id % 7 = 0)", "bool"),
+        *_HUMIDITY,
+    ],
+    "event_type = 'error' AND id % 2 = 1": [("door", "open", "int(id % 5 = 0)", "bool"), *_HUMIDITY],
+}
+_KITCHEN = [("plug", "power", "p / 50", "W"), ("plug", "total", "p", "Wh")]
+_HOUSE = [
+    ("consumption", "total_power", "p / 100", "W"),
+    ("consumption", "power1", "p / 300", "W"),
+    ("consumption", "current1", "p / 230", "A"),
+    ("consumption", "voltage1", "230", "V"),
+]
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver readings of the same files, built without going through JSON; equal keys are not yet merged."""
-    v, even = F.col("v"), F.col("id") % 2 == 0
-    click_or = F.when(_kind("click"), 30.0).otherwise(1.0)
-    plug = F.array(
-        _cell("plug", "power", v * click_or, "W"),
-        _cell("plug", "total", v * F.when(_kind("click"), 100.0).otherwise(10.0), "Wh"),
-    )
-    meteo = F.array(
-        _cell("meteo", "temperature_c", v, "C"),
-        _cell("meteo", "co2_ppm", v * 20, "ppm"),
-        _cell("meteo", "humidity_pct", v, "%"),
-        _cell("meteo", "noise_db", v, "dB"),
-        _cell("meteo", "pressure_hpa", v + 850, "hPa"),
-        _cell("meteo", "abs_pressure_hpa", F.lit(900.0), "hPa"),
-        _cell("meteo", "battery", v, "%"),
-    )
-    motion = F.array(
-        _cell("motion", "motion", (F.col("id") % 3 == 0).cast("int"), "bool"),
-        _cell("motion", "light", F.col("user_id"), "lux"),
-        _cell("motion", "temperature", v, "C"),
-    )
-    humidity = [
-        _cell("humidity", "temperature", v / 2, "C"),
-        _cell("humidity", "humidity", v, "%"),
-        _cell("humidity", "battery", v, "%"),
-    ]
-    contacts = F.array(
-        _cell("door", "open", (F.col("id") % 5 < 2).cast("int"), "bool"),
-        _cell("door", "battery", v, "%"),
-        _cell("window", "open", (F.col("id") % 7 == 0).cast("int"), "bool"),
-        *humidity,
-    )
-    contact = F.array(_cell("door", "open", (F.col("id") % 5 == 0).cast("int"), "bool"), *humidity)
-    cells = (
-        F.when(_kind("click", "purchase"), plug)
-        .when(_kind("view"), meteo)
-        .when(_kind("signup"), motion)
-        .when(even, contacts)
-        .otherwise(contact)
-    )
-    from_events = (
-        _events(spark, sf_dir).filter(~_is_unreadable()).select("apartment", "ts", *_file_columns("e"), F.inline(cells))
-    )
-    p = F.col("p")
-    house, kitchen = F.lit("House"), F.lit("Kitchen")
-    of_order = F.array(
-        _cell("plug", "power", p / 50, "W", kitchen),
-        _cell("plug", "total", p, "Wh", kitchen),
-        _cell("consumption", "total_power", p / 100, "W", house),
-        _cell("consumption", "power1", p / 300, "W", house),
-        _cell("consumption", "current1", p / 230, "A", house),
-        _cell("consumption", "voltage1", F.lit(230.0), "V", house),
-    )
-    from_orders = _orders(spark, sf_dir).select("apartment", "ts", *_file_columns("o"), F.inline(of_order))
+    cases = " ".join(f"WHEN {condition} THEN {_cells('room', *cells)}" for condition, cells in _CELLS.items())
+    of_event = F.expr(f"inline(CASE {cases} END)")
+    of_order = F.expr(f"inline(concat({_cells(repr('Kitchen'), *_KITCHEN)}, {_cells(repr('House'), *_HOUSE)}))")
+    events = _events(spark, sf_dir).filter(~_is_unreadable())
+    from_events = events.select("apartment", "ts", *_file_columns("e"), of_event)
+    from_orders = _orders(spark, sf_dir).select("apartment", "ts", *_file_columns("o"), of_order)
     return from_events.unionByName(from_orders).select(
         "apartment",
         cleaning.room_name(F.col("room")).alias("room"),
@@ -215,30 +203,60 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast rows as they stand in the CSV files, all text, with the issue date and the file they belong to."""
-    lines = table(spark, sf_dir, "lineitem")
+def _forecast_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"
+    )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    q = F.col("l_quantity")
-    kind = F.col("l_partkey") % 5
-    value = F.when(kind == 0, q * 2 - 30).when(kind == 1, q * 2.5).when(kind == 2, q / 5).otherwise(q * 35)
+    q, kind = F.col("l_quantity"), F.col("l_partkey") % 5
     hour = F.unix_timestamp(_shifted("l_shipdate")) + (F.col("l_orderkey") % 24) * 3600
-    spelled = F.concat(F.date_format(F.timestamp_seconds(hour), "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
-    measurement = (
+    return session.spread(lines).join(orders, "l_orderkey").select(
+        F.timestamp_seconds(hour).alias("hour"),
+        F.when(kind == 0, q * 2 - 30).when(kind == 1, q * 2.5).when(kind == 2, q / 5).otherwise(q * 35).alias("v"),
+        (F.col("l_discount") == 0).alias("is_sentinel"),
+        ((F.col("l_linenumber") == 7) & (q == 13)).alias("is_bad_time"),
+        "l_linenumber",
+        "l_returnflag",
         F.when(kind == 0, "PRED_T_2M_ctrl")
         .when(kind == 1, "PRED_RELHUM_2M_ctrl")
         .when(kind == 2, "PRED_TOT_PREC_ctrl")
         .when(kind == 3, "PRED_GLOB_ctrl")
         .otherwise("PRED_OTHER")
+        .alias("kind"),
+        F.to_date(_shifted("o_orderdate")).alias("issued"),
+    )
+
+
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver forecasts, built without going through text."""
+    bounds = {name: limits for name, (_, limits) in WEATHER_MEASUREMENTS.items()}
+    kept = (F.col("kind") != "PRED_OTHER") & ~F.col("is_sentinel") & ~F.col("is_bad_time")
+    return (
+        _forecast_lines(spark, sf_dir)
+        .filter(kept & (F.col("hour") >= F.lit(f"{WEATHER_MIN_YEAR}-01-01").cast("timestamp")))
+        .select(
+            F.col("hour").alias("timestamp"),
+            F.col("l_returnflag").alias("site"),
+            F.col("l_linenumber").cast("smallint").alias("prediction"),
+            F.col("issued").alias("prediction_date"),
+            F.col("kind").alias("measurement"),
+            F.col("v").alias("value"),
+            F.lit("unit").alias("unit"),
+            cleaning.is_outlier(F.col("kind"), F.col("v"), bounds).alias("is_outlier"),
+        )
     )
-    name = F.concat(F.lit("Pred_"), F.date_format(_shifted("o_orderdate"), "yyyy-MM-dd"), F.lit(".csv"))
-    bad_time = (F.col("l_linenumber") == 7) & (q == 13)
-    return lines.join(orders, "l_orderkey").select(
-        F.when(bad_time, "not a time").otherwise(spelled).alias("Time"),
-        F.when(F.col("l_discount") == 0, "-99999.0").otherwise(value.cast("string")).alias("Value"),
+
+
+def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast rows as they stand in the CSV files, all text, with the issue date and the file they belong to."""
+    spelled = F.concat(F.date_format("hour", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
+    name = F.concat(F.lit("Pred_"), F.date_format("issued", "yyyy-MM-dd"), F.lit(".csv"))
+    return _forecast_lines(spark, sf_dir).select(
+        F.when(F.col("is_bad_time"), "not a time").otherwise(spelled).alias("Time"),
+        F.when(F.col("is_sentinel"), "-99999.0").otherwise(F.col("v").cast("string")).alias("Value"),
         F.lpad(F.col("l_linenumber").cast("string"), 2, "0").alias("Prediction"),
         F.concat(F.lit(' "'), F.col("l_returnflag"), F.lit('" ')).alias("Site"),
-        measurement.alias("Measurement"),
+        F.col("kind").alias("Measurement"),
         F.lit(" unit ").alias("Unit"),
         name.alias("path"),
         name.alias("name"),
@@ -293,10 +311,9 @@ def device_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(device.alias("sensor_id"), F.col("ts").alias("timestamp"))
 
 
-def dims(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Apartment, room and device dimensions, written once so that the facts join against tables of known size."""
-    silver = readings(spark, sf_dir) if silver is None else silver
-    found = session.materialise(dimensions.members(silver), "members")
+def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Apartment, room and device dimensions, written so that the facts join against tables of known size."""
+    found = session.materialise(dimensions.members(readings(spark, sf_dir)), "members")
     apartments = session.materialise(
         dimensions.dim_apartment(found, buildings(spark, sf_dir), APARTMENT_MAP), "dim_apartment"
     )
@@ -305,23 +322,34 @@ def dims(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> d
     return {"dim_apartment": apartments, "dim_room": rooms, "dim_device": devices}
 
 
-def clean_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from hearthlake.operators import forecasts
+_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The dimension tables as facts and measures find them: built once per session and data folder, and stored.
 
-    return forecasts.clean_forecasts(raw_forecasts(spark, sf_dir))
+    Stored tables have a known size, so a join broadcasts them exactly as long as they are small.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        silver, outlook = readings(spark, sf_dir), forecasts(spark, sf_dir)
+        gold = dims(spark, sf_dir)
+        gold["dim_weather_site"] = session.materialise(sites(spark), "dim_weather_site")
+        gold["dim_tariff"] = session.materialise(dimensions.dim_tariff(spark), "dim_tariff")
+        linked = dimensions.link_weather_site(gold["dim_apartment"], gold["dim_weather_site"], SITES[0])
+        gold["dim_apartment"] = session.materialise(linked, "dim_apartment")
+        minutes = session.materialise(dimensions.dim_datetime(silver, outlook), "dim_datetime")
+        gold["dim_datetime"] = minutes
+        days = minutes.select(F.col("timestamp_utc").alias("timestamp"))
+        gold["dim_date"] = session.materialise(dimensions.dim_date(days), "dim_date")
+        _STORED[key] = gold
+    return dict(_STORED[key])
 
 
 def star(spark: SparkSession, sf_dir: str, *facts_needed: str) -> dict[str, DataFrame]:
-    """Dimensions and the facts asked for."""
-    silver = readings(spark, sf_dir)
-    gold = dims(spark, sf_dir, silver)
-    outlook = clean_forecasts(spark, sf_dir)
-    gold["dim_weather_site"] = sites(spark)
-    gold["dim_tariff"] = dimensions.dim_tariff(spark)
-    gold["dim_apartment"] = dimensions.link_weather_site(gold["dim_apartment"], gold["dim_weather_site"], SITES[0])
-    gold["dim_date"] = dimensions.dim_date(silver, outlook)
-    if "dim_datetime" in facts_needed:
-        gold["dim_datetime"] = dimensions.dim_datetime(silver, outlook)
+    """The stored dimensions and the facts asked for."""
+    gold = stored_dims(spark, sf_dir)
+    silver, outlook = readings(spark, sf_dir), forecasts(spark, sf_dir)
     builders = {
         "fact_energy_minute": lambda: facts.fact_energy_minute(silver, gold),
         "fact_environment_minute": lambda: facts.fact_environment_minute(silver, gold),
@@ -332,7 +360,4 @@ def star(spark: SparkSession, sf_dir: str, *facts_needed: str) -> dict[str, Data
             facts.fact_energy_minute(silver, gold), gold["dim_date"], gold["dim_tariff"]
         ),
     }
-    for name in facts_needed:
-        if name in builders:
-            gold[name] = builders[name]()
-    return gold
+    return gold | {name: builders[name]() for name in facts_needed}

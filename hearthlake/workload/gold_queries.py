@@ -18,12 +18,12 @@ _CALENDAR = "day_of_week, week, month, year, is_weekend, is_holiday"
 
 @query(oracles.over_star(f"SELECT date_key, date, {_CALENDAR} FROM dim_date"))
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_date(adapters.readings(spark, sf_dir), adapters.clean_forecasts(spark, sf_dir))
+    return dimensions.dim_date(adapters.readings(spark, sf_dir), adapters.forecasts(spark, sf_dir))
 
 
 @query(oracles.over_star(f"SELECT datetime_key, timestamp_utc, date_key, hour, minute, {_CALENDAR} FROM dim_datetime"))
 def dim_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_datetime(adapters.readings(spark, sf_dir), adapters.clean_forecasts(spark, sf_dir))
+    return dimensions.dim_datetime(adapters.readings(spark, sf_dir), adapters.forecasts(spark, sf_dir))
 
 
 @query(
@@ -104,7 +104,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fact_energy_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = adapters.readings(spark, sf_dir)
-    return rounded(facts.fact_energy_minute(silver, adapters.dims(spark, sf_dir, silver)))
+    return rounded(facts.fact_energy_minute(silver, adapters.stored_dims(spark, sf_dir)))
 
 
 _ENVIRONMENT = ["temperature_c", "humidity_pct", "co2_ppm", "noise_db", "pressure_hpa"]
@@ -118,13 +118,13 @@ _ENVIRONMENT = ["temperature_c", "humidity_pct", "co2_ppm", "noise_db", "pressur
 )
 def fact_environment_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = adapters.readings(spark, sf_dir)
-    return rounded(facts.fact_environment_minute(silver, adapters.dims(spark, sf_dir, silver)))
+    return rounded(facts.fact_environment_minute(silver, adapters.stored_dims(spark, sf_dir)))
 
 
 @query(oracles.over_star("SELECT * FROM fact_presence_minute"))
 def fact_presence_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = adapters.readings(spark, sf_dir)
-    return facts.fact_presence_minute(silver, adapters.dims(spark, sf_dir, silver))
+    return facts.fact_presence_minute(silver, adapters.stored_dims(spark, sf_dir))
 
 
 @query(
@@ -136,7 +136,7 @@ def fact_presence_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_device_health_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = adapters.readings(spark, sf_dir)
     errors = adapters.device_errors(spark, sf_dir)
-    return rounded(facts.fact_device_health_day(silver, errors, adapters.dims(spark, sf_dir, silver)))
+    return rounded(facts.fact_device_health_day(silver, errors, adapters.stored_dims(spark, sf_dir)))
 
 
 _WEATHER = ["temperature_c", "humidity_pct", "precipitation_mm", "radiation_wm2"]
@@ -149,7 +149,7 @@ _WEATHER = ["temperature_c", "humidity_pct", "precipitation_mm", "radiation_wm2"
     )
 )
 def fact_weather_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(facts.fact_weather_hour(adapters.clean_forecasts(spark, sf_dir), adapters.sites(spark)))
+    return rounded(facts.fact_weather_hour(adapters.forecasts(spark, sf_dir), adapters.sites(spark)))
 
 
 @query(
@@ -425,7 +425,7 @@ _PRESENCE_RATES = """round(CAST(count(*) FILTER (WHERE presence_flag) * 100.0 /
     )
 )
 def presence_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.presence_heatmap(adapters.star(spark, sf_dir, "fact_presence_minute", "dim_datetime")))
+    return rounded(reports.presence_heatmap(adapters.star(spark, sf_dir, "fact_presence_minute")))
 
 
 @query(
@@ -435,7 +435,7 @@ def presence_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def occupancy_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.occupancy_pattern(adapters.star(spark, sf_dir, "fact_presence_minute", "dim_datetime")))
+    return rounded(reports.occupancy_pattern(adapters.star(spark, sf_dir, "fact_presence_minute")))
 
 
 # ---- privacy ----------------------------------------------------------------------------------------------------

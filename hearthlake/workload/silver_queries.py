@@ -299,7 +299,7 @@ def outlier_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def clean_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw forecast rows cleaned, typed and flagged."""
-    return rounded(adapters.clean_forecasts(spark, sf_dir).drop("_path"))
+    return rounded(forecasts.clean_forecasts(adapters.raw_forecasts(spark, sf_dir)).drop("_path"))
 
 
 @query(
