@@ -1,4 +1,9 @@
-"""BI measures over the star schema, each with optional grouping and filter."""
+"""BI measures over the star schema, each with optional grouping and filter.
+
+A measure is kept as partial aggregates that can be merged. The fact is first reduced to its own foreign keys, with
+map-side combine, and only those few rows are joined to the dimensions and merged. So a day, room or apartment with
+a third of all rows is one row per key by the time of the join, whatever the join strategy.
+"""
 
 from __future__ import annotations
 
@@ -10,41 +15,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _share(flag: str) -> Callable[[], Column]:
-    return lambda: F.count_if(flag) / F.nullif(F.count(F.lit(1)), F.lit(0)) * 100
+@dataclass(frozen=True)
+class Measure:
+    """Partial aggregates over rows of ``table``, how to merge each, and the value made of the merged ones."""
 
+    table: str
+    parts: dict[str, Column]
+    merge: Callable[[str], Column]
+    value: Callable[[dict[str, Column]], Column]
 
-def _of(aggregate: Callable, column: str) -> Callable[[], Column]:
-    return lambda: aggregate(column)
 
+def _sum(table: str, column: str) -> Measure:
+    return Measure(table, {"total": F.sum(column)}, F.sum, lambda p: p["total"])
 
-@dataclass(frozen=True)
-class Measure:
-    """An aggregate over one table of the star schema."""
 
-    table: str
-    aggregate: Callable[[], Column]
-
-
-SIMPLE = {
-    "total_energy_kwh": Measure("fact_energy_minute", _of(F.sum, "energy_kwh")),
-    "total_cost_chf": Measure("mv_energy_with_cost", _of(F.sum, "cost_chf")),
-    "avg_power_w": Measure("fact_energy_minute", _of(F.avg, "power_w")),
-    "peak_power_w": Measure("fact_energy_minute", _of(F.max, "power_w")),
-    "avg_indoor_temp_c": Measure("fact_environment_minute", _of(F.avg, "temperature_c")),
-    "avg_indoor_humidity_pct": Measure("fact_environment_minute", _of(F.avg, "humidity_pct")),
-    "avg_co2_ppm": Measure("fact_environment_minute", _of(F.avg, "co2_ppm")),
-    "anomaly_rate_pct": Measure("fact_environment_minute", _share("is_anomaly")),
-    "occupancy_rate_pct": Measure("fact_presence_minute", _share("presence_flag")),
-    "total_motion_events": Measure("fact_presence_minute", _of(F.sum, "motion_count")),
-    "avg_outdoor_temp_c": Measure("fact_weather_hour", _of(F.avg, "temperature_c")),
-    "avg_outdoor_humidity_pct": Measure("fact_weather_hour", _of(F.avg, "humidity_pct")),
-    "total_precipitation_mm": Measure("fact_weather_hour", _of(F.sum, "precipitation_mm")),
-    "avg_radiation_wm2": Measure("fact_weather_hour", _of(F.avg, "radiation_wm2")),
-    "avg_uptime_pct": Measure("fact_device_health_day", _of(F.avg, "uptime_pct")),
-    "total_missing_readings": Measure("fact_device_health_day", _of(F.sum, "missing_readings")),
-    "avg_battery_pct": Measure("fact_device_health_day", _of(F.avg, "battery_avg_pct")),
-}
+def _max(table: str, column: str) -> Measure:
+    return Measure(table, {"top": F.max(column)}, F.max, lambda p: p["top"])
+
+
+def _avg(table: str, column: str) -> Measure:
+    parts = {"total": F.sum(column), "n": F.count(column)}
+    return Measure(table, parts, F.sum, lambda p: p["total"] / F.nullif(p["n"], F.lit(0)))
+
+
+def _rows(table: str, flag: str | None = None) -> Measure:
+    counted = F.count_if(flag) if flag else F.count(F.lit(1))
+    return Measure(table, {"n": counted}, F.sum, lambda p: F.coalesce(p["n"], F.lit(0)))
+
+
+def _share(table: str, flag: str) -> Measure:
+    parts = {"hits": F.count_if(flag), "n": F.count(F.lit(1))}
+    return Measure(table, parts, F.sum, lambda p: p["hits"] / F.nullif(p["n"], F.lit(0)) * 100)
+
+
+def measures() -> dict[str, Measure]:
+    energy, environment = "fact_energy_minute", "fact_environment_minute"
+    presence, weather, health = "fact_presence_minute", "fact_weather_hour", "fact_device_health_day"
+    return {
+        "total_energy_kwh": _sum(energy, "energy_kwh"),
+        "total_cost_chf": _sum("mv_energy_with_cost", "cost_chf"),
+        "avg_power_w": _avg(energy, "power_w"),
+        "peak_power_w": _max(energy, "power_w"),
+        "avg_indoor_temp_c": _avg(environment, "temperature_c"),
+        "avg_indoor_humidity_pct": _avg(environment, "humidity_pct"),
+        "avg_co2_ppm": _avg(environment, "co2_ppm"),
+        "avg_noise_db": _avg(environment, "noise_db"),
+        "avg_pressure_hpa": _avg(environment, "pressure_hpa"),
+        "anomaly_rate_pct": _share(environment, "is_anomaly"),
+        "outlier_minutes": _rows(environment, "is_anomaly"),
+        "environment_minutes": _rows(environment),
+        "occupancy_rate_pct": _share(presence, "presence_flag"),
+        "total_motion_events": _sum(presence, "motion_count"),
+        "avg_outdoor_temp_c": _avg(weather, "temperature_c"),
+        "avg_outdoor_humidity_pct": _avg(weather, "humidity_pct"),
+        "total_precipitation_mm": _sum(weather, "precipitation_mm"),
+        "avg_radiation_wm2": _avg(weather, "radiation_wm2"),
+        "avg_uptime_pct": _avg(health, "uptime_pct"),
+        "total_missing_readings": _sum(health, "missing_readings"),
+        "avg_battery_pct": _avg(health, "battery_avg_pct"),
+    }
+
 
 # (dimension, its key, its reporting columns); a fact reaches a dimension when it holds the key
 _REACHABLE = [
@@ -57,35 +87,47 @@ _REACHABLE = [
 ]
 
 
-def with_dimensions(fact: DataFrame, tables: dict[str, DataFrame], columns: list[str]) -> DataFrame:
-    """The fact joined to just those dimensions that supply ``columns``."""
-    wide = fact
+def _needed(fact: DataFrame, columns: list[str]) -> list[tuple[str, str, list[str]]]:
+    """The dimensions, among those the fact reaches, that supply ``columns``."""
+    needed, found = [], set()
     for name, key, offered in _REACHABLE:
-        wanted = [c for c in offered if c in columns and c not in wide.columns]
+        wanted = [c for c in offered if c in columns]
         if wanted and key in fact.columns:
-            wide = wide.join(tables[name].select(key, *wanted), key)
-    missing = [c for c in columns if c not in wide.columns]
+            needed.append((name, key, wanted))
+            found.update(wanted)
+    missing = [c for c in columns if c not in found]
     if missing:
         raise ValueError(f"no dimension of this fact has {missing}")
-    return wide
+    return needed
 
 
-def _sliced(table: str, tables: dict[str, DataFrame], by: list[str], where: dict[str, list] | None) -> DataFrame:
-    where = where or {}
-    wide = with_dimensions(tables[table], tables, [*by, *where])
-    conditions = [F.col(c).isin(values) for c, values in where.items()]
-    return reduce(DataFrame.filter, conditions, wide)
+def _reduced(
+    names: list[str], tables: dict[str, DataFrame], by: list[str], where: dict[str, list] | None
+) -> tuple[DataFrame, list[Column]]:
+    """Partial aggregates joined to the dimensions and filtered, and the columns that finish the measures."""
+    chosen = {n: measures()[n] for n in names}
+    sources = {m.table for m in chosen.values()}
+    if len(sources) != 1:
+        raise ValueError("measures of different tables are aggregated separately and then joined")
+    fact, where = tables[sources.pop()], where or {}
+    dimensions = _needed(fact, list(dict.fromkeys([*by, *where])))
+    parts = [part.alias(f"{n}__{p}") for n, m in chosen.items() for p, part in m.parts.items()]
+    rows = fact.groupBy(*[key for _, key, _ in dimensions]).agg(*parts)
+    for name, key, wanted in dimensions:
+        rows = rows.join(tables[name].select(key, *wanted), key)
+    rows = reduce(DataFrame.filter, [F.col(c).isin(values) for c, values in where.items()], rows)
+    finished = [
+        m.value({p: m.merge(f"{n}__{p}") for p in m.parts}).alias(n) for n, m in chosen.items()
+    ]
+    return rows, finished
 
 
 def aggregate(
     names: list[str], tables: dict[str, DataFrame], by: list[str] = (), where: dict[str, list] | None = None
 ) -> DataFrame:
-    """Several simple measures of the same table in one pass."""
-    sources = {SIMPLE[n].table for n in names}
-    if len(sources) != 1:
-        raise ValueError("measures of different tables are aggregated separately and then joined")
-    rows = _sliced(sources.pop(), tables, list(by), where)
-    return rows.groupBy(*by).agg(*[SIMPLE[n].aggregate().alias(n) for n in names])
+    """Several measures of the same table in one pass over it."""
+    rows, finished = _reduced(names, tables, list(by), where)
+    return rows.groupBy(*by).agg(*finished)
 
 
 def measure(
@@ -106,18 +148,15 @@ def daily_cost(tables: dict[str, DataFrame], by: list[str] = (), where: dict[str
     on other dimensions do not restrict the dates.
     """
     cost = aggregate(["total_cost_chf"], tables, by, where)
-    date_columns = set(tables["dim_date"].columns)
-    date_by = [c for c in by if c in date_columns]
     dates = tables["dim_date"]
+    date_by = [c for c in by if c in dates.columns]
     for column, values in (where or {}).items():
-        if column in date_columns:
+        if column in dates.columns:
             dates = dates.filter(F.col(column).isin(values))
     days = dates.groupBy(*date_by).agg(F.count_distinct("date").alias("days"))
-    if date_by:
-        joined = cost.join(days, date_by, "left")
-    else:
-        joined = cost.withColumn("days", days.scalar())
-    return joined.select(*by, (F.col("total_cost_chf").cast("double") / F.nullif("days", F.lit(0))).alias("daily_cost_chf"))
+    joined = cost.join(days, date_by, "left") if date_by else cost.withColumn("days", days.scalar())
+    per_day = F.col("total_cost_chf").cast("double") / F.nullif("days", F.lit(0))
+    return joined.select(*by, per_day.alias("daily_cost_chf"))
 
 
 def temperature_delta(
@@ -134,9 +173,10 @@ def temperature_delta(
 
 
 def drill_down(name: str, tables: dict[str, DataFrame], where: dict[str, list] | None = None) -> DataFrame:
-    """A simple measure at every level of Year > Month > Week > Day; ``level`` counts the columns rolled up."""
+    """A measure at every level of Year > Month > Week > Day; ``level`` counts the columns rolled up.
+
+    Only the per-day partial aggregates are expanded to the levels, not the fact.
+    """
     levels = ["year", "month", "week", "date"]
-    rows = _sliced(SIMPLE[name].table, tables, levels, where)
-    return rows.rollup(*levels).agg(
-        F.bit_count(F.grouping_id()).cast("int").alias("level"), SIMPLE[name].aggregate().alias(name)
-    )
+    rows, finished = _reduced([name], tables, levels, where)
+    return rows.rollup(*levels).agg(F.bit_count(F.grouping_id()).cast("int").alias("level"), *finished)

@@ -23,16 +23,16 @@ def cost_by_apartment(tables: dict[str, DataFrame]) -> DataFrame:
 
 def room_comparison(tables: dict[str, DataFrame]) -> DataFrame:
     """Climate per room, with the minutes that hold an outlier."""
-    wide = measures.with_dimensions(tables["fact_environment_minute"], tables, ["apartment_id", "room_name"])
-    return wide.groupBy("apartment_id", "room_name").agg(
-        F.avg("temperature_c").alias("avg_temperature_c"),
-        F.avg("humidity_pct").alias("avg_humidity_pct"),
-        F.avg("co2_ppm").alias("avg_co2_ppm"),
-        F.avg("noise_db").alias("avg_noise_db"),
-        F.avg("pressure_hpa").alias("avg_pressure_hpa"),
-        F.count_if("is_anomaly").alias("outlier_minutes"),
-        F.count(F.lit(1)).alias("minutes"),
-    )
+    names = [
+        "avg_indoor_temp_c",
+        "avg_indoor_humidity_pct",
+        "avg_co2_ppm",
+        "avg_noise_db",
+        "avg_pressure_hpa",
+        "outlier_minutes",
+        "environment_minutes",
+    ]
+    return measures.aggregate(names, tables, ["apartment_id", "room_name"])
 
 
 def presence_heatmap(tables: dict[str, DataFrame]) -> DataFrame:

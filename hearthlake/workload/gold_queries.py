@@ -217,7 +217,7 @@ def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT 'fact_energy_minute' AS table_name, 'device_key' AS column_name, count(*) AS orphan_rows
            FROM fact_energy_minute WHERE device_key IN (SELECT device_key FROM dim_device WHERE sensor_type <> 'plug')
            UNION ALL SELECT 'fact_energy_minute', 'room_key', 0 UNION ALL SELECT 'fact_energy_minute', 'apartment_key', 0
-           UNION ALL SELECT 'fact_energy_minute', 'date_key', 0 UNION ALL SELECT 'dim_room', 'apartment_key', 0
+           UNION ALL SELECT 'fact_energy_minute', 'date_key', 0 UNION ALL SELECT 'fact_energy_minute', 'datetime_key', 0 UNION ALL SELECT 'dim_room', 'apartment_key', 0
            UNION ALL SELECT 'dim_device', 'room_key', 0 UNION ALL SELECT 'dim_apartment', 'weather_site_key', 0"""
     )
 )
@@ -397,15 +397,15 @@ def cost_by_apartment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.cost_by_apartment(adapters.star(spark, sf_dir, "mv_energy_with_cost")))
 
 
-_ROOM_MEANS = ["avg_temperature_c", "avg_humidity_pct", "avg_co2_ppm", "avg_noise_db", "avg_pressure_hpa"]
+_ROOM_MEANS = ["avg_indoor_temp_c", "avg_indoor_humidity_pct", "avg_co2_ppm", "avg_noise_db", "avg_pressure_hpa"]
 
 
 @query(
     oracles.over_star(
-        f"""SELECT apartment_id, room_name, {rounded_sql(*_ROOM_MEANS)}, outlier_minutes, minutes FROM (
-              SELECT apartment_id, room_name, avg(temperature_c) AS avg_temperature_c, avg(humidity_pct) AS avg_humidity_pct,
+        f"""SELECT apartment_id, room_name, {rounded_sql(*_ROOM_MEANS)}, outlier_minutes, environment_minutes FROM (
+              SELECT apartment_id, room_name, avg(temperature_c) AS avg_indoor_temp_c, avg(humidity_pct) AS avg_indoor_humidity_pct,
                      avg(co2_ppm) AS avg_co2_ppm, avg(noise_db) AS avg_noise_db, avg(pressure_hpa) AS avg_pressure_hpa,
-                     count(*) FILTER (WHERE is_anomaly) AS outlier_minutes, count(*) AS minutes
+                     count(*) FILTER (WHERE is_anomaly) AS outlier_minutes, count(*) AS environment_minutes
               FROM fact_environment_minute JOIN dim_apartment USING (apartment_key) JOIN dim_room USING (room_key)
               GROUP BY 1, 2)"""
     )

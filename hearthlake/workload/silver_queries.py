@@ -51,7 +51,7 @@ def _silver(df: DataFrame) -> DataFrame:
 def sensor_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON file per customer, found recursively and read whole."""
     root = session.new_path(spark, "json_files")
-    customers = adapters.table(spark, sf_dir, "customer").repartition("c_custkey")
+    customers = session.spread(adapters.table(spark, sf_dir, "customer"))
     apartment = F.when(F.col("c_custkey") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment")
     payload = customers.select(apartment, F.struct("c_custkey", F.col("c_acctbal").alias("value")).alias("reading"))
     payload.write.partitionBy("apartment").option("maxRecordsPerFile", 1).json(root)
