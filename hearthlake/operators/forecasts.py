@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.functions import cleaning
 from hearthlake.schemas import WEATHER_COLUMNS, WEATHER_MEASUREMENTS, WEATHER_MIN_YEAR, WEATHER_SENTINEL
 
@@ -87,8 +88,13 @@ def rejected_files(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFram
 
 
 def usable_files(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
-    """Rows of files that are not rejected."""
-    return raw.join(rejected_files(raw, min_year), "path", "left_anti")
+    """Rows of files that are not rejected.
+
+    The rejected paths are stored first: usually there are none and nothing is joined, and otherwise their size is
+    known, so that a few paths are broadcast instead of shuffling the rows by file.
+    """
+    rejected = session.materialise(rejected_files(raw, min_year), "rejected_files")
+    return raw if rejected.isEmpty() else raw.join(rejected, "path", "left_anti")
 
 
 def stage_counts(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:

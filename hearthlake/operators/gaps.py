@@ -43,6 +43,7 @@ def _bracketed(arrivals: DataFrame, sources: DataFrame, start: Column, end: Colu
     """Distinct minutes present within the range, plus the minutes just outside it for every expected source."""
     minute = calendar.minute(F.col("timestamp"))
     present = arrivals.filter(minute.between(start, end)).select(*by, minute.alias("minute")).distinct()
+    present = present.join(sources, by, "left_semi")  # after distinct, a busy source is no more than its minutes
     edges = F.explode(F.array(start - _minutes(1), end + _minutes(1)))
     return present.unionByName(sources.select(*by, edges.alias("minute")))
 
@@ -50,8 +51,7 @@ def _bracketed(arrivals: DataFrame, sources: DataFrame, start: Column, end: Colu
 def file_gaps(arrivals: DataFrame, apartments: DataFrame, start: Column, end: Column) -> DataFrame:
     """Runs of minutes without a file, per expected apartment, between two minutes inclusive."""
     expected = apartments.select("apartment").distinct()
-    known = arrivals.join(expected, "apartment", "left_semi")
-    return _runs(_bracketed(known, expected, start, end, ["apartment"]), ["apartment"])
+    return _runs(_bracketed(arrivals, expected, start, end, ["apartment"]), ["apartment"])
 
 
 def missing_files(arrivals: DataFrame, apartments: DataFrame, start: Column, end: Column) -> DataFrame:

@@ -73,7 +73,7 @@ class Lake:
         return self.spark.read.parquet(self.path(f"gold/{name}"))
 
     def has_gold(self, name: str) -> bool:
-        return tables.exists(self.spark, self.path(f"gold/{name}"))
+        return tables.exists(self.spark, self.path(f"gold/{name}/_SUCCESS"))
 
 
 # ---- bronze to silver -------------------------------------------------------------------------------------------
@@ -98,7 +98,12 @@ def load_sensors(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
     parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
     readings = lake.with_period(flatten.readings_of(parsed))
     tables.upsert(
-        readings, lake.path(SENSOR_EVENTS), schemas.READING_KEY, "period", order_by=flatten.last_reading_order()
+        readings,
+        lake.path(SENSOR_EVENTS),
+        schemas.READING_KEY,
+        "period",
+        order_by=flatten.last_reading_order(),
+        cluster_by=["sensor_type", "field"],
     )
     flatten.quarantined(parsed).write.mode("append").parquet(lake.path(QUARANTINE))
     _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
@@ -144,11 +149,11 @@ def refresh_dimensions(lake: Lake, readings: DataFrame, weather: DataFrame) -> d
     for name in ("dim_apartment", "dim_tariff"):
         tables.recover_table(spark, lake.path(f"gold/{name}"))
     found = session.materialise(dimensions.members(readings), "members")
+    minutes = _grow(lake, "dim_datetime", "datetime_key", lambda e: dimensions.dim_datetime(readings, weather, e))
+    days = minutes.select(F.col("timestamp_utc").alias("timestamp"))  # spares a second scan of silver
     dims = {
-        "dim_date": _grow(lake, "dim_date", "date_key", lambda e: dimensions.dim_date(readings, weather, e)),
-        "dim_datetime": _grow(
-            lake, "dim_datetime", "datetime_key", lambda e: dimensions.dim_datetime(readings, weather, e)
-        ),
+        "dim_datetime": minutes,
+        "dim_date": _grow(lake, "dim_date", "date_key", lambda e: dimensions.dim_date(days, existing=e)),
     }
     sites = spark.createDataFrame([(s,) for s in lake.weather_sites], "site_name string")
     dims["dim_weather_site"] = _grow(lake, "dim_weather_site", "site_key", lambda e: dimensions.dim_weather_site(sites, e))
@@ -235,5 +240,6 @@ def backfill(lake: Lake, raw: DataFrame, now: datetime) -> None:
     merged = dedupe.one_per_key(old.unionByName(new), schemas.READING_KEY, oldest_first).drop("_file_ts", "_path")
     staged = session.materialise(merged, "backfill")
     verify_unique(staged, schemas.READING_KEY)
-    tables.replace_partitions(staged.hint("rebalance", "period"), lake.path(SENSOR_EVENTS), ["period"])
+    arranged = staged.hint("rebalance", "period").sortWithinPartitions("period", "sensor_type", "field")
+    tables.replace_partitions(arranged, lake.path(SENSOR_EVENTS), ["period"])
     _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)

@@ -70,36 +70,42 @@ def upsert(
     partition_by: str,
     order_by: list[Column] | None = None,
     keep: str = "last",
+    cluster_by: list[str] = (),
 ) -> None:
     """Merge ``new`` into the partitioned table at ``path``: one row per key, the new one winning.
 
     Within ``new`` the row that ``order_by`` puts first wins. ``order_by`` columns that are not stored belong in
     ``new`` as extra columns whose names start with ``_``. Re-running with the same input leaves the same table.
+    Files are sorted by ``cluster_by``, so that filters on those columns skip row groups.
 
     Only the touched partitions are read and rewritten. ``new`` is written once to the shared folder, so the anti
     join against the stored rows broadcasts it when it is really small (a minute's worth of files) and sorts both
     sides when it is not (a backfill). The merge is staged in full before any partition is replaced, and
-    :func:`recover` finishes an interrupted publication.
+    :func:`recover` finishes an interrupted publication. A first load has nothing to merge with and writes once.
     """
     spark = new.sparkSession
     stored = [name for name in new.columns if not name.startswith("_")]
-    batch = session.materialise(dedupe.one_per_key(new, keys, order_by).select(*stored), "upsert_batch")
-    schema = batch.schema
+    unique = dedupe.one_per_key(new, keys, order_by).select(*stored)
+    schema = unique.schema
     recover(spark, path, schema, [partition_by])
 
+    def arranged(df: DataFrame) -> DataFrame:
+        return df.sortWithinPartitions(partition_by, *cluster_by)
+
+    if not exists(spark, path):
+        first = arranged(unique.hint("rebalance", partition_by))
+        first.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        return
+    batch = session.materialise(unique, "upsert_batch")
     existing = read(spark, path, schema)
     if keep == "first":
         fresh = batch.join(existing, same_key(batch, existing, keys), "left_anti")
-        fresh.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
-        return
-    sized = batch.hint("rebalance", partition_by)
-    if not exists(spark, path):
-        sized.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        arranged(fresh.hint("rebalance", partition_by)).write.mode("append").partitionBy(partition_by).parquet(path)
         return
     old = touched_partitions(existing, batch, partition_by)
     kept = old.join(batch, same_key(old, batch, keys), "left_anti")
-    staged = f"{path}.staged"
-    kept.unionByName(sized).write.mode("overwrite").partitionBy(partition_by).parquet(staged)
+    merged = arranged(kept.unionByName(batch.hint("rebalance", partition_by)))
+    merged.write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.staged")
     recover(spark, path, schema, [partition_by])
 
 
