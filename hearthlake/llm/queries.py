@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import wavelet
+from hearthlake.llm import chat, packing, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,22 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 @query
 def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+# A conversation made of control strings, which must come back unchanged.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role", f"'{MARKED}' AS text")
+    return chat.digests(chat.format_chats(turns.unionByName(made)))
+
+
+ORACLES["op9_chat_format"] = chat.sql(extra=f"UNION ALL SELECT -1, 0, 'user', '{MARKED}' UNION ALL SELECT -1, 1, 'assistant', '{MARKED}'")
