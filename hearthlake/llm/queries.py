@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import chat, packing, quality, rules, toxicity, wavelet
+from hearthlake.llm import chat, decontaminate, packing, quality, rules, toxicity, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"))
