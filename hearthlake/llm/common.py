@@ -137,3 +137,54 @@ def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch |
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Complete groups of rows that agree in ``keys`` (64-bit or 32-bit integers), from rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(values[:, a].tolist())
+            if held and key != last:
+                yield joined(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield joined(held)
+
+
+def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+
+
+def matrix(column: pa.Array, dtype: str, width: int) -> np.ndarray:
+    """Binary values of equal size as the rows of an array."""
+    return np.frombuffer(buffer_of(column)[0].tobytes(), dtype).reshape(len(column), width)
+
+
+def components(edges: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
+    """node and label, the least node that it is connected with, for every node of ``edges`` (two columns, one type).
+
+    Each round takes the least label among a node's neighbours and then the label of that label, so that labels move
+    twice as far every time. Minima are combined before the shuffle, so a node with very many neighbours sends one
+    row per task; each round is stored, so a lost executor repeats at most one round.
+    """
+    both = edges.select(F.col(low).alias("x"), F.col(high).alias("y"))
+    both = materialise(both.unionByName(both.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
+    labels = materialise(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label")), "labels")
+    while True:
+        near = both.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
+        moved = labels.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        step = moved.join(jump, "label", "left").select("node", "was", F.least("label", F.coalesce("further", "label")).alias("label"))
+        step = materialise(step, "labels")
+        done = step.filter("was != label").isEmpty()
+        labels = step.select("node", "label")
+        if done:
+            return labels

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import chat, decontaminate, packing, quality, rules, toxicity, wavelet
+from hearthlake.llm import chat, decontaminate, packing, quality, rules, similar, toxicity, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"))
