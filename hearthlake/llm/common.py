@@ -11,7 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.session import materialise, new_path, shared_dir  # noqa: F401
+from hearthlake import session
+from hearthlake.session import new_path  # noqa: F401
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Bytes of text that one vectorised step works on; a longer text is a step of its own.
@@ -26,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder; the shuffle files behind it are not needed any more and go."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return session.materialise(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
