@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import blocks, chat, decontaminate, packing, quality, rules, similar, toxicity, wavelet
+from hearthlake.llm import blocks, chat, decontaminate, packing, quality, rules, similar, suffix, toxicity, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_lyndon_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_fixed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
