@@ -287,14 +287,8 @@ def verified(docs: DataFrame, sets: DataFrame, labels: DataFrame, plan: Plan) ->
     return rows.mapInArrow(run, "node binary, links long, root binary")
 
 
-def classes(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """doc_id, class_id, n_links and class_size for every row of ``docs``.
-
-    Two rows are linked if their sets of word shingles have the plan's similarity at least; a class is what links
-    connect, and its id is the least doc_id in it. ``n_links`` counts the other rows that a row is linked with, copies
-    included. Rows without words, null texts too, have no shingles: no links, a class each, except that rows of one
-    doc_id and no words share it. A null doc_id sorts behind all others. No rows give no rows.
-    """
+def _solved(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The embedded rows, and node, copies, least_doc, links and label of every set with shingles."""
     embedded = common.materialise(embed(docs, plan), "signatures")
     sets = embedded.filter("size > 0").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("signature").alias("signature")
@@ -306,7 +300,18 @@ def classes(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     final = common.components(checked.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     known = sets.select("node", "copies", "least_doc").join(links, "node", "left").join(final, "node", "left")
     known = known.select("node", "copies", "least_doc", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "node").alias("label"))
-    known = common.materialise(known, "classes")
+    return embedded, common.materialise(known, "classes")
+
+
+def classes(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """doc_id, class_id, n_links and class_size for every row of ``docs``.
+
+    Two rows are linked if their sets of word shingles have the plan's similarity at least; a class is what links
+    connect, and its id is the least doc_id in it. ``n_links`` counts the other rows that a row is linked with, copies
+    included. Rows without words, null texts too, have no shingles: no links, and their own doc_id as class. A null
+    doc_id sorts behind all others, other columns are ignored. No rows give no rows.
+    """
+    embedded, known = _solved(docs, plan)
     named = known.groupBy("label").agg(F.min("least_doc").alias("class_id"), F.sum("copies").alias("class_size"))
     per_node = known.join(named, "label").select("node", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     out = embedded.filter("size > 0").select("doc_id", "node").join(per_node, "node").select("doc_id", "class_id", "n_links", "class_size")
@@ -315,10 +320,15 @@ def classes(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 
 def one_per_class(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``docs`` with the least doc_id of their class, one row per class; texts without words all stay."""
-    found = classes(docs, plan)
-    keep = found.filter("doc_id IS NOT DISTINCT FROM class_id").select("doc_id").distinct()
-    first = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    worded = F.regexp_like(common.text_of(docs), F.lit(r"[^\x20\x09-\x0D]"))
-    order = [F.col(c).asc_nulls_last() for c in docs.columns if c != "doc_id"] or [F.lit(1)]
-    return one_per_key(first.filter(worded), ["doc_id"], order).unionByName(first.filter(~worded))
+    """One row of ``docs`` for each class, that with the least doc_id (null last); rows without words all stay."""
+    embedded, known = _solved(docs, plan)
+    texts = embedded.filter("size > 0").groupBy("node", "text_key").agg(F.min("doc_id").alias("d")).join(known.select("node", "label"), "node")
+    first = F.min(F.struct(F.col("d").isNull().alias("none"), "d", "text_key")).alias("first")
+    chosen = texts.groupBy("label").agg(first)
+    others = texts.join(chosen, "label").filter("text_key != first.text_key").select(F.col("text_key").alias("__text_key"))
+    text = common.text_of(docs)
+    rows = docs.withColumn("__text_key", F.md5(text.cast("binary"))).join(others, "__text_key", "left_anti")
+    worded = F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]"))
+    order = [F.col("doc_id").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
+    kept = one_per_key(rows.filter(worded), ["__text_key"], order).unionByName(rows.filter(~worded))
+    return kept.select(*docs.columns)

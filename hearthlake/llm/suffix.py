@@ -452,3 +452,18 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     rows = places.keyed(docs)
     found = _per_text(rows, length, False).withColumnRenamed("kept", "kept_sha256")
     return rows.select("doc_id", "key").join(found, "key").drop("key")
+
+
+def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of the texts; all columns stay, n_chars follows the new text.
+
+    What is left of a character that is cut in two goes as well. Rows of which nothing is left go, rows that were null
+    or empty stay. Rows that nothing is taken from are unchanged.
+    """
+    kept = _per_text(places.keyed(docs), length, True).filter("n_removed > 0").select("key", F.col("kept").alias("__kept"))
+    text = common.text_of(docs)
+    joined = docs.withColumn("key", F.xxhash64(text)).join(kept, "key", "left").filter("__kept IS NULL OR __kept != ''")
+    joined = joined.withColumn("text", F.coalesce("__kept", "text"))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return joined.select(*docs.columns)
