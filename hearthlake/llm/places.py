@@ -146,7 +146,7 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
 
 
 def flagged(batch: pa.RecordBatch, column: str, begins: np.ndarray, n: int) -> np.ndarray:
-    """Positions of a binary column as a mask over all symbols of the slice."""
+    """Positions of a binary column (null: none) as a mask over all symbols of the slice."""
     data, offsets = common.buffer_of(batch.column(column))
     at = np.frombuffer(data.tobytes(), "<u4").astype(np.int64) + np.repeat(begins[:-1], np.diff(offsets) // 4)
     out = np.zeros(n, bool)

@@ -194,7 +194,7 @@ class Cutting:
 
     def __init__(self, length: int):
         self.length = length
-        self.reach = min(63, length // 2)
+        self.reach = min(31, length // 2)
         self.core = length - self.reach
 
     def anchors(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, common.Hasher]:
@@ -284,7 +284,6 @@ def shared_starts(core: np.ndarray, row: np.ndarray, many: np.ndarray, cutting:
     agrees that far with a neighbour in the suffix array.
     """
     reach = cutting.reach
-    count = len(core)
     n_left, n_right = row[:, 0].astype(np.int64), row[:, 1].astype(np.int64)
     one = np.uint64(1)
 
@@ -294,12 +293,15 @@ def shared_starts(core: np.ndarray, row: np.ndarray, many: np.ndarray, cutting:
         return np.where(high >= low, upper & ~((one << low.astype(np.uint64)) - one), np.uint64(0))
 
     mask = np.where(many, bits(np.maximum(0, reach - n_right), n_left), np.uint64(0))
+    # Fragments with a common window agree in more than half of ``reach`` on one side; the others need no sorting.
+    half = reach // 2 + 1
+    chosen = np.flatnonzero(_met(core, row[:, 2 + reach - half : 2 + reach], n_left >= half) | _met(core, row[:, 2 + reach : 2 + reach + half], n_right >= half))
+    if not len(chosen):
+        return mask
+    core, row, n_left, n_right, place = core[chosen], row[chosen], n_left[chosen], n_right[chosen], chosen
     first = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
-    kinds = np.diff(np.append(first, count))
+    kinds = np.diff(np.append(first, len(core)))
     group = np.repeat(np.arange(len(first)), kinds)
-    use = kinds[group] > 1
-    if not use.any():
-        return mask
     # What all fragments of a core share to its left and right.
     left, right = row[:, 2 : 2 + reach], row[:, 2 + reach :]
     side = np.arange(reach)
@@ -308,16 +310,14 @@ def shared_starts(core: np.ndarray, row: np.ndarray, many: np.ndarray, cutting:
     shared_left = np.cumprod(same_left[:, ::-1], axis=1).sum(axis=1)[group]
     shared_right = np.cumprod(same_right, axis=1).sum(axis=1)[group]
 
-    chosen = np.flatnonzero(use)
-    left_in = (side >= reach - n_left[chosen, None]) & (side < reach - shared_left[chosen, None])
-    right_in = (side >= shared_right[chosen, None]) & (side < n_right[chosen, None])
-    always = np.ones((len(chosen), 1), bool)
+    left_in = (side >= reach - n_left[:, None]) & (side < reach - shared_left[:, None])
+    right_in = (side >= shared_right[:, None]) & (side < n_right[:, None])
+    always = np.ones((len(core), 1), bool)
     inside = np.concatenate([left_in, always, right_in, always], axis=1)
-    rank = np.arange(count) - first[group]
-    cells = np.concatenate([left[chosen], np.full((len(chosen), 1), 256), right[chosen], -1 - rank[chosen, None]], axis=1, dtype=np.int32)
+    rank = np.arange(len(core)) - first[group]
+    cells = np.concatenate([left, np.full((len(core), 1), 256), right, -1 - rank[:, None]], axis=1, dtype=np.int32)
     symbols = cells[inside]
-    which, column = np.nonzero(inside)
-    owner = chosen[which]
+    owner, column = np.nonzero(inside)
     begins = np.append(np.flatnonzero(np.concatenate([[True], group[owner][1:] != group[owner][:-1]])), len(symbols))
     sa = suffix_arrays(symbols, begins)
 
@@ -334,13 +334,23 @@ def shared_starts(core: np.ndarray, row: np.ndarray, many: np.ndarray, cutting:
     right_bytes = shared_right[mine] + agree[begin] - ahead - 1
     whole = agree[begin] > ahead
     at_core = whole & (ahead == 0)
-    np.bitwise_or.at(mask, mine[at_core], bits(np.maximum(0, reach - right_bytes[at_core]), shared_left[mine[at_core]]))
+    np.bitwise_or.at(mask, place[mine[at_core]], bits(np.maximum(0, reach - right_bytes[at_core]), shared_left[mine[at_core]]))
     bit = shared_left[mine] + ahead
     early = whole & (ahead > 0) & (right_bytes >= reach - bit)
-    np.bitwise_or.at(mask, mine[early], one << bit[early].astype(np.uint64))
+    np.bitwise_or.at(mask, place[mine[early]], one << bit[early].astype(np.uint64))
     return mask
 
 
+def _met(core: np.ndarray, side: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Fragments whose bytes on one side (all there if ``whole``) also stand beside the core in another fragment."""
+    weights = common.mix(np.arange(1, side.shape[1] + 1, dtype=np.uint64)) | np.uint64(1)
+    keys = common.mix((common.SYMBOLS[side] * weights).sum(axis=1, dtype=np.uint64) ^ core)
+    _, which, times = np.unique(keys[whole], return_inverse=True, return_counts=True)
+    out = np.zeros(len(core), bool)
+    out[whole] = times[which] > 1
+    return out
+
+
 def repeated_starts(cutting: Cutting, lot: int = 60_000):
     """key, position and bits of shared_starts for every place, from fragments sorted by core."""
 
@@ -390,12 +400,10 @@ def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([group.column("key").slice(0, 1), pa.array([starts.tobytes()], pa.binary())], ["key", "positions"])
 
 
-def kept_parts(part: pa.RecordBatch, length: int, starts_column: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+def kept_parts(part: pa.RecordBatch, length: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """Remaining bytes, bytes, removed bytes and removed runs of each text."""
     data, offsets = common.buffer_of(part.column("text"))
-    gone = np.zeros(len(data), bool)
-    if starts_column and len(data):
-        gone = places.covered(places.flagged(part, starts_column, offsets, len(data)), length)
+    gone = places.covered(places.flagged(part, "positions", offsets, len(data)), length)
     first = gone.copy()
     first[1:] &= ~gone[:-1]
     begin = offsets[:-1][offsets[:-1] < len(data)]
@@ -406,9 +414,9 @@ def kept_parts(part: pa.RecordBatch, length: int, starts_column: str | None) ->
     return parts, np.diff(offsets), np.diff(total[offsets]), np.diff(spans[offsets])
 
 
-def _result(length: int, starts_column: str | None, with_text: bool):
+def _result(length: int, with_text: bool):
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        kept, size, removed, spans = kept_parts(part, length, starts_column)
+        kept, size, removed, spans = kept_parts(part, length)
         last = pa.array([k.decode("utf-8", "ignore") for k in kept]) if with_text else pa.array([hashlib.sha256(k).hexdigest() for k in kept])
         return pa.RecordBatch.from_arrays([part.column("key"), pa.array(size), pa.array(removed), pa.array(spans), last], ["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -428,11 +436,10 @@ def _per_text(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
     found = common.materialise(cut.mapInArrow(repeated_starts(cutting), "key long, at long, bits long"), "starts")
     starts = found.repartition(common.tasks_for(rows), "key").sortWithinPartitions("key").mapInArrow(starts_of, "key long, positions binary")
     joined = texts.join(common.materialise(starts, "spans"), "key", "left")
-    clean = common.mapped(joined.filter("positions IS NULL").select("key", "text"), _result(length, None, with_text), RESULT)
-    marked = common.mapped(joined.filter("positions IS NOT NULL"), _result(length, "positions", with_text), RESULT)
+    judged = common.mapped(joined, _result(length, with_text), RESULT)
     nothing = F.lit("") if with_text else F.sha2(F.lit(""), 256)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    return clean.unionByName(marked).join(counted, "key").select(
+    return judged.join(counted, "key").select(
         "key",
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
