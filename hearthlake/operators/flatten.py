@@ -106,8 +106,11 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
         .withColumn("readings", F.expr(_readings()))
     )
     file_ts = F.coalesce("file_ts", "modified")
+    error = F.col("file_error") if "file_error" in raw.columns else F.lit(None).cast("string")
     return parsed.select(
         "path",
+        "modified",
+        error.alias("file_error"),
         "name",
         "apartment",
         file_ts.alias("file_ts"),
@@ -144,9 +147,10 @@ def flatten_sensors(raw: DataFrame) -> DataFrame:
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
-    """Files rejected as a whole; they stay out of the manifest and are tried again."""
+    """Files rejected as a whole, with the reason; they stay out of the manifest and count as new when they change."""
+    reason = F.coalesce("file_error", F.lit("a part of the payload cannot be read")).alias("reason")
     once = F.explode(F.when(F.col("is_bad"), F.array(F.lit(True))))  # not a filter, see readings_of
-    return parsed.select("path", "name", "apartment", "file_ts", once.alias("is_bad")).drop("is_bad")
+    return parsed.select("path", "name", "modified", reason, once.alias("is_bad")).drop("is_bad")
 
 
 def last_reading_order() -> list[Column]:

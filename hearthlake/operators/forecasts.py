@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake import session
 from hearthlake.functions import cleaning
 from hearthlake.schemas import WEATHER_COLUMNS, WEATHER_MEASUREMENTS, WEATHER_MIN_YEAR, WEATHER_SENTINEL
 
@@ -77,24 +76,25 @@ def clean_forecasts(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFra
 
 
 def rejected_files(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
-    """Paths of files that cannot be used: no issue date in the name, or a kept row with an impossible model run."""
+    """Files that cannot be used, with the reason: unreadable, without an issue date in the name, or with a kept row
+    whose model run is impossible."""
     typed = _typed(raw)
     usable = F.lit(True)
     for name, rule in _rules(min_year):
         if name != "after_sentinel":
             usable = usable & rule
-    bad = F.col("prediction_date").isNull() | F.coalesce(usable & _bad_run(F.col("run")), F.lit(False))
-    return typed.filter(bad).select("path").distinct()
+    error = F.col("file_error") if "file_error" in raw.columns else F.lit(None).cast("string")
+    reason = F.coalesce(
+        error,
+        F.when(F.col("prediction_date").isNull(), "no issue date in the file name"),
+        F.when(F.coalesce(usable & _bad_run(F.col("run")), F.lit(False)), "impossible model run"),
+    )
+    return typed.withColumn("reason", reason).filter("reason IS NOT NULL").groupBy("path").agg(F.min("reason").alias("reason"))
 
 
 def usable_files(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
-    """Rows of files that are not rejected.
-
-    The rejected paths are stored first: usually there are none and nothing is joined, and otherwise their size is
-    known, so that a few paths are broadcast instead of shuffling the rows by file.
-    """
-    rejected = session.materialise(rejected_files(raw, min_year), "rejected_files")
-    return raw if rejected.isEmpty() else raw.join(rejected, "path", "left_anti")
+    """Rows of files that are not rejected. Rejected paths are few, so the optimizer broadcasts them."""
+    return raw.join(rejected_files(raw, min_year), "path", "left_anti")
 
 
 def stage_counts(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:

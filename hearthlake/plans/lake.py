@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -14,7 +16,7 @@ from hearthlake import schemas, session
 from hearthlake.functions import calendar
 from hearthlake.operators import dedupe, flatten, forecasts
 from hearthlake.plans import dimensions, facts
-from hearthlake.sources import sensors, tables
+from hearthlake.sources import listing, sensors, tables, weather as weather_source
 
 SENSOR_EVENTS = "silver/sensor_events"
 FORECASTS = "silver/weather_forecasts"
@@ -69,7 +71,13 @@ class Lake:
     def manifest(self, table: str = SENSOR_MANIFEST) -> DataFrame:
         return tables.read(self.spark, self.path(table), schemas.MANIFEST)
 
+    def quarantine(self) -> DataFrame:
+        return tables.read(self.spark, self.path(QUARANTINE), schemas.QUARANTINE)
+
     def gold(self, name: str) -> DataFrame:
+        """A gold table; facts have declared schemas, as a home may have no rows for one."""
+        if name in schemas.FACTS:
+            return tables.read(self.spark, self.path(f"gold/{name}"), _stored(schemas.FACTS[name]))
         return self.spark.read.parquet(self.path(f"gold/{name}"))
 
     def has_gold(self, name: str) -> bool:
@@ -88,38 +96,102 @@ def _mark_done(lake: Lake, names: DataFrame, table: str, now: datetime) -> None:
     fresh.write.mode("append").parquet(lake.path(table))
 
 
+def _quarantine(lake: Lake, rejected: DataFrame) -> None:
+    """Remember rejected files, once per path and modification time."""
+    fresh = tables.insert_if_absent(rejected, lake.quarantine(), ["path", "modified"])
+    fresh.write.mode("append").parquet(lake.path(QUARANTINE))
+
+
+def _as_periods(lake: Lake, periods: list[date]) -> DataFrame:
+    return lake.spark.createDataFrame([(p,) for p in periods], "period date")
+
+
 def load_sensors(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
     """Flatten, upsert and mark a batch of sensor files; returns the periods it touched.
 
     The batch is parsed once. Readings are stored before their files are marked, so a failure in between only
-    means that the same files are upserted again.
+    means that the same files are upserted again. Files that cannot be read are quarantined and never marked.
     """
     keyed = sensors.with_file_keys(raw, lake.apartment_map).filter(F.col("apartment").isNotNull())
-    parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
-    readings = lake.with_period(flatten.readings_of(parsed))
-    tables.upsert(
-        readings,
-        lake.path(SENSOR_EVENTS),
-        schemas.READING_KEY,
-        "period",
-        order_by=flatten.last_reading_order(),
-        cluster_by=["sensor_type", "field"],
-    )
-    flatten.quarantined(parsed).write.mode("append").parquet(lake.path(QUARANTINE))
-    _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
-    good = parsed.filter(~F.col("is_bad") & (F.size("readings") > 0))
-    return lake.with_period(good).select("period").distinct()
+    with session.scratch(lake.spark):
+        parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
+        readings = lake.with_period(flatten.readings_of(parsed))
+        tables.upsert(
+            readings,
+            lake.path(SENSOR_EVENTS),
+            schemas.READING_KEY,
+            "period",
+            order_by=flatten.last_reading_order(),
+            cluster_by=["sensor_type", "field"],
+        )
+        _quarantine(lake, flatten.quarantined(parsed))
+        _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
+        good = parsed.filter(~F.col("is_bad") & (F.size("readings") > 0))
+        periods = as_list(lake.with_period(good).select("period"))
+    return _as_periods(lake, periods)
 
 
 def load_weather(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
-    """Clean, upsert and mark a batch of forecast files; returns the periods it touched."""
-    usable = session.materialise(forecasts.usable_files(raw, lake.min_year), "usable_forecasts")
-    clean = lake.with_period(forecasts.clean_forecasts(usable, lake.min_year))
-    tables.upsert(
-        clean, lake.path(FORECASTS), schemas.FORECAST_KEY, "period", order_by=forecasts.last_forecast_order()
+    """Clean, upsert and mark a batch of forecast files; returns the periods it touched.
+
+    The files are read once and their rows stored; what is rejected, kept and marked comes from there. A file that
+    holds a header alone is done, one that cannot be read is quarantined.
+    """
+    with session.scratch(lake.spark):
+        rows = session.materialise(raw, "forecast_rows")
+        rejected = session.materialise(forecasts.rejected_files(rows, lake.min_year), "rejected_files")
+        usable = rows.join(rejected, "path", "left_anti")
+        clean = session.materialise(lake.with_period(forecasts.clean_forecasts(usable, lake.min_year)), "clean_forecasts")
+        tables.upsert(
+            clean, lake.path(FORECASTS), schemas.FORECAST_KEY, "period", order_by=forecasts.last_forecast_order()
+        )
+        modified = F.col("modified") if "modified" in rows.columns else F.lit(None).cast("timestamp").alias("modified")
+        names = rows.select("path", "name", modified).distinct()
+        _quarantine(lake, names.join(rejected, "path").select("path", "name", "modified", "reason"))
+        _mark_done(lake, names.join(rejected, "path", "left_anti"), WEATHER_MANIFEST, now)
+        periods = as_list(clean.select("period"))
+    return _as_periods(lake, periods)
+
+
+def _load_new(lake: Lake, root: str, glob: str, manifest: str, load: Callable[[list[str]], DataFrame], lot: int) -> list[date]:
+    """Load the files below ``root`` that were neither processed nor rejected in their present state, ``lot`` at a time."""
+    listed = listing.new_files(listing.list_files(lake.spark, root, glob), lake.manifest(manifest))
+    known = lake.quarantine().select("path", "modified")
+    fresh = listed.join(known, (listed["path"] == known["path"]) & listed["modified"].eqNullSafe(known["modified"]), "left_anti")
+    touched: set[date] = set()
+    paths: list[str] = []
+    for row in fresh.select("path").toLocalIterator():
+        paths.append(row["path"])
+        if len(paths) >= lot:
+            touched |= set(as_list(load(paths)))
+            paths = []
+    if paths:
+        touched |= set(as_list(load(paths)))
+    return sorted(touched)
+
+
+def load_new_sensors(lake: Lake, root: str, now: datetime, lot: int = 100_000) -> list[date]:
+    """Catch up on sensor files: the listing without the manifest, whatever a stream has seen. Returns the periods."""
+    return _load_new(
+        lake,
+        root,
+        sensors.PAYLOAD_GLOB,
+        SENSOR_MANIFEST,
+        lambda paths: load_sensors(lake, sensors.read_sensor_files(lake.spark, paths), now),
+        lot,
+    )
+
+
+def load_new_weather(lake: Lake, root: str, now: datetime, lot: int = 1000) -> list[date]:
+    """Catch up on forecast files, as :func:`load_new_sensors`."""
+    return _load_new(
+        lake,
+        root,
+        weather_source.FORECAST_GLOB,
+        WEATHER_MANIFEST,
+        lambda paths: load_weather(lake, weather_source.read_weather_files(lake.spark, paths), now),
+        lot,
     )
-    _mark_done(lake, usable.select("name").distinct(), WEATHER_MANIFEST, now)
-    return clean.select("period").distinct()
 
 
 # ---- silver to gold ---------------------------------------------------------------------------------------------
@@ -143,8 +215,10 @@ def _replace(lake: Lake, name: str, rows: DataFrame) -> DataFrame:
     return lake.gold(name)
 
 
-def refresh_dimensions(lake: Lake, readings: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
-    """Bring all dimensions up to date with the given silver rows."""
+def refresh_dimensions(
+    lake: Lake, readings: DataFrame, weather: DataFrame, tariffs: list | None = None
+) -> dict[str, DataFrame]:
+    """Bring all dimensions up to date with the given silver rows, and the tariffs with the given ones, if any."""
     spark = lake.spark
     for name in ("dim_apartment", "dim_tariff"):
         tables.recover_table(spark, lake.path(f"gold/{name}"))
@@ -173,15 +247,24 @@ def refresh_dimensions(lake: Lake, readings: DataFrame, weather: DataFrame) -> d
         lambda e: dimensions.dim_device(found, dims["dim_apartment"], dims["dim_room"], e),
     )
     stored = lake.gold("dim_tariff") if lake.has_gold("dim_tariff") else None
-    dims["dim_tariff"] = _replace(lake, "dim_tariff", dimensions.dim_tariff(spark, existing=stored))
+    given = {} if tariffs is None else {"tariffs": tariffs}
+    dims["dim_tariff"] = _replace(lake, "dim_tariff", dimensions.dim_tariff(spark, **given, existing=stored))
     return dims
 
 
-def _publish(lake: Lake, name: str, rows: DataFrame) -> DataFrame:
-    """Replace the periods that ``rows`` covers. Facts derive from silver alone, so a failed run is simply repeated."""
+def _publish(lake: Lake, name: str, rows: DataFrame, whole: bool) -> DataFrame:
+    """Replace the periods that ``rows`` covers, or the whole fact, so that periods gone from silver go here too.
+
+    Facts derive from silver alone, so a failed run is simply repeated.
+    """
+    schema = schemas.FACTS[name]
     day = calendar.day_of_key(F.col("date_key")).cast("timestamp")
-    dated = rows.withColumn("period", calendar.period(day, lake.grain))
-    tables.replace_partitions(dated.hint("rebalance", "period"), lake.path(f"gold/{name}"), ["period"])
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    dated = typed.withColumn("period", calendar.period(day, lake.grain)).hint("rebalance", "period")
+    if whole:
+        dated.write.mode("overwrite").partitionBy("period").parquet(lake.path(f"gold/{name}"))
+    else:
+        tables.replace_partitions(dated, lake.path(f"gold/{name}"), ["period"])
     return lake.gold(name)
 
 
@@ -189,24 +272,59 @@ def _within(df: DataFrame, periods: list[date] | None) -> DataFrame:
     return df if periods is None else df.filter(F.col("period").isin(periods))
 
 
+# A refresh that takes longer than this is taken for dead, and the next one goes on.
+LOCK_SECONDS = 6 * 3600
+
+
+@contextlib.contextmanager
+def _alone(lake: Lake, seconds: int = LOCK_SECONDS) -> Iterator[None]:
+    """One refresh of a lake at a time: dimensions are rewritten in place and may not get a member twice.
+
+    The lock is a file whose creation fails if it exists, which file systems such as HDFS guarantee.
+    """
+    path = lake.spark._jvm.org.apache.hadoop.fs.Path(lake.path("_refreshing"))
+    fs = path.getFileSystem(lake.spark._jsc.hadoopConfiguration())
+    while not fs.createNewFile(path):
+        with contextlib.suppress(Exception):  # the other refresh may end meanwhile
+            if time.time() - fs.getFileStatus(path).getModificationTime() / 1000 > seconds:
+                fs.delete(path, False)
+        time.sleep(0.5)
+    try:
+        yield
+    finally:
+        fs.delete(path, False)
+
+
+def _prices(lake: Lake) -> set[tuple]:
+    """Stored prices: a few rows a year."""
+    return {tuple(row) for row in lake.gold("dim_tariff").select("provider", "year", "chf_per_kwh").collect()} if lake.has_gold("dim_tariff") else set()
+
+
 def refresh_gold(
-    lake: Lake, periods: list[date] | None = None, sensor: bool = True, weather: bool = True
+    lake: Lake, periods: list[date] | None = None, sensor: bool = True, weather: bool = True, tariffs: list | None = None
 ) -> dict[str, DataFrame]:
-    """Rebuild gold for the given periods, or for all. Only those silver partitions are read."""
+    """Rebuild gold for the given periods, or for all. Only those silver partitions are read.
+
+    Costs follow a changed price in all periods. Two refreshes of one lake wait for each other.
+    """
     readings, outlook = _within(lake.readings(), periods), _within(lake.forecasts(), periods)
-    gold = refresh_dimensions(lake, readings, outlook)
-    if sensor:
-        for name, build in MINUTE_FACTS.items():
-            gold[name] = _publish(lake, name, build(readings, gold))
-        errors = _within(lake.with_period(lake.errors()), periods)
-        name = "fact_device_health_day"
-        gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold))
-        energy = _within(gold["fact_energy_minute"], periods).drop("period")
-        costed = facts.energy_with_cost(energy, gold["dim_date"], gold["dim_tariff"])
-        gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed)
-    if weather:
-        hours = facts.fact_weather_hour(outlook, gold["dim_weather_site"])
-        gold["fact_weather_hour"] = _publish(lake, "fact_weather_hour", hours)
+    whole = periods is None
+    with _alone(lake), session.scratch(lake.spark):
+        before = _prices(lake)
+        gold = refresh_dimensions(lake, readings, outlook, tariffs)
+        if sensor:
+            for name, build in MINUTE_FACTS.items():
+                gold[name] = _publish(lake, name, build(readings, gold), whole)
+            errors = _within(lake.with_period(lake.errors()), periods)
+            name = "fact_device_health_day"
+            gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold), whole)
+            everywhere = whole or _prices(lake) != before
+            energy = _within(gold["fact_energy_minute"], None if everywhere else periods).drop("period")
+            costed = facts.energy_with_cost(energy, gold["dim_date"], gold["dim_tariff"])
+            gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed, everywhere)
+        if weather:
+            hours = facts.fact_weather_hour(outlook, gold["dim_weather_site"])
+            gold["fact_weather_hour"] = _publish(lake, "fact_weather_hour", hours, whole)
     return gold
 
 
@@ -231,15 +349,17 @@ def verify_unique(df: DataFrame, keys: list[str]) -> None:
 def backfill(lake: Lake, raw: DataFrame, now: datetime) -> None:
     """Load history in one go: flatten, drop duplicates keeping the oldest row, verify, publish, mark."""
     keyed = sensors.with_file_keys(raw, lake.apartment_map).filter(F.col("apartment").isNotNull())
-    parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
-    new = lake.with_period(flatten.readings_of(parsed))
-    old = tables.touched_partitions(lake.readings(), new, "period").withColumns(
-        {"_file_ts": F.lit(None).cast("timestamp"), "_path": F.lit(None).cast("string")}
-    )
-    oldest_first = [F.asc_nulls_first("_file_ts"), F.asc_nulls_first("_path"), F.asc_nulls_last("value"), F.asc("unit")]
-    merged = dedupe.one_per_key(old.unionByName(new), schemas.READING_KEY, oldest_first).drop("_file_ts", "_path")
-    staged = session.materialise(merged, "backfill")
-    verify_unique(staged, schemas.READING_KEY)
-    arranged = staged.hint("rebalance", "period").sortWithinPartitions("period", "sensor_type", "field")
-    tables.replace_partitions(arranged, lake.path(SENSOR_EVENTS), ["period"])
-    _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
+    with session.scratch(lake.spark):
+        parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
+        new = lake.with_period(flatten.readings_of(parsed))
+        old = tables.touched_partitions(lake.readings(), new, "period").withColumns(
+            {"_file_ts": F.lit(None).cast("timestamp"), "_path": F.lit(None).cast("string")}
+        )
+        oldest_first = [F.asc_nulls_first("_file_ts"), F.asc_nulls_first("_path"), F.asc_nulls_last("value"), F.asc("unit")]
+        merged = dedupe.one_per_key(old.unionByName(new), schemas.READING_KEY, oldest_first).drop("_file_ts", "_path")
+        staged = session.materialise(merged, "backfill")
+        verify_unique(staged, schemas.READING_KEY)
+        arranged = staged.hint("rebalance", "period").sortWithinPartitions("period", "sensor_type", "field")
+        tables.replace_partitions(arranged, lake.path(SENSOR_EVENTS), ["period"])
+        _quarantine(lake, flatten.quarantined(parsed))
+        _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)

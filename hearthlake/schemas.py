@@ -155,6 +155,7 @@ DI_ERRORS = _schema(
     error_id=_INT, sensor_id=_STR, room_id=_INT, apartment=_STR, timestamp=_TS, error_message=_STR, severity=_STR
 )
 MANIFEST = _schema(filename=_STR, processed_at=_TS)
+QUARANTINE = _schema(path=_STR, name=_STR, modified=_TS, reason=_STR)
 
 # VARCHAR limits and NOT NULL rules of the silver readings, checked by operators.quality
 READING_LENGTHS = {"apartment": 20, "room": 50, "sensor_type": 20, "field": 50, "unit": 10}
@@ -206,6 +207,49 @@ PREDICTION_CONSUMPTION = _schema(
 )
 PREDICTION_KEY = ["apartment", "room", "timestamp_rounded", "model_name"]
 
+_MINUTE_KEYS = {"datetime_key": _LONG, "date_key": _INT}
+_DEVICE_KEYS = {"device_key": _LONG, "room_key": _LONG, "apartment_key": _LONG}
+_ROOM_KEYS = {"room_key": _LONG, "apartment_key": _LONG}
+_ENERGY = {**_MINUTE_KEYS, **_DEVICE_KEYS, "power_w": _DBL, "energy_kwh": _DBL, "is_valid": _BOOL}
+FACTS = {
+    "fact_energy_minute": _schema(**_ENERGY),
+    "mv_energy_with_cost": _schema(**_ENERGY, chf_per_kwh=T.DecimalType(6, 4), cost_chf=T.DecimalType(38, 4)),
+    "fact_environment_minute": _schema(
+        **_MINUTE_KEYS,
+        **_ROOM_KEYS,
+        temperature_c=_DBL,
+        humidity_pct=_DBL,
+        co2_ppm=_DBL,
+        noise_db=_DBL,
+        pressure_hpa=_DBL,
+        window_open_flag=_BOOL,
+        door_open_flag=_BOOL,
+        is_anomaly=_BOOL,
+    ),
+    "fact_presence_minute": _schema(
+        **_MINUTE_KEYS, **_ROOM_KEYS, motion_count=_INT, door_open_flag=_BOOL, presence_flag=_BOOL, presence_prob=_DBL
+    ),
+    "fact_device_health_day": _schema(
+        date_key=_INT,
+        **_DEVICE_KEYS,
+        error_count=_INT,
+        missing_readings=_INT,
+        uptime_pct=_DBL,
+        battery_min_pct=_DBL,
+        battery_avg_pct=_DBL,
+    ),
+    "fact_weather_hour": _schema(
+        **_MINUTE_KEYS,
+        site_key=_LONG,
+        prediction_date=_DATE,
+        temperature_c=_DBL,
+        humidity_pct=_DBL,
+        precipitation_mm=_DBL,
+        radiation_wm2=_DBL,
+        n_model_runs=_INT,
+    ),
+}
+
 # dimension/fact -> child column, parent table, parent column
 FOREIGN_KEYS = {
     "dim_room": [("apartment_key", "dim_apartment", "apartment_key")],

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +36,9 @@ def build_session(app: str = "hearthlake", master: str | None = None, conf: dict
     return pin(builder.getOrCreate())
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can see, as named by ``spark.checkpoint.dir``.
 
@@ -43,9 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="hearthlake-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_DIRS:
+        _OWN_DIRS[application] = tempfile.mkdtemp(prefix="hearthlake-")
+    return _OWN_DIRS[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -53,10 +60,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/hearthlake/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than there are cores; larger scans are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+_SCRATCH = threading.local()
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`materialise` writes inside the block (and thread) once it is over; nothing lazy may leave it."""
+    outer = getattr(_SCRATCH, "paths", None)
+    _SCRATCH.paths = []
+    try:
+        yield
+    finally:
+        written, _SCRATCH.paths = _SCRATCH.paths, outer
+        for path in written:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -67,5 +85,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    if getattr(_SCRATCH, "paths", None) is not None:
+        _SCRATCH.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,30 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake.functions import calendar, cleaning
+from hearthlake.sources import files
 
 PAYLOAD_GLOB = "*.json{,.gz}"
-# Payload files are a few kB each; let one task take many of them.
-SCAN_OPTIONS = {"wholetext": "true", "recursiveFileLookup": "true", "pathGlobFilter": PAYLOAD_GLOB}
 
 
-def _with_file_columns(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("_metadata.file_path").alias("path"),
-        calendar.base_name(F.col("_metadata.file_path")).alias("name"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-        "value",
-    )
-
-
-def read_sensor_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row (path, name, modified, value) per ``.json`` or ``.json.gz`` file below ``root``."""
-    return _with_file_columns(spark.read.options(**SCAN_OPTIONS).text(root))
+def read_sensor_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row (path, name, modified, value, file_error) per ``.json`` or ``.json.gz`` file below ``paths``."""
+    return files.read_text_files(spark, paths, PAYLOAD_GLOB)
 
 
 def stream_sensor_files(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
     """Streaming form of :func:`read_sensor_files`; each trigger takes at most ``max_files`` unseen files."""
-    reader = spark.readStream.options(**SCAN_OPTIONS).option("maxFilesPerTrigger", max_files)
-    return _with_file_columns(reader.text(root))
+    return files.stream_text_files(spark, root, PAYLOAD_GLOB, max_files)
 
 
 def with_file_keys(df: DataFrame, apartment_map: dict[str, str], name_col: str = "name") -> DataFrame:
@@ -50,7 +39,8 @@ def land_payloads(raw: DataFrame, path: str, grain: str = "day") -> None:
     apartment that holds far more than its share over several tasks.
     """
     period = calendar.period(F.coalesce("file_ts", "modified"), grain)
-    landed = raw.filter(F.col("apartment").isNotNull()).withColumn("period", period)
+    readable = raw.filter(F.col("apartment").isNotNull() & F.col("value").isNotNull()).drop("file_error")
+    landed = readable.withColumn("period", period)
     (
         landed.hint("rebalance", "apartment", "period")
         .write.mode("append")
@@ -72,4 +62,5 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 def stream_bronze(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
     """Landed payloads as a stream, with the columns of :func:`stream_sensor_files`."""
     reader = spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFileAge", files.MAX_FILE_AGE)
     return reader.parquet(path).select("path", "name", "modified", "value")

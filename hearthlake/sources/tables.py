@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,6 @@ from pyspark.sql import types as T
 from hearthlake import session
 from hearthlake.operators import dedupe
 
-# Up to this many touched partitions are pruned by a literal list; beyond it by a join.
-PRUNE_BY_LIST = 4000
-
 
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -55,12 +53,14 @@ def recover(spark: SparkSession, path: str, schema: T.StructType, partition_by:
 
 
 def touched_partitions(target: DataFrame, new: DataFrame, partition_by: str) -> DataFrame:
-    """Rows of ``target`` in the partitions that ``new`` touches; other partitions are not read."""
-    touched = new.select(partition_by).distinct()
-    values = [row[0] for row in touched.limit(PRUNE_BY_LIST + 1).collect()]
-    if len(values) > PRUNE_BY_LIST:
-        return target.join(touched, partition_by, "left_semi")
-    return target.filter(F.col(partition_by).isin(values))
+    """Rows of ``target`` in the partitions that ``new`` touches, that of the null value too; others are not read.
+
+    The touched values are calendar periods, so there are no more of them than days.
+    """
+    values = [row[0] for row in new.select(partition_by).distinct().collect()]
+    column = F.col(partition_by)
+    known = column.isin([v for v in values if v is not None])
+    return target.filter(known | column.isNull() if None in values else known)
 
 
 def upsert(
@@ -96,7 +96,14 @@ def upsert(
         first = arranged(unique.hint("rebalance", partition_by))
         first.write.mode("overwrite").partitionBy(partition_by).parquet(path)
         return
-    batch = session.materialise(unique, "upsert_batch")
+    with session.scratch(spark):
+        _merge(session.materialise(unique, "upsert_batch"), path, keys, partition_by, keep, arranged)
+
+
+def _merge(
+    batch: DataFrame, path: str, keys: list[str], partition_by: str, keep: str, arranged: Callable[[DataFrame], DataFrame]
+) -> None:
+    spark, schema = batch.sparkSession, batch.schema
     existing = read(spark, path, schema)
     if keep == "first":
         fresh = batch.join(existing, same_key(batch, existing, keys), "left_anti")
@@ -104,7 +111,7 @@ def upsert(
         return
     old = touched_partitions(existing, batch, partition_by)
     kept = old.join(batch, same_key(old, batch, keys), "left_anti")
-    merged = arranged(kept.unionByName(batch.hint("rebalance", partition_by)))
+    merged = arranged(kept.unionByName(batch).hint("rebalance", partition_by))
     merged.write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.staged")
     recover(spark, path, schema, [partition_by])
 

@@ -7,34 +7,34 @@ from pyspark.sql import functions as F
 
 from hearthlake.functions import calendar
 from hearthlake.schemas import WEATHER_COLUMNS
+from hearthlake.sources import files
 
+FORECAST_GLOB = "*.csv{,.gz}"
 CSV_SCHEMA = ", ".join(f"{name} string" for name in WEATHER_COLUMNS)
-# enforceSchema=false compares each file's header with the schema; a file whose header lacks a required column is
-# left out as a whole (ignoreCorruptFiles) instead of being read with shifted columns.
-CSV_OPTIONS = {
-    "header": "true",
-    "enforceSchema": "false",
-    "ignoreCorruptFiles": "true",
-    "recursiveFileLookup": "true",
-    "pathGlobFilter": "*.csv{,.gz}",
-}
 
 
-def _with_issue_date(df: DataFrame) -> DataFrame:
-    name = calendar.base_name(F.col("_metadata.file_path"))
-    return df.select(
-        *WEATHER_COLUMNS,
-        F.col("_metadata.file_path").alias("path"),
-        name.alias("name"),
-        calendar.prediction_date(name).alias("prediction_date"),
-    )
+def _rows(texts: DataFrame) -> DataFrame:
+    """Rows of readable files; a file without rows, or one that cannot be used, is one row of nulls.
 
+    A header other than the expected columns is an error of the whole file, which keeps columns from shifting.
+    """
+    lines = texts.withColumn("lines", F.split("value", "\r?\n")).drop("value")
+    header = F.transform(F.split(F.col("lines")[0], ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    expected = F.array(*[F.lit(name) for name in WEATHER_COLUMNS])
+    wrong = F.when(header != expected, F.concat(F.lit("unexpected header: "), F.col("lines")[0]))
+    checked = lines.withColumn("file_error", F.coalesce("file_error", wrong))
+    body = F.filter(F.slice("lines", F.lit(2), F.size("lines")), lambda line: line != "")
+    line = F.explode_outer(F.when(F.col("file_error").isNull(), body)).alias("line")
+    rows = checked.select("path", "name", "modified", "file_error", line)
+    rows = rows.withColumn("row", F.from_csv("line", CSV_SCHEMA))
+    date = calendar.prediction_date(F.col("name")).alias("prediction_date")
+    return rows.select("row.*", "path", "name", date, "modified", "file_error")
 
-def read_weather_files(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of every ``.csv`` or ``.csv.gz`` below ``root``, all columns text, with the issue date from the name."""
-    return _with_issue_date(spark.read.schema(CSV_SCHEMA).options(**CSV_OPTIONS).csv(root))
+
+def read_weather_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Rows of every ``.csv`` or ``.csv.gz`` below ``paths``, all columns text, with the issue date from the name."""
+    return _rows(files.read_text_files(spark, paths, FORECAST_GLOB))
 
 
 def stream_weather_files(spark: SparkSession, root: str, max_files: int = 100) -> DataFrame:
-    reader = spark.readStream.schema(CSV_SCHEMA).options(**CSV_OPTIONS).option("maxFilesPerTrigger", max_files)
-    return _with_issue_date(reader.csv(root))
+    return _rows(files.stream_text_files(spark, root, FORECAST_GLOB, max_files))

@@ -149,6 +149,24 @@ def test_roles_see_their_apartment(spark, star):
     assert counts(privacy.visible(gold, grants, privacy.ADMIN)) == counts(gold)
 
 
+def test_tables_by_apartment_name_and_by_room_follow_the_grants(spark, star):
+    predictions = spark.createDataFrame([("a", 0.1), ("b", 0.2), ("b", 0.3)], "apartment string, predicted double")
+    grants = spark.createDataFrame([("B", 2)], "role string, apartment_key bigint")
+    private = {"fact_prediction_motion": predictions, "dim_device": star["dim_device"]}
+    assert counts(privacy.visible(private, grants, "B", star)) == {"fact_prediction_motion": 2, "dim_device": 1}
+    assert counts(privacy.visible(private, grants, "nobody", star)) == {"fact_prediction_motion": 0, "dim_device": 0}
+    left = privacy.erase(private, spark.createDataFrame([("b",)], "apartment string"), star)
+    assert counts(left) == {"fact_prediction_motion": 1, "dim_device": 1}
+
+
+def test_unknown_tables_are_refused(spark, star):
+    odd = {**star, "notes": spark.range(2)}
+    with pytest.raises(ValueError, match="notes"):
+        privacy.visible(odd, spark.createDataFrame([], "role string, apartment_key bigint"), "B")
+    with pytest.raises(ValueError, match="notes"):
+        privacy.erase(odd, spark.createDataFrame([("b",)], "apartment string"))
+
+
 def test_erasure_reaches_every_table(spark, star):
     left = privacy.erase(star, spark.createDataFrame([("b",)], "apartment string"))
     assert counts(left) == {

@@ -63,8 +63,7 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert {p: p.stat().st_mtime_ns for p in path.glob("period=2024-01-02/*.parquet")} == before
 
 
-def test_many_touched_partitions_prune_by_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "PRUNE_BY_LIST", 1)
+def test_many_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [("a", 1, 1.0, DAY1), ("c", 1, 3.0, DAY2)]
     tables.upsert(frame(spark, rows), path, ["site", "run"], "period")
@@ -72,6 +71,13 @@ def test_many_touched_partitions_prune_by_join(spark, tmp_path, monkeypatch):
     assert stored(spark, path) == [("a", 1, 7.0, DAY1), ("c", 1, 8.0, DAY2)]
 
 
+def test_rows_of_a_null_period_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for row in (("a", 1, 1.0, None), ("b", 1, 2.0, None), ("c", 1, 3.0, DAY1), ("a", 1, 4.0, None)):
+        tables.upsert(frame(spark, [row]), path, ["site", "run"], "period")
+    assert stored(spark, path) == [("a", 1, 4.0, None), ("b", 1, 2.0, None), ("c", 1, 3.0, DAY1)]
+
+
 def test_interrupted_publication_is_finished(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert(frame(spark, [("a", 1, 1.0, DAY1), ("b", 1, 2.0, DAY1)]), path, ["site", "run"], "period")
