@@ -5,6 +5,8 @@ Feature choice and the split by time are this package's own.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -131,6 +133,17 @@ def store_predictions(predictions: DataFrame, path: str, grain: str = "day") ->
     tables.upsert(dated, path, PREDICTION_KEY, "period")
 
 
+def split_time(rows: DataFrame, share: float) -> datetime:
+    """The slot at which ``share`` of the time that the rows cover has passed."""
+    seconds = F.floor((F.min(F.unix_timestamp("slot")) * (1 - share) + F.max(F.unix_timestamp("slot")) * share) / 900) * 900
+    return rows.agg(F.timestamp_seconds(seconds).alias("cut")).first()["cut"]
+
+
+def known_before(rows: DataFrame, cut: datetime, ahead: int) -> DataFrame:
+    """Rows whose label, ``ahead`` seconds later, lies before the cut too: nothing of the held-out time is learnt."""
+    return rows.filter(F.unix_timestamp("slot") + ahead < F.unix_timestamp(F.lit(cut)))
+
+
 def backtest(predictions: DataFrame, predicted: str, actual: str) -> DataFrame:
     """Errors per model and target over the slots whose outcome is known."""
     error = F.col(predicted) - F.col(actual)
@@ -139,6 +152,7 @@ def backtest(predictions: DataFrame, predicted: str, actual: str) -> DataFrame:
         .groupBy("model_name", "target")
         .agg(
             F.count(F.lit(1)).alias("slots"),
+            F.avg(actual).alias("mean_actual"),
             F.avg(F.abs(error)).alias("mae"),
             F.sqrt(F.avg(error * error)).alias("rmse"),
             F.avg(error).alias("bias"),

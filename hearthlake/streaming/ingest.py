@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,6 +78,35 @@ MINUTES = {
 }
 
 
+# How the parts of one minute that came in several batches merge.
+_MERGE = {"energy": {"power_w": F.max, "energy_kwh": F.max, "is_valid": F.bool_and}}
+
+
+def publish_minutes(
+    readings: DataFrame, kind: str, path: str, lateness: str = "10 minutes", every: str | None = None
+) -> StreamingQuery:
+    """Write every minute that a batch changed, so that the newest minutes are out before they are final.
+
+    A batch has a folder of its own, which a replay overwrites; :func:`published_minutes` merges them.
+    """
+    minutes = minute_aggregate(readings, kind, lateness)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = minutes.writeStream.outputMode("update").foreachBatch(handle)
+    writer = writer.option("checkpointLocation", f"{path}_checkpoint")
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def published_minutes(spark: SparkSession, kind: str, path: str) -> DataFrame:
+    """One row per natural key and minute of what :func:`publish_minutes` has written."""
+    rows = spark.read.parquet(path).drop("batch")
+    merge = _MERGE[kind]
+    keys = [c for c in rows.columns if c not in merge]
+    return rows.groupBy(*keys).agg(*[how(c).alias(c) for c, how in merge.items()])
+
+
 def minute_aggregate(readings: DataFrame, kind: str, lateness: str = "10 minutes") -> DataFrame:
     """The minute facts by natural key as readings arrive; a minute is final once ``lateness`` has passed."""
     window = F.window("timestamp", "1 minute").alias("window")

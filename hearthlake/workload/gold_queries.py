@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake import session
+from hearthlake import schemas, session
 from hearthlake.operators import privacy, quality
 from hearthlake.plans import dimensions, facts, measures, ml, reports
 from hearthlake.workload import adapters, oracles
@@ -193,8 +193,14 @@ def room_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(slots.drop("apartment_key", "room_key"))
 
 
-_TABLES = ["dim_apartment", "dim_room", "dim_device", "dim_date", "dim_tariff", "dim_weather_site"]
-_FACT_TABLES = ["fact_environment_minute", "fact_energy_minute", "fact_presence_minute", "fact_weather_hour"]
+_TABLES = ["dim_apartment", "dim_room", "dim_device", "dim_date", "dim_datetime", "dim_tariff", "dim_weather_site"]
+_FACT_TABLES = [
+    "fact_environment_minute", "fact_energy_minute", "fact_presence_minute", "fact_device_health_day", "fact_weather_hour"
+]
+_PREDICTION_TABLES = {
+    "fact_prediction_motion": schemas.PREDICTION_MOTION,
+    "fact_prediction_consumption": schemas.PREDICTION_CONSUMPTION,
+}
 
 
 @query(
@@ -204,28 +210,44 @@ _FACT_TABLES = ["fact_environment_minute", "fact_energy_minute", "fact_presence_
             f"FROM {t}"
             for t in _TABLES + _FACT_TABLES
         )
+        + "".join(f" UNION ALL SELECT '{t}', 0, 'empty'" for t in _PREDICTION_TABLES)
     )
 )
 def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per gold table, and whether it is ready."""
+    """Rows of all gold tables, and whether each is ready; predictions were not made yet."""
     star = adapters.star(spark, sf_dir, *_FACT_TABLES)
-    return quality.table_status({name: star[name] for name in _TABLES + _FACT_TABLES})
+    none = {name: spark.createDataFrame([], schema) for name, schema in _PREDICTION_TABLES.items()}
+    return quality.table_status({name: star[name] for name in _TABLES + _FACT_TABLES} | none)
+
+
+# What is left of each parent, by attributes that both engines know.
+_CUT = {
+    "dim_apartment": "apartment_id = 'apt_b'",
+    "dim_room": "length(room_name) > 5",
+    "dim_device": "sensor_type = 'plug'",
+    "dim_date": "day_of_week <> 'Monday'",
+    "dim_datetime": "minute % 2 = 0",
+    "dim_weather_site": "site_name = 'A'",
+}
+_REFERENCES = [
+    (child, column, parent, key) for child, keys in schemas.FOREIGN_KEYS.items() for column, parent, key in keys
+]
 
 
 @query(
     oracles.over_star(
-        """SELECT 'fact_energy_minute' AS table_name, 'device_key' AS column_name, count(*) AS orphan_rows
-           FROM fact_energy_minute WHERE device_key IN (SELECT device_key FROM dim_device WHERE sensor_type <> 'plug')
-           UNION ALL SELECT 'fact_energy_minute', 'room_key', 0 UNION ALL SELECT 'fact_energy_minute', 'apartment_key', 0
-           UNION ALL SELECT 'fact_energy_minute', 'date_key', 0 UNION ALL SELECT 'fact_energy_minute', 'datetime_key', 0 UNION ALL SELECT 'dim_room', 'apartment_key', 0
-           UNION ALL SELECT 'dim_device', 'room_key', 0 UNION ALL SELECT 'dim_apartment', 'weather_site_key', 0"""
+        " UNION ALL ".join(
+            f"""SELECT '{child}' AS table_name, '{column}' AS column_name, count(*) AS orphan_rows FROM {child} AS c
+                WHERE {_CUT.get(child, "TRUE")} AND c.{column} IS NOT NULL
+                AND c.{column} NOT IN (SELECT {key} FROM {parent} WHERE {_CUT[parent]})"""
+            for child, column, parent, key in _REFERENCES
+        )
     )
 )
 def orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dangling references per foreign key, after all devices but the plugs were removed."""
-    star = adapters.star(spark, sf_dir, "fact_energy_minute")
-    star["dim_device"] = star["dim_device"].filter(F.col("sensor_type") == "plug")
-    return quality.orphan_report(star)
+    """Dangling references of every foreign key, after members were removed from every parent."""
+    star = adapters.star(spark, sf_dir, *_FACT_TABLES)
+    return quality.orphan_report(star | {name: star[name].filter(left) for name, left in _CUT.items()})
 
 
 # ---- measures ---------------------------------------------------------------------------------------------------
@@ -557,38 +579,87 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_features(spark, sf_dir).drop("apartment_key", "room_key"))
 
 
+_TARGETS = {
+    "occupancy": ("logistic_regression", "Presence", "HOUR", "label_occupied", "actual_occupied"),
+    "consumption": ("linear_regression", "Consumption", "DAY", "label_power_w", "actual_power_w"),
+}
+_CUT_AT = "(SELECT to_timestamp(floor((min(epoch(slot)) * 0.25 + max(epoch(slot)) * 0.75) / 900) * 900)::TIMESTAMP FROM features)"
+
+
+def _predicted(kind: str) -> str:
+    """The predictions that the model has to make, with what came true."""
+    model, target, unit, label, actual = _TARGETS[kind]
+    return f"""predicted AS (
+      SELECT apartment, room, slot + INTERVAL 1 {unit} AS timestamp_rounded, '{model}' AS model_name, '{target}' AS target,
+             TIMESTAMP '{adapters.NOW}' AS prediction_made_at, {label} AS {actual} FROM features WHERE slot >= {_CUT_AT})"""
+
+
 def _predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Fit on the slots of past years and the first three weeks of January, predict every slot."""
+    """Fit on the first three quarters of the time, predict the slots of the last, store and read them back."""
     rows = session.materialise(_features(spark, sf_dir), "features")
-    past = rows.filter(F.col("slot") < "2024-01-22")
+    cut = ml.split_time(rows, 0.75)
     made_at = F.lit(adapters.NOW).cast("timestamp")
-    fit, predict = {
-        "occupancy": (ml.fit_occupancy, ml.predict_occupancy),
-        "consumption": (ml.fit_consumption, ml.predict_consumption),
+    fit, predict, ahead = {
+        "occupancy": (ml.fit_occupancy, ml.predict_occupancy, ml.HOUR),
+        "consumption": (ml.fit_consumption, ml.predict_consumption, ml.DAY),
     }[kind]
     path = session.new_path(spark, f"fact_prediction_{kind}")
-    ml.store_predictions(predict(fit(past), rows, made_at), path, "year")
+    model = fit(ml.known_before(rows, cut, ahead))
+    ml.store_predictions(predict(model, rows.filter(F.col("slot") >= cut), made_at), path, "year")
     return spark.read.parquet(path).drop("period")
 
 
-@query()
+_KEYS = "apartment, room, timestamp_rounded, model_name, target, prediction_made_at"
+
+
+@query(oracles.over_star(f"SELECT {_KEYS}, actual_occupied, TRUE AS is_probability FROM predicted", _SLOTS, _FEATURES, _predicted("occupancy")))
 def occupancy_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_predictions(spark, sf_dir, "occupancy"))
+    """Every prediction of the held-out slots with its outcome; the predicted value must be a probability."""
+    found = _predictions(spark, sf_dir, "occupancy")
+    return found.withColumn("is_probability", F.col("predicted_occupied").between(0, 1)).drop("predicted_occupied")
 
 
-@query()
+@query(
+    oracles.over_star(
+        f"SELECT {_KEYS}, {rounded_sql('actual_power_w')}, TRUE AS is_number FROM predicted", _SLOTS, _FEATURES, _predicted("consumption")
+    )
+)
 def consumption_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_predictions(spark, sf_dir, "consumption"))
+    """Every prediction of the held-out slots with its outcome; the predicted value must be a finite number."""
+    found = _predictions(spark, sf_dir, "consumption")
+    number = F.coalesce(F.abs("predicted_power_w") < float("inf"), F.lit(False))
+    return rounded(found.withColumn("is_number", number).drop("predicted_power_w"))
 
 
-@query()
+@query(
+    oracles.over_star(
+        f"""SELECT model_name, target, slots, {rounded_sql("mean_actual")}, TRUE AS consistent FROM (
+              SELECT model_name, target, count(*) AS slots, avg(actual_power_w) AS mean_actual FROM predicted
+              WHERE actual_power_w IS NOT NULL GROUP BY 1, 2)""",
+        _SLOTS,
+        _FEATURES,
+        _predicted("consumption"),
+    )
+)
 def prediction_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of the consumption model."""
-    return rounded(ml.backtest(_predictions(spark, sf_dir, "consumption"), "predicted_power_w", "actual_power_w"))
+    """Held-out slots of the consumption model; its errors must agree with each other (|bias| <= mae <= rmse)."""
+    errors = ml.backtest(_predictions(spark, sf_dir, "consumption"), "predicted_power_w", "actual_power_w")
+    consistent = (F.abs("bias") <= F.col("mae") + 1e-9) & (F.col("mae") <= F.col("rmse") + 1e-9)
+    return rounded(errors.select("model_name", "target", "slots", "mean_actual", consistent.alias("consistent")))
 
 
-@query()
+@query(
+    oracles.over_star(
+        f"""SELECT model_name, apartment, room, CAST(timestamp_rounded AS DATE) AS date,
+              round(avg(actual_power_w), 6) AS avg_actual, count(actual_power_w) AS slots_with_actual, TRUE AS has_prediction
+            FROM predicted GROUP BY 1, 2, 3, 4""",
+        _SLOTS,
+        _FEATURES,
+        _predicted("consumption"),
+    )
+)
 def predicted_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted and observed consumption side by side."""
     predictions = _predictions(spark, sf_dir, "consumption")
-    return rounded(reports.predicted_vs_actual(predictions, "predicted_power_w", "actual_power_w"))
+    page = reports.predicted_vs_actual(predictions, "predicted_power_w", "actual_power_w")
+    return rounded(page.withColumn("has_prediction", F.col("avg_predicted").isNotNull()).drop("avg_predicted"))

@@ -196,13 +196,19 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.retention_summary(eligible)
 
 
-@query()
+@query(
+    """SELECT 'src' || (c_custkey % 3) AS source, count(*) AS files, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes
+       FROM customer GROUP BY 1"""
+)
 def bronze_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files, bytes and newest modification per apartment of the landed payloads."""
-    path = session.new_path(spark, "bronze")
-    sensors.land_payloads(_keyed_payloads(spark, sf_dir), path, _GRAIN)
-    source = F.regexp_extract("path", "apartment=([^/]+)/", 1)
-    return listing.footprint(listing.list_files(spark, path, "*.parquet"), source)
+    """Files and bytes per source of a landing folder with one file per customer, a line with its name."""
+    path = session.new_path(spark, "landing")
+    customers = adapters.table(spark, sf_dir, "customer")
+    source = F.concat(F.lit("src"), (F.col("c_custkey") % 3).cast("string")).alias("source")
+    named = customers.select(F.col("c_name").alias("value"), source)
+    named.write.partitionBy("source").option("maxRecordsPerFile", 1).text(path)
+    found = listing.footprint(listing.list_files(spark, path, "*.txt"), F.regexp_extract("path", "source=([^/]+)/", 1))
+    return found.drop("newest")
 
 
 _UPSERTED = """SELECT apartment, room, sensor_type, field,
@@ -230,14 +236,19 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.insert_if_absent(new, stored, ["part"])
 
 
-@query(oracles.over_readings("SELECT sensor_type, count(*) AS n_rows FROM readings WHERE sensor_type = 'motion' GROUP BY 1"))
+@query(
+    oracles.over_readings(
+        """SELECT sensor_type, field, count(*) AS n_rows, round(max(value * 2), 6) AS highest, round(min(value * 2), 6) AS lowest
+           FROM readings GROUP BY 1, 2"""
+    )
+)
 def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second load replaces all of the first."""
+    """All readings, then all of them again with other values, made from the first load: the second replaces it."""
     path = session.new_path(spark, "replaced")
-    silver = adapters.readings(spark, sf_dir)
-    for kind in ("plug", "motion"):
-        tables.truncate_and_load(silver.filter(F.col("sensor_type") == kind), path)
-    return spark.read.parquet(path).groupBy("sensor_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    tables.truncate_and_load(adapters.readings(spark, sf_dir), path)
+    tables.truncate_and_load(spark.read.parquet(path).withColumn("value", F.col("value") * 2), path)
+    stored = spark.read.parquet(path).groupBy("sensor_type", "field")
+    return rounded(stored.agg(F.count(F.lit(1)).alias("n_rows"), F.max("value").alias("highest"), F.min("value").alias("lowest")))
 
 
 @query(
@@ -529,15 +540,15 @@ def stream_unique_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
              round(max(CASE WHEN field = 'total' THEN value / 1000.0 END), 6) AS energy_kwh,
              bool_and(NOT is_outlier) AS is_valid
            FROM readings WHERE sensor_type IN ('plug', 'consumption')
-             AND "timestamp" < (SELECT max("timestamp") FROM readings WHERE sensor_type IN ('plug', 'consumption'))
-                - INTERVAL 10 MINUTE
            GROUP BY 1, 2, 3, 4"""
     )
 )
 def stream_energy_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minute energy as readings arrive; the minutes still open at the end of the stream are not out yet."""
+    """Minute energy as readings arrive, open minutes too: every batch publishes what changed, and that is merged."""
     energy = _reading_stream(spark, sf_dir).filter(F.col("sensor_type").isin("plug", "consumption"))
-    return rounded(_run_once(ingest.minute_aggregate(energy, "energy"), "append"))
+    path = session.new_path(spark, "energy_minutes")
+    ingest.publish_minutes(energy, "energy", path).awaitTermination()
+    return rounded(ingest.published_minutes(spark, "energy", path))
 
 
 # ---- freshness and pivots ---------------------------------------------------------------------------------------
@@ -559,31 +570,41 @@ def conditional_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(facts.pivot_fields(meteo, ["apartment", "room", "timestamp"], fields))
 
 
+_HOURS_26, _HOURS_36, _HOURS_48 = 26 * 3600, 36 * 3600, 48 * 3600
+_FRESH = {
+    "energy": ("fact_energy_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "environment": ("fact_environment_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "presence": ("fact_presence_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "device health": ("fact_device_health_day JOIN dim_date USING (date_key)", "CAST(max(date) AS TIMESTAMP)", _HOURS_26, 7),
+    "weather": ("fact_weather_hour JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_36, 14),
+    "motion predictions": ("(SELECT 1)", "CAST(NULL AS TIMESTAMP)", _HOURS_48, 14),
+    "consumption predictions": ("(SELECT 1)", "CAST(NULL AS TIMESTAMP)", _HOURS_48, 14),
+}
+
+
 @query(
     oracles.over_star(
-        """SELECT source, latest, epoch(TIMESTAMP '2024-02-01') - epoch(latest) AS age_seconds, status FROM (
-             SELECT *, CASE WHEN latest IS NULL THEN 'no data'
-                 WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < 26 * 3600 THEN 'ok'
-                 WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < 7 * 86400 THEN 'warn' ELSE 'fail' END AS status
-             FROM (SELECT 'environment' AS source, max(timestamp_utc) AS latest
-                   FROM fact_environment_minute JOIN dim_datetime USING (datetime_key)
-                   UNION ALL SELECT 'presence', max(timestamp_utc)
-                   FROM fact_presence_minute JOIN dim_datetime USING (datetime_key)
-                   UNION ALL SELECT 'device health', CAST(max(date) AS TIMESTAMP)
-                   FROM fact_device_health_day JOIN dim_date USING (date_key)
-                   UNION ALL SELECT 'predictions', CAST(NULL AS TIMESTAMP)))"""
+        """SELECT source, latest, epoch(TIMESTAMP '2024-02-01') - epoch(latest) AS age_seconds,
+             CASE WHEN latest IS NULL THEN 'no data' WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < ok THEN 'ok'
+                  WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < days * 86400 THEN 'warn' ELSE 'fail' END AS status
+           FROM ("""
+        + " UNION ALL ".join(
+            f"SELECT '{source}' AS source, {latest} AS latest, {ok} AS ok, {days} AS days FROM {rows}"
+            for source, (rows, latest, ok, days) in _FRESH.items()
+        )
+        + ")"
     )
 )
 def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest row, age and status per gold source; predictions were not made yet."""
-    star = adapters.star(
-        spark, sf_dir, "fact_environment_minute", "fact_presence_minute", "fact_device_health_day"
-    )
-    none = spark.createDataFrame([], schemas.PREDICTION_MOTION)
-    sources = {
-        "environment": (star["fact_environment_minute"], "datetime_key", schemas.FRESHNESS_SENSORS),
-        "presence": (star["fact_presence_minute"], "datetime_key", schemas.FRESHNESS_SENSORS),
-        "device health": (star["fact_device_health_day"], "date_key", schemas.FRESHNESS_SENSORS),
-        "predictions": (none, "prediction_made_at", schemas.FRESHNESS_PREDICTIONS),
-    }
+    """Newest row, age and status of every gold source; predictions were not made yet."""
+    minutes = {
+        "energy": "fact_energy_minute", "environment": "fact_environment_minute", "presence": "fact_presence_minute"
+    }
+    star = adapters.star(spark, sf_dir, *minutes.values(), "fact_device_health_day", "fact_weather_hour")
+    sources = {name: (star[table], "datetime_key", schemas.FRESHNESS_SENSORS) for name, table in minutes.items()}
+    sources["device health"] = (star["fact_device_health_day"], "date_key", schemas.FRESHNESS_SENSORS)
+    sources["weather"] = (star["fact_weather_hour"], "datetime_key", schemas.FRESHNESS_WEATHER)
+    for name, schema in (("motion", schemas.PREDICTION_MOTION), ("consumption", schemas.PREDICTION_CONSUMPTION)):
+        none = spark.createDataFrame([], schema)
+        sources[f"{name} predictions"] = (none, "prediction_made_at", schemas.FRESHNESS_PREDICTIONS)
     return freshness.freshness(sources, F.lit(adapters.NOW).cast("timestamp"))

@@ -212,6 +212,23 @@ def test_features_shift_by_time_and_use_the_forecast_known_then(spark):
     assert rows[at + timedelta(hours=11)].outdoor_temperature_c is None
 
 
+def test_backtest_on_known_coefficients(spark):
+    """Fitted before the cut, scored behind it: an exact linear law is found again."""
+    at = datetime(2024, 1, 1)
+    apartments = spark.createDataFrame([(1, 1)], "apartment_key long, weather_site_key long")
+    rows = ml.features(slots(spark), outlook(spark), apartments)
+    lawful = rows.withColumn("label_power_w", 3.0 * F.coalesce("power_w", F.lit(0.0)) + 2.0 * F.col("hour") + 7)
+    cut = ml.split_time(lawful, 0.75)
+    assert cut == at + timedelta(hours=53, minutes=45)  # 3/4 of 71:45 hours, rounded down to a slot
+    past = ml.known_before(lawful, cut, ml.DAY)
+    assert past.agg(F.max("slot")).first()[0] == cut - timedelta(days=1, minutes=15)
+    held_out = lawful.filter(F.col("slot") >= F.lit(cut))
+    made = ml.predict_consumption(ml.fit_consumption(past), held_out, F.lit(at))
+    (errors,) = ml.backtest(made, "predicted_power_w", "actual_power_w").collect()
+    assert errors.slots == held_out.count() == 73
+    assert errors.mae < 5 and abs(errors.bias) <= errors.mae <= errors.rmse
+
+
 def test_models_learn_and_predictions_are_upserted(spark, tmp_path):
     apartments = spark.createDataFrame([(1, 1)], "apartment_key long, weather_site_key long")
     rows = ml.features(slots(spark), outlook(spark), apartments).cache()
