@@ -138,6 +138,12 @@ def truncate_and_load(df: DataFrame, path: str) -> None:
     recover_table(df.sparkSession, path)
 
 
+def rewrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace a whole table by rows derived from it; they are complete in the shared folder before the old ones go."""
+    staged = session.materialise(df, "rewritten")
+    staged.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, apartment: str | None = None) -> None:
     """Portable copy of a table, optionally of one apartment, as CSV with a header."""
     subset = df if apartment is None else df.filter(F.col("apartment") == apartment)
