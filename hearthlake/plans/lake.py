@@ -93,13 +93,13 @@ def _mark_done(lake: Lake, names: DataFrame, table: str, now: datetime) -> None:
         calendar.canonical_name(F.col("name")).alias("filename"), F.lit(now).cast("timestamp").alias("processed_at")
     )
     fresh = tables.insert_if_absent(done, lake.manifest(table), ["filename"])
-    fresh.write.mode("append").parquet(lake.path(table))
+    tables.append(session.materialise(fresh, "done"), lake.path(table))
 
 
 def _quarantine(lake: Lake, rejected: DataFrame) -> None:
     """Remember rejected files, once per path and modification time."""
     fresh = tables.insert_if_absent(rejected, lake.quarantine(), ["path", "modified"])
-    fresh.write.mode("append").parquet(lake.path(QUARANTINE))
+    tables.append(session.materialise(fresh, "quarantined"), lake.path(QUARANTINE))
 
 
 def _as_periods(lake: Lake, periods: list[date]) -> DataFrame:
@@ -205,7 +205,7 @@ def _grow(lake: Lake, name: str, key: str, build: Callable[[DataFrame | None], D
         return lake.gold(name)
     existing = lake.gold(name)
     added = build(existing).join(existing.select(key), key, "left_anti")
-    session.materialise(added, name).write.mode("append").parquet(path)
+    tables.append(session.materialise(added, name), path)
     return lake.gold(name)
 
 
@@ -220,7 +220,7 @@ def refresh_dimensions(
 ) -> dict[str, DataFrame]:
     """Bring all dimensions up to date with the given silver rows, and the tariffs with the given ones, if any."""
     spark = lake.spark
-    for name in ("dim_apartment", "dim_tariff"):
+    for name in ("dim_apartment", "dim_tariff", "dim_datetime", "dim_date", "dim_weather_site", "dim_room", "dim_device"):
         tables.recover_table(spark, lake.path(f"gold/{name}"))
     found = session.materialise(dimensions.members(readings), "members")
     minutes = _grow(lake, "dim_datetime", "datetime_key", lambda e: dimensions.dim_datetime(readings, weather, e))

@@ -77,15 +77,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; with ``keep`` it outlives a :func:`scratch` block.
 
     Cuts lineage in a way that survives executor loss, and gives the optimizer the table's true size, so that joins
     against it are broadcast only when it is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    if getattr(_SCRATCH, "paths", None) is not None:
+    if not keep and getattr(_SCRATCH, "paths", None) is not None:
         _SCRATCH.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -138,6 +138,20 @@ def truncate_and_load(df: DataFrame, path: str) -> None:
     recover_table(df.sparkSession, path)
 
 
+def append(df: DataFrame, path: str, most: int = 64) -> None:
+    """Add rows to a small unpartitioned table, and rewrite it whenever it has come to more than ``most`` files.
+
+    Jobs that run every minute would otherwise leave a tiny file each time. The rewriting is staged, so an interrupted
+    one is finished by :func:`recover_table`.
+    """
+    spark = df.sparkSession
+    recover_table(spark, path)
+    df.write.mode("append").parquet(path)
+    fs, hadoop = _hadoop_path(spark, path)
+    if fs.getContentSummary(hadoop).getFileCount() > most:
+        truncate_and_load(spark.read.parquet(path).coalesce(max(1, most // 8)), path)
+
+
 def rewrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace a whole table by rows derived from it; they are complete in the shared folder before the old ones go."""
     staged = session.materialise(df, "rewritten")

@@ -26,13 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The given tables hold one row group each, which one task reads; what they stand for is a folder of many files."""
+    return df.repartition(F.col(key))
+
+
 def _kind(*names: str) -> Column:
     return F.col("event_type").isin(*names)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     room = F.element_at(F.array(*[F.lit(r) for r in RAW_ROOMS]), (F.col("user_id") % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "events").drop("props").select(
+    return dealt(table(spark, sf_dir, "events").drop("props"), "event_id").select(
         F.col("event_id").alias("id"),
         F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
         F.when(F.col("user_id") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment"),
@@ -50,7 +55,7 @@ def _shifted(day: str) -> Column:
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     at_minute = F.unix_timestamp(_shifted("o_orderdate")) + (F.col("o_orderkey") % 1440) * 60
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return orders.select(
+    return dealt(orders, "o_orderkey").select(
         F.col("o_orderkey").alias("id"),
         F.timestamp_seconds(at_minute).alias("ts"),
         F.when(F.col("o_custkey") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment"),
@@ -210,7 +215,7 @@ def _forecast_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     q, kind = F.col("l_quantity"), F.col("l_partkey") % 5
     hour = F.unix_timestamp(_shifted("l_shipdate")) + (F.col("l_orderkey") % 24) * 3600
-    return lines.join(orders, "l_orderkey").select(
+    return dealt(lines, "l_orderkey").join(orders, "l_orderkey").select(
         F.timestamp_seconds(hour).alias("hour"),
         F.when(kind == 0, q * 2 - 30).when(kind == 1, q * 2.5).when(kind == 2, q / 5).otherwise(q * 35).alias("v"),
         (F.col("l_discount") == 0).alias("is_sentinel"),

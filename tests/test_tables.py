@@ -97,6 +97,14 @@ def test_truncate_and_load_from_itself(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [3, 4]
 
 
+def test_many_small_appends_stay_few_files(spark, tmp_path):
+    path = tmp_path / "t"
+    for n in range(20):
+        tables.append(spark.range(n, n + 1).toDF("n").coalesce(1), str(path), most=6)
+        assert len([f for f in path.iterdir() if not f.name.startswith(".")]) <= 7
+    assert sorted(r.n for r in spark.read.parquet(str(path)).collect()) == list(range(20))
+
+
 def test_insert_if_absent(spark):
     new = frame(spark, [("a", 1, 1.0, DAY1), ("a", 1, 2.0, DAY1), (None, 1, 1.0, DAY1), ("b", 1, 1.0, DAY1)])
     old = frame(spark, [("b", 1, 0.0, DAY1), (None, 1, 0.0, DAY1)])
