@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.llm import common, places
 
 WINDOW = 35
@@ -60,14 +61,12 @@ def extensions(block: int, window: int):
     return offer
 
 
-def _kept(part: pa.RecordBatch, window: int, starts_column: str | None) -> pa.RecordBatch:
-    """key, n_words, n_removed, n_spans and kept_sha256 of texts and their repeated windows."""
+def _kept(part: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """key, copies, n_words, n_removed, n_spans and kept_sha256 of texts and their repeated windows."""
     data, offsets = common.buffer_of(part.column("text"))
     starts, ends, owner = common.words_of(data, offsets)
     begins = common.per_text(owner, len(offsets) - 1)
-    gone = np.zeros(len(starts), bool)
-    if starts_column:
-        gone = places.covered(places.flagged(part, starts_column, begins, len(starts)), window)
+    gone = places.covered(places.flagged(part, "positions", begins, len(starts)), window)
     first = gone.copy()
     first[1:] &= ~gone[:-1] | (owner[1:] != owner[:-1])
     total, spans = np.concatenate([[0], np.cumsum(gone)]), np.concatenate([[0], np.cumsum(first)])
@@ -77,11 +76,11 @@ def _kept(part: pa.RecordBatch, window: int, starts_column: str | None) -> pa.Re
         here = np.flatnonzero(~gone[a:b]) + a
         kept = b" ".join([raw[s:e] for s, e in zip(starts[here].tolist(), ends[here].tolist(), strict=True)])
         digests.append(hashlib.sha256(kept).hexdigest())
-    columns = [part.column("key"), pa.array(np.diff(begins)), pa.array(total[begins[1:]] - total[begins[:-1]]), pa.array(spans[begins[1:]] - spans[begins[:-1]]), pa.array(digests)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "n_words", "n_removed", "n_spans", "kept_sha256"])
+    columns = [part.column("key"), part.column("copies"), pa.array(np.diff(begins)), pa.array(total[begins[1:]] - total[begins[:-1]]), pa.array(spans[begins[1:]] - spans[begins[:-1]]), pa.array(digests)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "copies", "n_words", "n_removed", "n_spans", "kept_sha256"])
 
 
-RESULT = "key long, n_words long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "key long, copies long, n_words long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -94,15 +93,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) ->
     if 2 * block - 1 > window:
         raise ValueError("a window must hold a whole block")
     rows = places.keyed(docs)
-    counted = common.materialise(places.copies(rows), "copies")
-    texts = common.materialise(places.one_text(rows), "texts")
-    hits = common.materialise(places.repeated(texts, probes(block), True, exact=False), "hits")
-    near = texts.join(hits, "key")
-    found = common.materialise(places.repeated(near, extensions(block, window), False), "repeats")
+    texts = common.materialise(places.one_text(rows), "texts", keep=True)
+    with session.scratch(docs.sparkSession):
+        hits = common.materialise(places.repeated(texts, probes(block), True, exact=False), "hits")
+        near = texts.join(hits, "key")
+        found = common.materialise(places.repeated(near, extensions(block, window), False), "repeats", keep=True)
     joined = texts.join(found, "key", "left")
-    clean = common.mapped(joined.filter("positions IS NULL").select("key", "text"), lambda p: _kept(p, window, None), RESULT)
-    cut = common.mapped(joined.filter("positions IS NOT NULL"), lambda p: _kept(p, window, "positions"), RESULT)
-    per_text = clean.unionByName(cut).join(counted, "key")
+    per_text = common.mapped(joined, lambda p: _kept(p, window), RESULT)
     whole = (F.col("copies") > 1) & (F.col("n_words") >= window)
     per_text = per_text.select(
         "key",

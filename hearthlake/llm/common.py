@@ -27,13 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The frame as a table in the shared folder; the shuffle files behind it are not needed any more and go."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return session.materialise(df, name)
+        return session.materialise(df, name, keep)
     finally:
         conf.set(key, before)
 

@@ -27,14 +27,9 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of(docs).alias("text")).withColumn("key", F.xxhash64("text"))
 
 
-def copies(rows: DataFrame) -> DataFrame:
-    """Rows per key, counted on the map side first."""
-    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-
-
 def one_text(rows: DataFrame) -> DataFrame:
-    """One row per key; copies are dropped before and after the shuffle, so a text with very many is no hot key."""
-    return rows.select("key", "text").groupBy("key").agg(F.min("text").alias("text"))
+    """One row per key with its number of copies; they are merged before the shuffle too, so no text is a hot key."""
+    return rows.groupBy("key").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
 
 
 def _pack(at: np.ndarray) -> bytes:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.llm import common
 from hearthlake.operators.dedupe import one_per_key
 
@@ -289,18 +290,21 @@ def verified(docs: DataFrame, sets: DataFrame, labels: DataFrame, plan: Plan) ->
 
 def _solved(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """The embedded rows, and node, copies, least_doc, links and label of every set with shingles."""
-    embedded = common.materialise(embed(docs, plan), "signatures")
-    sets = embedded.filter("size > 0").groupBy("node").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("signature").alias("signature")
-    )
-    sets = common.materialise(sets, "sets")
-    labels = common.components(candidate_edges(sets, plan))
-    checked = common.materialise(verified(docs, sets, labels, plan), "verified")
-    links = checked.groupBy("node").agg(F.sum("links").alias("links"))
-    final = common.components(checked.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
-    known = sets.select("node", "copies", "least_doc").join(links, "node", "left").join(final, "node", "left")
-    known = known.select("node", "copies", "least_doc", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "node").alias("label"))
-    return embedded, common.materialise(known, "classes")
+    with session.scratch(docs.sparkSession):
+        embedded = common.materialise(embed(docs, plan), "signatures")
+        rows = common.materialise(embedded.select("doc_id", "text_key", "node", "size"), "nodes", keep=True)
+        sets = embedded.filter("size > 0").groupBy("node").agg(
+            F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("signature").alias("signature")
+        )
+        sets = common.materialise(sets, "sets")
+        labels = common.components(candidate_edges(sets, plan))
+        checked = common.materialise(verified(docs, sets, labels, plan), "verified")
+        links = checked.groupBy("node").agg(F.sum("links").alias("links"))
+        final = common.components(checked.filter("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+        known = sets.select("node", "copies", "least_doc").join(links, "node", "left").join(final, "node", "left")
+        known = known.select("node", "copies", "least_doc", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "node").alias("label"))
+        known = common.materialise(known, "classes", keep=True)
+    return rows, known
 
 
 def classes(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:

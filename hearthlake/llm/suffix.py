@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.llm import common, places
 
 # Symbols of a table of texts that are sorted in step, and the longest text that is; longer ones are sorted alone.
@@ -418,28 +419,30 @@ def _result(length: int, with_text: bool):
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         kept, size, removed, spans = kept_parts(part, length)
         last = pa.array([k.decode("utf-8", "ignore") for k in kept]) if with_text else pa.array([hashlib.sha256(k).hexdigest() for k in kept])
-        return pa.RecordBatch.from_arrays([part.column("key"), pa.array(size), pa.array(removed), pa.array(spans), last], ["key", "n_bytes", "n_removed", "n_spans", "kept"])
+        columns = [part.column("key"), part.column("copies"), pa.array(size), pa.array(removed), pa.array(spans), last]
+        return pa.RecordBatch.from_arrays(columns, ["key", "copies", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
 
-RESULT = "key long, n_bytes long, n_removed long, n_spans long, kept string"
+RESULT = "key long, copies long, n_bytes long, n_removed long, n_spans long, kept string"
 
 
 def _per_text(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
     cutting = Cutting(length)
-    counted = common.materialise(places.copies(rows), "copies")
-    texts = common.materialise(places.one_text(rows), "texts")
-    hits = common.materialise(places.repeated(texts, offer_anchors(cutting), False, exact=False), "cores")
-    cut = common.mapped(texts.join(hits, "key"), fragments(cutting), "core long, fragment binary, places binary")
-    cut = cut.repartition(common.tasks_for(rows), "core").sortWithinPartitions("core")
-    found = common.materialise(cut.mapInArrow(repeated_starts(cutting), "key long, at long, bits long"), "starts")
-    starts = found.repartition(common.tasks_for(rows), "key").sortWithinPartitions("key").mapInArrow(starts_of, "key long, positions binary")
-    joined = texts.join(common.materialise(starts, "spans"), "key", "left")
+    texts = common.materialise(places.one_text(rows), "texts", keep=True)
+    with session.scratch(rows.sparkSession):
+        hits = common.materialise(places.repeated(texts, offer_anchors(cutting), False, exact=False), "cores")
+        cut = common.mapped(texts.join(hits, "key"), fragments(cutting), "core long, fragment binary, places binary")
+        cut = cut.repartition(common.tasks_for(rows), "core").sortWithinPartitions("core")
+        found = common.materialise(cut.mapInArrow(repeated_starts(cutting), "key long, at long, bits long"), "starts")
+        starts = found.repartition(common.tasks_for(rows), "key").sortWithinPartitions("key")
+        spans = common.materialise(starts.mapInArrow(starts_of, "key long, positions binary"), "spans", keep=True)
+    joined = texts.join(spans, "key", "left")
     judged = common.mapped(joined, _result(length, with_text), RESULT)
     nothing = F.lit("") if with_text else F.sha2(F.lit(""), 256)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    return judged.join(counted, "key").select(
+    return judged.select(
         "key",
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
