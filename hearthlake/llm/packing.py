@@ -87,9 +87,9 @@ def cut_points(docs: DataFrame, n: int) -> list[int]:
     if not rows or n < 2:
         return []
     some = docs if rows <= BOUND_ROWS else docs.sample(BOUND_ROWS / rows, 7)
-    shares = [i / n for i in range(1, n)]
-    found = with_keys(some).agg(F.percentile_approx("curve", shares, 10_000).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
+    by_size = with_keys(some).withColumn("size", F.length("text") + 1)
+    found = by_size.agg(F.percentile("curve", [i / n for i in range(1, n)], F.col("size")).alias("cuts")).first()["cuts"]
+    return sorted({int(c) for c in found or []})
 
 
 def lengths_of(total: int, most: int) -> list[int]:
