@@ -1,8 +1,9 @@
 """Where hashes occur at least twice: a packed exchange of (hash, place) between all texts.
 
 A task packs the hashes of some texts into one value per bucket, so that a place costs about ten bytes instead of a
-row. The task of a bucket sorts them and answers each sender with its repeated places; a second, small exchange turns
-these into positions per text.
+row. Of a hash that stands more than twice in these texts only two places are sent; the others wait where the answers
+come home. The task of a bucket sorts the hashes and answers each sender with its repeated places; a second, small
+exchange turns these into positions per text.
 """
 
 from __future__ import annotations
@@ -53,13 +54,38 @@ def _wide(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, "<u4", n).astype(np.uint64) | np.frombuffer(packed, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
-def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked: bool, exact: bool = True) -> DataFrame:
+def _two(at: np.ndarray, hashes: np.ndarray, marks: np.ndarray, often: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The first two places of every hash with hash and mark (that of any of its places, or whether it has ``often``
+    places), and for every further place the first one of its hash, as pairs.
+    """
+    order = np.argsort(hashes & ~np.uint64(1), kind="stable")
+    ranked = hashes[order] & ~np.uint64(1)
+    new = np.ones(len(order), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    begin = np.flatnonzero(new)
+    if len(begin) == len(order):
+        return at, hashes, marks, np.zeros((0, 2), "<u4")
+    group = np.cumsum(new) - 1
+    marks = marks.copy()
+    marks[order[begin]] = np.diff(np.append(begin, len(order))) >= often if often else np.logical_or.reduceat(marks[order], begin)
+    further = np.flatnonzero(np.arange(len(order)) - begin[group] >= 2)
+    kept = np.ones(len(at), bool)
+    kept[order[further]] = False
+    pairs = np.stack([at[order[begin[group[further]]]], at[order[further]]], axis=1).astype("<u4")
+    return at[kept], hashes[kept], marks[kept], pairs
+
+
+def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked: bool, exact: bool = True, crowd: tuple[int, int] | None = None) -> DataFrame:
     """key and positions (binary, 32-bit) of all places of ``rows`` (key, text and more) whose hash occurs twice.
 
     With ``marked`` a hash also has to be marked in one of its places. Every key of ``rows`` should occur once. Unless
     ``exact``, 40 bits beside the bucket stand for a hash: all repeats are found, and a few places more.
+
+    With ``crowd``, instead of marks, the column ``crowded`` has the places of hashes that stand that often in one slice
+    of texts (first number) or are sent more than that often (second), and ``positions`` only those of the others.
     """
     buckets = common.tasks_for(rows)
+    crowded_bit = np.uint32(1 << 31)
     names = ["bucket", "batch", "hashes", "at"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,6 +96,7 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
                 batch_id += 1
                 if not len(at):
                     continue
+                at, hashes, marks, further = _two(at, hashes, marks, crowd[0] if crowd else None)
                 bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -78,8 +105,8 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
                 filled = np.flatnonzero(np.diff(cuts))
                 out_hashes = [values[cuts[b] : cuts[b + 1]].tobytes() if exact else _narrow(values[cuts[b] : cuts[b + 1]]) for b in filled]
                 out_at = [_pack(place[cuts[b] : cuts[b + 1]]) for b in filled]
-                # The sender's own list of texts travels as a value without hashes.
-                texts = part.column("key").to_numpy().tobytes() + begins.astype("<i8").tobytes()
+                # The sender's own list of texts and further places travels as a value without hashes.
+                texts = np.int64(part.num_rows).tobytes() + part.column("key").to_numpy().tobytes() + begins.astype("<i8").tobytes() + further.tobytes()
                 where = [*filled.tolist(), batch_id % buckets]
                 yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array([batch_id] * len(where), pa.int64()), pa.array([*out_hashes, None], pa.binary()), pa.array([*out_at, texts], pa.binary())], names)
 
@@ -108,11 +135,14 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
             found &= np.bitwise_or.reduceat(ranked & np.uint64(1), begin).astype(bool)
         hit = np.zeros(len(bare), bool)
         hit[order] = np.repeat(found, size)
+        crowded = np.zeros(len(bare), bool)
+        if crowd:
+            crowded[order] = np.repeat((size > crowd[1]) | np.bitwise_or.reduceat(ranked & np.uint64(1), begin).astype(bool), size)
         edges = np.concatenate([[0], np.cumsum(sizes)])
         for sender, a, b, packed in zip(senders, edges[:-1].tolist(), edges[1:].tolist(), at, strict=True):
             mine = hit[a:b]
             if mine.any():
-                value = _unpack(packed, b - a)[mine].astype("<u4").tobytes()
+                value = (_unpack(packed, b - a)[mine].astype("<u4") | np.where(crowded[a:b][mine], crowded_bit, np.uint32(0))).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([sender], pa.int64()), pa.array([False]), pa.array([value], pa.binary())], ["batch", "texts", "value"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,19 +155,31 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
                     found.append(np.frombuffer(value, "<u4"))
             if not found:
                 continue
-            n = (len(texts) // 8 - 1) // 2
-            keys, begins = np.frombuffer(texts, "<i8", n), np.frombuffer(texts, "<i8", n + 1, 8 * n)
-            at = np.sort(np.concatenate(found)).astype(np.int64)
+            n = int(np.frombuffer(texts, "<i8", 1)[0])
+            keys, begins = np.frombuffer(texts, "<i8", n, 8), np.frombuffer(texts, "<i8", n + 1, 8 + 8 * n)
+            further = np.frombuffer(texts, "<u4", offset=16 + 16 * n).reshape(-1, 2)
+            values = np.concatenate(found)
+            bare = values & ~crowded_bit
+            order = np.argsort(bare)
+            values, bare = values[order], bare[order]
+            first = np.minimum(np.searchsorted(bare, further[:, 0]), len(bare) - 1)
+            also = bare[first] == further[:, 0]
+            values = np.concatenate([values, further[also, 1] | values[first[also]] & crowded_bit])
+            at = (values & ~crowded_bit).astype(np.int64)
+            order = np.argsort(at)
+            at, crowded = at[order], (values[order] & crowded_bit).astype(bool)
             owner = np.searchsorted(begins, at, side="right") - 1
             cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             ends = np.append(cuts[1:], len(at))
-            values = [(at[a:b] - begins[owner[a]]).astype("<u4").tobytes() for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[owner[cuts]]), pa.array(values, pa.binary())], ["key", "positions"])
+            inside = (at - begins[owner]).astype("<u4")
+            kinds = [~crowded, crowded] if crowd else [~crowded]
+            columns = [[inside[a:b][kind[a:b]].tobytes() or None for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)] for kind in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[owner[cuts]]), *[pa.array(c, pa.binary()) for c in columns]], ["key", "positions", "crowded"][: 1 + len(kinds)])
 
     sent = rows.mapInArrow(send, "bucket int, batch long, hashes binary, at binary")
     answered = sent.repartitionById(buckets, F.col("bucket")).select("batch", "hashes", "at").mapInArrow(answer, "batch long, texts boolean, value binary")
     home = answered.repartition(buckets, "batch").sortWithinPartitions("batch")
-    return home.mapInArrow(place, "key long, positions binary")
+    return home.mapInArrow(place, "key long, positions binary" + (", crowded binary" if crowd else ""))
 
 
 def flagged(batch: pa.RecordBatch, column: str, begins: np.ndarray, n: int) -> np.ndarray:

@@ -24,6 +24,10 @@ from hearthlake.llm import common, places
 TABLE_CELLS = 400_000
 IN_STEP = 1024
 
+# A core that stands so often in one slice of texts, or is sent more than so often by all (two places of a slice at
+# most), is crowded. The others have at most half the product of fragments.
+CROWD = (32, 1024)
+
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Suffix array of one text whose last symbol is its only least one."""
@@ -236,6 +240,21 @@ def offer_anchors(cutting: Cutting):
     return offer
 
 
+def offer_windows(cutting: Cutting):
+    """All windows that hold a crowded core."""
+
+    def offer(part: pa.RecordBatch) -> places.Places:
+        data, offsets = common.buffer_of(part.column("text"))
+        n = len(data)
+        crowded = np.concatenate([[0], np.cumsum(places.flagged(part, "crowded", offsets, n))])
+        at = np.arange(max(0, n - cutting.length + 1))
+        at = at[crowded[at + cutting.reach + 1] > crowded[at]]
+        at = at[at + cutting.length <= offsets[np.searchsorted(offsets, at, side="right")]]
+        return at, common.Hasher(common.SYMBOLS[data]).ranges(at, at + cutting.length), np.zeros(len(at), bool), offsets
+
+    return offer
+
+
 def fragments(cutting: Cutting):
     """Fragments around shared cores: core hash, fragment (two lengths, left and right bytes), and all its places.
 
@@ -404,7 +423,8 @@ def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def kept_parts(part: pa.RecordBatch, length: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """Remaining bytes, bytes, removed bytes and removed runs of each text."""
     data, offsets = common.buffer_of(part.column("text"))
-    gone = places.covered(places.flagged(part, "positions", offsets, len(data)), length)
+    starts = places.flagged(part, "positions", offsets, len(data)) | places.flagged(part, "windows", offsets, len(data))
+    gone = places.covered(starts, length)
     first = gone.copy()
     first[1:] &= ~gone[:-1]
     begin = offsets[:-1][offsets[:-1] < len(data)]
@@ -428,17 +448,23 @@ def _result(length: int, with_text: bool):
 RESULT = "key long, copies long, n_bytes long, n_removed long, n_spans long, kept string"
 
 
-def _per_text(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
+def _per_text(rows: DataFrame, length: int, with_text: bool, crowd: tuple[int, int]) -> DataFrame:
     cutting = Cutting(length)
     texts = common.materialise(places.one_text(rows), "texts", keep=True)
     with session.scratch(rows.sparkSession):
-        hits = common.materialise(places.repeated(texts, offer_anchors(cutting), False, exact=False), "cores")
-        cut = common.mapped(texts.join(hits, "key"), fragments(cutting), "core long, fragment binary, places binary")
+        hits = common.materialise(places.repeated(texts, offer_anchors(cutting), False, exact=False, crowd=crowd), "cores")
+        # The windows of a crowded core are told apart one by one, so that no task gets all its fragments.
+        crowded, windows = hits.filter("crowded IS NOT NULL"), None
+        if not crowded.isEmpty():
+            windows = places.repeated(texts.join(crowded.select("key", "crowded"), "key"), offer_windows(cutting), False)
+            windows = common.materialise(windows.withColumnRenamed("positions", "windows"), "windows", keep=True)
+        cut = common.mapped(texts.join(hits.filter("positions IS NOT NULL").select("key", "positions"), "key"), fragments(cutting), "core long, fragment binary, places binary")
         cut = cut.repartition(common.tasks_for(rows), "core").sortWithinPartitions("core")
         found = common.materialise(cut.mapInArrow(repeated_starts(cutting), "key long, at long, bits long"), "starts")
         starts = found.repartition(common.tasks_for(rows), "key").sortWithinPartitions("key")
         spans = common.materialise(starts.mapInArrow(starts_of, "key long, positions binary"), "spans", keep=True)
     joined = texts.join(spans, "key", "left")
+    joined = joined.join(windows, "key", "left") if windows else joined.withColumn("windows", F.lit(None).cast("binary"))
     judged = common.mapped(joined, _result(length, with_text), RESULT)
     nothing = F.lit("") if with_text else F.sha2(F.lit(""), 256)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
@@ -451,7 +477,7 @@ def _per_text(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, crowd: tuple[int, int] = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row of ``docs``.
 
     Bytes (UTF-8) covered by a string of ``length`` bytes that also begins anywhere else, in the same text too, are
@@ -460,17 +486,17 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     columns are ignored; no rows give no rows.
     """
     rows = places.keyed(docs)
-    found = _per_text(rows, length, False).withColumnRenamed("kept", "kept_sha256")
+    found = _per_text(rows, length, False, crowd).withColumnRenamed("kept", "kept_sha256")
     return rows.select("doc_id", "key").join(found, "key").drop("key")
 
 
-def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = 200, crowd: tuple[int, int] = CROWD) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the texts; all columns stay, n_chars follows the new text.
 
     What is left of a character that is cut in two goes as well. Rows of which nothing is left go, rows that were null
     or empty stay. Rows that nothing is taken from are unchanged.
     """
-    kept = _per_text(places.keyed(docs), length, True).filter("n_removed > 0").select("key", F.col("kept").alias("__kept"))
+    kept = _per_text(places.keyed(docs), length, True, crowd).filter("n_removed > 0").select("key", F.col("kept").alias("__kept"))
     text = common.text_of(docs)
     joined = docs.withColumn("key", F.xxhash64(text)).join(kept, "key", "left").filter("__kept IS NULL OR __kept != ''")
     joined = joined.withColumn("text", F.coalesce("__kept", "text"))

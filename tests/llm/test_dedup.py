@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from hearthlake.llm import blocks, similar, suffix
+from hearthlake.llm import blocks, common, places, similar, suffix
 from tests.llm.helpers import awkward, byte_repeats, frame, rows_of, similar as plain_similar, word_repeats
 
 
@@ -41,6 +41,31 @@ def test_edited_copies(spark):
     assert rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 200)
 
 
+def _passage_rows(seed, n):
+    """One passage between different surroundings, which share their nearest bytes now and then."""
+    r = random.Random(seed)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(260))
+    side = lambda: "".join(r.choice("xy") for _ in range(r.randint(0, 60)))
+    return [(i, side() + passage + side() if i % 3 else side() + side()) for i in range(n)]
+
+
+@pytest.mark.parametrize("crowd", [(2, 1), (4, 8), (10**9, 10**9)])
+def test_crowded_cores(spark, crowd):
+    rows = _passage_rows(3, 90)
+    found = suffix.remove_repeats(frame(spark, rows), crowd=crowd)
+    assert rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 200)
+
+
+def test_a_crowded_core_never_meets_in_one_group(spark):
+    """No fragment around a passage that stands in two thirds of all rows is dealt by its core."""
+    texts = places.one_text(places.keyed(frame(spark, _passage_rows(4, 300)))).coalesce(1)
+    cutting = suffix.Cutting(200)
+    hits = places.repeated(texts, suffix.offer_anchors(cutting), False, exact=False, crowd=suffix.CROWD)
+    cut = common.mapped(texts.join(hits, "key"), suffix.fragments(cutting), "core long, fragment binary, places binary")
+    assert hits.filter("crowded IS NOT NULL").count() == 200
+    assert max([r["count"] for r in cut.groupBy("core").count().collect()], default=0) < suffix.CROWD[0]
+
+
 @pytest.mark.parametrize("window, block", [(5, 3), (9, 5), (35, 18)])
 def test_word_repeats(spark, window, block):
     rows = awkward(window, words=2) + [(200, "b " * 70), (201, "c " * 34)]
