@@ -79,32 +79,36 @@ MINUTES = {
 
 
 # How the parts of one minute that came in several batches merge.
-_MERGE = {"energy": {"power_w": F.max, "energy_kwh": F.max, "is_valid": F.bool_and}}
+_MERGE = {
+    "energy": {"power_w": F.max, "energy_kwh": F.max, "is_valid": F.bool_and},
+    "environment": {
+        **{c: F.max for c in ("temperature_c", "humidity_pct", "co2_ppm", "noise_db", "pressure_hpa")},
+        **{c: F.bool_or for c in ("window_open_flag", "door_open_flag", "is_anomaly")},
+    },
+    "presence": {"motion_count": F.sum, "door_open_flag": F.bool_or, "presence_flag": F.bool_or},
+}
 
 
-def publish_minutes(
-    readings: DataFrame, kind: str, path: str, lateness: str = "10 minutes", every: str | None = None
-) -> StreamingQuery:
-    """Write every minute that a batch changed, so that the newest minutes are out before they are final.
+def publish_minutes(readings: DataFrame, kind: str, path: str, every: str | None = None) -> StreamingQuery:
+    """Write every minute that a batch has readings of, so that the newest minutes are out before they are final.
 
-    A batch has a folder of its own, which a replay overwrites; :func:`published_minutes` merges them.
+    There is no watermark: a batch is aggregated by itself, so readings of any age count and no state is kept. A batch
+    has a folder of its own, which a replay overwrites; :func:`published_minutes` merges them. Every reading should
+    arrive once, since counts are added up.
     """
-    minutes = minute_aggregate(readings, kind, lateness)
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        MINUTES[kind](batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = minutes.writeStream.outputMode("update").foreachBatch(handle)
-    writer = writer.option("checkpointLocation", f"{path}_checkpoint")
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    return _start(readings, handle, f"{path}_checkpoint", every)
 
 
 def published_minutes(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """One row per natural key and minute of what :func:`publish_minutes` has written."""
     rows = spark.read.parquet(path).drop("batch")
     merge = _MERGE[kind]
-    keys = [c for c in rows.columns if c not in merge]
-    return rows.groupBy(*keys).agg(*[how(c).alias(c) for c, how in merge.items()])
+    merged = rows.groupBy(*[c for c in rows.columns if c not in merge]).agg(*[how(c).alias(c) for c, how in merge.items()])
+    return merged.select(*[F.col(c).cast(rows.schema[c].dataType) for c in rows.columns])
 
 
 def minute_aggregate(readings: DataFrame, kind: str, lateness: str = "10 minutes") -> DataFrame:

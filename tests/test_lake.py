@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -179,6 +180,30 @@ def test_stream_minutes_are_the_batch_minutes(spark, tmp_path, kind):
     assert rows(out.select(batch.columns)) == rows(batch)
 
 
+@pytest.mark.parametrize("kind", ["energy", "environment", "presence"])
+def test_published_minutes_take_readings_of_any_age(spark, tmp_path, kind):
+    """Files an hour behind the newest reading, one per batch, give the minutes of all readings at once."""
+    at = datetime(2024, 1, 1, 10)
+    cells = {"energy": ("plug", "power"), "environment": ("meteo", "noise_db"), "presence": ("motion", "motion")}[kind]
+    hours = [
+        [("a", "r", *cells, float(i % 2), "u", at + timedelta(hours=h, seconds=20 * i + h), i == 4) for i in range(12)]
+        for h in (2, 1, 0, 1)
+    ]
+    hours[3] = [(*r[:6], r[6] + timedelta(seconds=5), False) for r in hours[3]]
+    path, seen = str(tmp_path / "r"), set()
+    for k, data in enumerate(hours):
+        spark.createDataFrame(data, schemas.READINGS).coalesce(1).write.mode("append").parquet(path)
+        for f in set((tmp_path / "r").glob("part-*")) - seen:
+            os.utime(f, (1_700_000_000 + 60 * k,) * 2)
+            seen.add(f)
+    stream = spark.readStream.schema(schemas.READINGS).option("maxFilesPerTrigger", 1).parquet(path)
+    out = str(tmp_path / "out")
+    ingest.publish_minutes(stream, kind, out).awaitTermination()
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+    want = ingest.MINUTES[kind](spark.read.parquet(path))
+    assert rows(ingest.published_minutes(spark, kind, out).select(want.columns)) == rows(want)
+
+
 def test_readings_survive_any_batching(lake, spark, tmp_path):
     """The same files, loaded at once or one by one, give the same table."""
     put_files(tmp_path / "in", n=3, apartments=("Alpha",))
