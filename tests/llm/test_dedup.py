@@ -66,6 +66,24 @@ def test_a_crowded_core_never_meets_in_one_group(spark):
     assert max([r["count"] for r in cut.groupBy("core").count().collect()], default=0) < suffix.CROWD[0]
 
 
+@pytest.mark.parametrize("exact, marked", [(True, False), (False, False), (True, True)])
+def test_a_slice_sends_two_places_of_a_hash(spark, exact, marked):
+    def offer(part):
+        data, offsets = common.buffer_of(part.column("text"))
+        at = np.arange(len(data))
+        hashes = common.mix(data.astype(np.uint64) + np.uint64(1))
+        return at, hashes, (data == ord("a")) & (at % 7 == 3), offsets
+
+    rows = frame(spark, [(1, "a" * 50 + "z"), (2, "bcab"), (3, "y" * 3)])
+    rows = places.keyed(rows).coalesce(1)
+    found = {r["key"]: np.frombuffer(r["positions"], "<u4").tolist() for r in places.repeated(rows, offer, marked, exact).collect()}
+    key = {r["doc_id"]: r["key"] for r in rows.collect()}
+    want = {key[1]: [*range(50)], key[2]: [2] if marked else [0, 2, 3]} | ({} if marked else {key[3]: [0, 1, 2]})
+    assert found == want
+    at, _, marks, further = places._two(np.arange(9), np.full(9, 8, np.uint64), np.arange(9) == 5, None)
+    assert at.tolist() == [0, 1] and marks.tolist() == [True, False] and further.tolist() == [[0, i] for i in range(2, 9)]
+
+
 @pytest.mark.parametrize("window, block", [(5, 3), (9, 5), (35, 18)])
 def test_word_repeats(spark, window, block):
     rows = awkward(window, words=2) + [(200, "b " * 70), (201, "c " * 34)]
