@@ -276,14 +276,15 @@ def flatten_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     oracles.over_readings(
-        """SELECT folder, apartment, ts AS file_ts FROM ev_all WHERE event_type = 'click' AND id % 101 = 0"""
+        """SELECT folder, apartment, ts AS file_ts, 'a part of the payload cannot be read' AS reason
+           FROM ev_all WHERE event_type = 'click' AND id % 101 = 0"""
     )
 )
 def quarantined_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files rejected as a whole because one value cannot be read."""
+    """Files rejected as a whole because one value cannot be read, with the reason."""
     rejected = flatten.quarantined(flatten.parse_payloads(_keyed_payloads(spark, sf_dir)))
-    folder = F.regexp_extract("path", "^(bronze/[^/]+)/", 1)
-    return rejected.select(folder.alias("folder"), "apartment", "file_ts")
+    folder = F.regexp_extract("path", "^(bronze/[^/]+)/", 1).alias("folder")
+    return sensors.with_file_keys(rejected, adapters.APARTMENT_MAP).select(folder, "apartment", "file_ts", "reason")
 
 
 @query(
