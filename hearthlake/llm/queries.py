@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import blocks, chat, decontaminate, packing, quality, rules, similar, suffix, toxicity, wavelet
+from hearthlake.llm import blocks, chat, decontaminate, packing, quality, repair, rules, similar, suffix, toxicity, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ ORACLES["op9_chat_format"] = chat.sql(extra=f"UNION ALL SELECT -1, 0, 'user', '{
 def op10_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
