@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import blocks, chat, decontaminate, packing, quality, repair, rules, similar, suffix, toxicity, trie, wavelet
+from hearthlake.llm import blocks, chat, decontaminate, language, packing, quality, repair, rules, similar, suffix, toxicity, trie, wavelet
 from hearthlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.score(table(spark, sf_dir, "documents"))
