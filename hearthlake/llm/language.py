@@ -13,21 +13,26 @@ one slice that has it, its owner.
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.llm import common
 
 HELD_OUT = (7, 2)
 # Sweeps whose probabilities are averaged, those before them, re-seatings of a block in a sweep, strength of each level.
-SAMPLES, BURN_IN, MOVES, STRENGTH = 2, 1, 4, 1.0
+SAMPLES, BURN_IN, MOVES, STRENGTH = 2, 1, 3, 1.0
 END = np.uint64(0x5851F42D4C957F2D)
+SUMMARY, DRAWN = -1, -2  # instead of a slice
 MESSAGE = "slice long, bucket int, payload binary"
 
 Keys = tuple[np.ndarray, list[np.ndarray]]
@@ -52,23 +57,26 @@ def uniform(keys: np.ndarray, step: int) -> np.ndarray:
     return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
-LARGEST = 1 << 40
+TABLED = 64
+
+
+@cache
+def _beyond(discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of more than 1, 2, ... customers at a table."""
+    n, scale = np.arange(1, TABLED + 1), log_gamma(np.array([1 - discount]))
+    return np.exp(log_gamma(n + 1 - discount) - log_gamma(n + 1.0) - scale), scale
 
 
 def table_sizes(u: np.ndarray, discount: float) -> np.ndarray:
-    """Sizes of single tables: n with probability discount * Gamma(n - discount) / (Gamma(1 - discount) * n!), by inversion."""
-    n = np.arange(1, 65)
-    scale = log_gamma(np.array([1 - discount]))
-    beyond = np.exp(log_gamma(n + 1 - discount) - log_gamma(n + 1.0) - scale)
+    """Sizes of single tables: n with probability discount * Gamma(n - discount) / (Gamma(1 - discount) * n!), by inversion.
+
+    Beyond :data:`TABLED` the ratio of Gamma functions is taken for a power, which is right to a few millionths.
+    """
+    beyond, scale = _beyond(discount)
     sizes = 1 + np.searchsorted(-beyond, -u, side="right").astype(np.int64)
-    tail = np.flatnonzero(sizes > 64)
-    low, high = np.full(len(tail), 64), np.full(len(tail), LARGEST)
-    log_u = np.log(u[tail])
-    while (high - low > 1).any():
-        middle = (low + high) // 2
-        above = log_u <= log_gamma(middle + 1 - discount) - log_gamma(middle + 1.0) - scale
-        low, high = np.where(above & (high - low > 1), middle, low), np.where(above | (high - low <= 1), high, middle)
-    sizes[tail] = high
+    tail = np.flatnonzero(sizes > TABLED)
+    large = np.ceil(np.exp(-(np.log(u[tail]) + scale) / discount) - (1 - discount) / 2)
+    sizes[tail] = np.clip(large, TABLED + 1, 1 << 60).astype(np.int64)
     return sizes
 
 
@@ -95,7 +103,7 @@ def tilted_sizes(tilt: np.ndarray, discount: float, keys: np.ndarray, step: int)
 def tilt_of(customers: np.ndarray, new: np.ndarray, discount: float) -> np.ndarray:
     """The tilt under which the expected sizes of all tables add up to the customers."""
     low, high = np.zeros(len(customers)), np.full(len(customers), 50.0)  # minus the logarithm of 1 - tilt
-    for _ in range(40):
+    for _ in range(18):
         rest = np.exp(-(low + high) / 2)
         z = 1 - rest
         less = new * z * rest ** (discount - 1) + 1 + (1 - discount) * z / rest < customers
@@ -155,8 +163,16 @@ def discount_of(once: int, twice: int) -> float:
 # ---- slices and their exchange --------------------------------------------------------------------------------
 
 
+def _packed(payload: object) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(payload, protocol=5))
+
+
+def _unpacked(payload: bytes) -> object:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
+
+
 def _row(slice_id: int, bucket: int, payload: object) -> tuple[int, int, bytes]:
-    return slice_id, bucket, pickle.dumps(payload, protocol=5)
+    return slice_id, bucket, _packed(payload)
 
 
 def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -169,49 +185,70 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def lowered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def name(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=8).digest()
+
+
+def word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of the lower-cased words, each different one hashed once, and their texts."""
     data, offsets = common.buffer_of(texts)
-    return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data), offsets
+    starts, ends, owner = common.words_of(data, offsets)
+    letters = data[~common.SEPARATORS[data]]
+    letters = np.where((letters >= 65) & (letters <= 90), letters + np.uint8(32), letters)
+    cuts = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(letters)]).dictionary_encode()
+    names = np.frombuffer(b"".join(map(name, words.dictionary.to_pylist())), "<u8")
+    return names[words.indices.to_numpy()], owner
 
 
 def slices(docs: DataFrame) -> DataFrame:
-    """Stored slices of ``docs``: doc_ids, held (per document), starts (of its tokens), words and tokens."""
+    """Stored slices of ``docs``: words; and in tokens doc_ids and held per document, starts of its tokens, and these."""
     n, left_out = HELD_OUT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in common.steps(batch):
-                data, offsets = lowered(part.column("text"))
-                starts, ends, owner = common.words_of(data, offsets)
-                hashes = common.word_hashes(data, starts, ends)
+                hashes, owner = word_names(part.column("text"))
                 per_text = np.bincount(owner, minlength=part.num_rows)
                 begins = np.concatenate([[0], np.cumsum(per_text + 1)])
                 every = np.full(int(begins[-1]), END, np.uint64)
                 every[np.arange(len(hashes)) + owner] = hashes
-                words, tokens = np.unique(every, return_inverse=True)
-                payload = {"doc_ids": part.column("doc_id").to_pylist(), "held": part.column("held").to_numpy(zero_copy_only=False), "starts": begins, "words": words, "tokens": _narrow(tokens)}
-                yield _rows([_row(number, -1, payload)])
+                words, tokens, times = np.unique(every, return_inverse=True, return_counts=True)
+                # Frequent words get small numbers, whose bytes are stored apart and pack well.
+                order = np.argsort(-times, kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                words, tokens = words[order], rank[tokens]
+                planes = [(tokens >> shift & 255).astype(np.uint8) for shift in range(0, max(1, len(order).bit_length()), 8)]
+                payload = {"doc_ids": part.column("doc_id").to_pylist(), "held": part.column("held").to_numpy(zero_copy_only=False), "starts": begins, "planes": planes}
+                columns = [pa.array([number], pa.int64()), pa.array([_packed(words)], pa.binary()), pa.array([_packed(payload)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "words", "tokens"])
                 number += 1
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n == left_out, F.lit(False)).alias("held")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of(docs).alias("text"), held)
-    return common.materialise(rows.mapInArrow(run, MESSAGE), "slices")
+    return common.materialise(rows.mapInArrow(run, "slice long, words binary, tokens binary"), "slices", keep=True)
+
+
+def pair_names(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return common.mix(common.mix(context) + word)
 
 
 class Slice:
     """What a stored slice says of its tokens: pairs of a word and its predecessor, the first one's being END."""
 
-    def __init__(self, payload: bytes):
-        self.__dict__.update(pickle.loads(payload))
-        tokens = self.tokens.astype(np.int64)
+    def __init__(self, words: bytes, tokens: bytes):
+        self.words = _unpacked(words)
+        self.__dict__.update(_unpacked(tokens))
+        tokens = sum(plane.astype(np.int64) << 8 * k for k, plane in enumerate(self.planes))
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
-        before[self.starts[:-1]] = np.searchsorted(self.words, END)
+        before[self.starts[:-1]] = np.flatnonzero(self.words == END)[0]
         code, self.pair = np.unique(before * len(self.words) + tokens, return_inverse=True)
         self.context, self.word = np.divmod(code, len(self.words))
         self.learns = np.repeat(~self.held, np.diff(self.starts))
-        self.pair_keys = common.mix(common.mix(self.words[self.context]) + self.words[self.word])
+        self.pair_keys = pair_names(self.words[self.context], self.words[self.word])
         self.tokens = tokens
 
     def word_counts(self) -> np.ndarray:
@@ -221,18 +258,26 @@ class Slice:
         return np.bincount(self.pair[self.learns], minlength=len(self.context))
 
 
-def _offer(slice_id: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> list[tuple[int, int, bytes]]:
-    """One message per bucket with its keys, in the slice's order, and their values."""
+def _offer(slice_id: int, keys: np.ndarray, values: list[np.ndarray], buckets: int, short: bool = False) -> list[tuple[int, int, bytes]]:
+    """One message per bucket with its keys, in the slice's order, and their values.
+
+    ``short`` sends 40 bits of a key beside its bucket: the counts of two pairs that agree in them are added up.
+    """
     bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     out = []
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         mine = order[cuts[b] : cuts[b + 1]]
-        out.append(_row(slice_id, b, (keys[mine], [_narrow(v[mine]) for v in values])))
+        sent = keys[mine]
+        out.append(_row(slice_id, b, ([sent.astype(np.uint32), (sent >> np.uint64(32)).astype(np.uint8)] if short else [sent], [_narrow(v[mine]) for v in values])))
     return out
 
 
+def _keys(sent: list[np.ndarray]) -> np.ndarray:
+    return sent[0] if len(sent) == 1 else sent[0].astype(np.uint64) | sent[1].astype(np.uint64) << np.uint64(32)
+
+
 def _answers(keys: np.ndarray, got: list[tuple[int, list[np.ndarray]]], buckets: int) -> list[np.ndarray]:
     """The buckets' answers put into the order of the slice's keys."""
     order = np.argsort(((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), kind="stable")
@@ -244,48 +289,58 @@ def _answers(keys: np.ndarray, got: list[tuple[int, list[np.ndarray]]], buckets:
     return out
 
 
-def totals(messages: DataFrame, buckets: int, combine: Callable[[np.ndarray, list[np.ndarray]], tuple[list[np.ndarray], object]], name: str, owners: bool = False) -> DataFrame:
+def totals(messages: DataFrame, buckets: int, combine: Callable[[np.ndarray, list[np.ndarray]], tuple[list[np.ndarray], object]], name: str, owners: bool = False, drawn: bool = False, keep: bool = True) -> DataFrame:
     """Answers to ``messages``: ``combine`` makes them from the different keys of a bucket and the sums of their values.
 
-    What it says of the bucket as a whole comes as the payload of a row of slice -1. With ``owners`` one more answer is
-    1 for one of the slices that sent a value of a key.
+    What it says of the bucket as a whole comes as the payload of a row of slice SUMMARY. With ``owners`` one more answer
+    is 1 for one of the slices that sent a value of a key, which is as likely to be any of them. Messages of slice DRAWN are
+    passed on as they are, for an exchange with ``drawn``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         senders, keys, values = [], [], []
         bucket = -1
         for batch in batches:
-            for sender, bucket, payload in zip(*(batch.column(c).to_pylist() for c in ("slice", "bucket", "payload")), strict=True):  # noqa: B007
-                k, v = pickle.loads(payload)
+            for sender, at, payload in zip(*(batch.column(c).to_pylist() for c in ("slice", "bucket", "payload")), strict=True):
+                bucket = at
+                if sender == DRAWN and not drawn:
+                    yield _as_it_is(sender, at, payload)
+                    continue
+                k, v = _unpacked(payload)
                 senders.append(sender)
-                keys.append(k)
+                keys.append(_keys(k))
                 values.append(v)
         if not senders:
             return
-        # Messages come in any order; owners must not depend on it.
-        rank = np.argsort(senders, kind="stable").tolist()
-        sizes = [len(keys[i]) for i in rank]
-        unique, at = np.unique(np.concatenate([keys[i] for i in rank]), return_inverse=True)
-        columns = [np.concatenate([values[i][c].astype(np.float64) for i in rank]) for c in range(len(values[0]))]
+        sizes = [len(k) for k in keys]
+        unique, at = np.unique(np.concatenate(keys), return_inverse=True)
+        columns = [np.concatenate([v[c].astype(np.float64) for v in values]) for c in range(len(values[0]))]
         sums = [np.bincount(at, weights=c, minlength=len(unique)).astype(np.int64) for c in columns]
         answers, summary = combine(unique, sums)
         mine = [a[at] for a in answers]
         if owners:
             giving = np.flatnonzero(columns[0] > 0)
-            first = giving[np.unique(at[giving], return_index=True)[1]]
+            sender = np.repeat(np.array(senders, np.uint64), sizes)[giving]
+            order = np.lexsort((common.mix(common.mix(sender) + unique[at[giving]]), at[giving]))
+            first = giving[order[np.unique(at[giving][order], return_index=True)[1]]]
             mine.append(np.zeros(len(at), np.uint8))
             mine[-1][first] = 1
         edges = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-        yield _rows([_row(-1, bucket, summary)])
-        for i, a, b in zip(rank, edges[:-1], edges[1:], strict=True):
-            yield _rows([_row(senders[i], bucket, [_narrow(m[a:b]) for m in mine])])
+        yield _rows([_row(SUMMARY, bucket, summary)])
+        for i, a, b in zip(range(len(senders)), edges[:-1], edges[1:], strict=True):
+            if senders[i] != DRAWN:
+                yield _rows([_row(senders[i], bucket, [_narrow(m[a:b]) for m in mine])])
+
+    return common.materialise(messages.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MESSAGE), name, keep)
 
-    return common.materialise(messages.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MESSAGE), name)
+
+def _as_it_is(*row: object) -> pa.RecordBatch:
+    return _rows([row])
 
 
 def summaries(answers: DataFrame) -> list:
     """What the buckets say of themselves: a few numbers each."""
-    return [pickle.loads(r.payload) for r in answers.filter("slice = -1").select("payload").collect()]
+    return [_unpacked(r.payload) for r in answers.filter(F.col("slice") == SUMMARY).select("payload").collect()]
 
 
 def at_home(tables: list[DataFrame], work: Callable[[int, list[dict[int, bytes]]], pa.RecordBatch], schema: str, buckets: int) -> DataFrame:
@@ -309,21 +364,25 @@ def at_home(tables: list[DataFrame], work: Callable[[int, list[dict[int, bytes]]
 
 
 def _got(table: dict[int, bytes]) -> list[tuple[int, list[np.ndarray]]]:
-    return [(b, pickle.loads(p)) for b, p in table.items()]
+    return [(b, _unpacked(p)) for b, p in table.items()]
 
 
 # ---- the model ------------------------------------------------------------------------------------------------
 
 
-def _ask(stored: DataFrame, buckets: int, what: Callable[[Slice], Keys]) -> DataFrame:
+def _ask(stored: DataFrame, buckets: int, what: Callable[[Slice], Keys], short: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for slice_id, payload in zip(batch.column("slice").to_pylist(), batch.column("payload"), strict=True):
-                yield _rows(_offer(slice_id, *what(Slice(payload.as_py())), buckets))
+            for slice_id, words, tokens in zip(batch.column("slice").to_pylist(), batch.column("words"), batch.column("tokens"), strict=True):
+                yield _rows(_offer(slice_id, *what(Slice(words.as_py(), tokens.as_py())), buckets, short))
 
     return stored.mapInArrow(run, MESSAGE)
 
 
+def _part(stored: DataFrame, column: str, number: int) -> DataFrame:
+    return stored.select("slice", F.lit(number).alias("bucket"), F.col(column).alias("payload"))
+
+
 def _counted(keys: np.ndarray, sums: list[np.ndarray]) -> tuple[list[np.ndarray], object]:
     n = sums[0]
     return [n], (int(n.sum()), int((n > 0).sum()), int((n == 1).sum()), int((n == 2).sum()))
@@ -333,25 +392,23 @@ def _owned(stored: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
     """Per slice the pairs whose seats it draws, and how many single ones of them each of its words has on either side."""
 
     def work(slice_id: int, tables: list[dict[int, bytes]]) -> pa.RecordBatch:
-        own = Slice(tables[0][-1])
-        count, mine = _answers(own.pair_keys, _got(tables[1]), buckets)
+        own = Slice(tables[0][-1], tables[1][-1])
+        count, mine = _answers(own.pair_keys, _got(tables[2]), buckets)
         single, many = np.flatnonzero((mine > 0) & (count == 1)), np.flatnonzero((mine > 0) & (count > 1))
         payload = {
-            "words": own.words,
             "single": [_narrow(np.bincount(side[single], minlength=len(own.words))) for side in (own.context, own.word)],
-            "context": _narrow(own.context[many]), "word": _narrow(own.word[many]), "count": _narrow(count[many]), "keys": own.pair_keys[many], "at": _narrow(many),
+            "context": _narrow(own.context[many]), "word": _narrow(own.word[many]), "count": _narrow(count[many]),
         }
         return _rows([_row(slice_id, -1, payload)])
 
-    return common.materialise(at_home([stored, pairs], work, MESSAGE, buckets), "owned")
+    both = [_part(stored, "words", -1), _part(stored, "tokens", -1), pairs]
+    return common.materialise(at_home(both, work, MESSAGE, buckets), "owned")
 
 
-def _sums(owned: dict, tables: np.ndarray) -> Keys:
+def _sums(words: np.ndarray, owned: dict, tables: np.ndarray) -> Keys:
     """Tables that a slice's own pairs add to each word's restaurant, and customers to its dish in the root."""
-    n = len(owned["words"])
-    sums = [s.astype(np.int64) + np.bincount(owned[side], weights=tables, minlength=n).astype(np.int64) for s, side in zip(owned["single"], ("context", "word"), strict=True)]
-    some = (sums[0] > 0) | (sums[1] > 0)
-    return owned["words"], [np.where(some, s, 0) for s in sums]
+    n = len(words)
+    return words, [s.astype(np.int64) + np.bincount(owned[side], weights=tables, minlength=n).astype(np.int64) for s, side in zip(owned["single"], ("context", "word"), strict=True)]
 
 
 class Sample:
@@ -370,21 +427,25 @@ class Sample:
         return (customers - self.discount * tables + self.new) / (STRENGTH + self.customers)
 
 
-def _draw(owned: dict, got: list[np.ndarray], sample: Sample, discount: float, sweep: int) -> np.ndarray:
-    tables, root = got[0], sample.probability(got[1], got[2])
-    weight = (STRENGTH + discount * tables[owned["context"]]) * root[owned["word"]]
-    return seats(owned["count"].astype(np.int64), weight, discount, owned["keys"], sweep)
+def _swept(stored: DataFrame, owned: DataFrame, answers: DataFrame | None, sample: Sample | None, discount: float, sweep: int, buckets: int) -> DataFrame:
+    """Messages with the sums of new seats, drawn given ``answers``; one table per pair where there are none yet.
 
-
-def _swept(owned: DataFrame, answers: DataFrame | None, sample: Sample | None, discount: float, sweep: int, buckets: int) -> DataFrame:
-    """Messages with the sums of new seats, drawn given ``answers``; one table per pair where there are none yet."""
+    The tables of single pairs go along from the sweeps whose samples count.
+    """
 
     def work(slice_id: int, tables: list[dict[int, bytes]]) -> pa.RecordBatch:
-        own = pickle.loads(tables[0][-1])
-        drawn = np.ones(len(own["count"]), np.int64) if sample is None else _draw(own, _answers(own["words"], _got(tables[1]), buckets), sample, discount, sweep)
-        return _rows(_offer(slice_id, *_sums(own, drawn), buckets))
+        words, own = _unpacked(tables[0][-1]), _unpacked(tables[1][-1])
+        drawn, keys = np.ones(len(own["count"]), np.int64), pair_names(words[own["context"]], words[own["word"]])
+        if sample is not None:
+            seated, customers, root_tables = _answers(words, _got(tables[2]), buckets)
+            weight = (STRENGTH + discount * seated[own["context"]]) * sample.probability(customers, root_tables)[own["word"]]
+            drawn = seats(own["count"].astype(np.int64), weight, discount, keys, sweep)
+        rows = _offer(slice_id, *_sums(words, own, drawn), buckets)
+        if sweep >= BURN_IN:
+            rows += [(DRAWN, bucket, payload) for _, bucket, payload in _offer(slice_id, keys, [drawn], buckets, short=True)]
+        return _rows(rows)
 
-    return at_home([owned] if answers is None else [owned, answers], work, MESSAGE, buckets)
+    return at_home([_part(stored, "words", -1), owned, *([answers] if answers is not None else [])], work, MESSAGE, buckets)
 
 
 def _root(discount: float, new: float, sweep: int) -> Callable[[np.ndarray, list[np.ndarray]], tuple[list[np.ndarray], object]]:
@@ -409,45 +470,39 @@ def score(docs: DataFrame) -> DataFrame:
     stored = slices(docs)
     words = totals(_ask(stored, buckets, lambda s: (s.words, [s.word_counts()])), buckets, _counted, "word_counts")
     n, known = (sum(c) for c in zip(*(s[:2] for s in summaries(words)), strict=True)) if not words.isEmpty() else (0, 0)
-    pairs = totals(_ask(stored, buckets, lambda s: (s.pair_keys, [s.pair_counts()])), buckets, _counted, "pair_counts", owners=True)
+    pairs = totals(_ask(stored, buckets, lambda s: (s.pair_keys, [s.pair_counts()]), short=True), buckets, _counted, "pair_counts", owners=True)
     found = summaries(pairs)
     discount = discount_of(sum(f[2] for f in found), sum(f[3] for f in found))
-    owned = _owned(stored, pairs, buckets)
-
-    # Tables by sweep, each drawn given the one before, and what they make of the root.
-    swept: list[tuple[DataFrame, Sample]] = []
-    root_discount, new = 0.5, STRENGTH
-    for sweep in range(BURN_IN + SAMPLES):
-        answers, sample = swept[-1] if swept else (None, None)
-        messages = _swept(owned, answers, sample, discount, sweep, buckets)
-        answers = totals(messages, buckets, _root(root_discount, new, sweep), "tables")
-        found = summaries(answers)
-        if sweep == 0:
-            root_discount = discount_of(sum(f[2] for f in found), sum(f[3] for f in found))
-        swept.append((answers, Sample(found, known, root_discount)))
-        new = swept[-1][1].new
-    given, samples = [s for _, s in swept[BURN_IN - 1 : -1]], [s for _, s in swept[BURN_IN:]]
-
-    def send(slice_id: int, tables: list[dict[int, bytes]]) -> pa.RecordBatch:
-        """All pairs with the tables of those that this slice owns, added up over the samples."""
-        slice_, own = Slice(tables[0][-1]), pickle.loads(tables[1][-1])
-        drawn = np.zeros(len(slice_.pair_keys), np.int64)
-        for k, s in enumerate(given):
-            drawn[own["at"]] += _draw(own, _answers(own["words"], _got(tables[2 + k]), buckets), s, discount, BURN_IN + k)
-        return _rows(_offer(slice_id, slice_.pair_keys, [drawn], buckets))
-
-    before = [a for a, _ in swept[BURN_IN - 1 : -1]]
-    tables_of_pairs = totals(at_home([stored, owned, *before], send, MESSAGE, buckets), buckets, lambda _, sums: (sums, None), "pair_tables")
+    with session.scratch(docs.sparkSession):
+        owned = _owned(stored, pairs, buckets)
+
+        # Tables by sweep, each drawn given the one before, and what they make of the root.
+        answers, sample, root_discount, new = None, None, 0.5, STRENGTH
+        kept: list[tuple[DataFrame, Sample]] = []
+        for sweep in range(BURN_IN + SAMPLES):
+            messages = _swept(stored, owned, answers, sample, discount, sweep, buckets)
+            answers = totals(messages, buckets, _root(root_discount, new, sweep), "tables", keep=sweep >= BURN_IN)
+            found = summaries(answers)
+            if sweep == 0:
+                root_discount = discount_of(sum(f[2] for f in found), sum(f[3] for f in found))
+            sample = Sample(found, known, root_discount)
+            new = sample.new
+            if sweep >= BURN_IN:
+                kept.append((answers, sample))
+        samples = [s for _, s in kept]
+    questions = _ask(stored, buckets, lambda s: (s.pair_keys, [np.zeros(len(s.pair_keys), np.int64)]), short=True)
+    drawn = [a.filter(F.col("slice") == DRAWN) for a, _ in kept]
+    pair_tables = totals(common.union_all([questions, *drawn]), buckets, lambda _, sums: (sums, None), "pair_tables", drawn=True)
 
     def finish(_: int, tables: list[dict[int, bytes]]) -> pa.RecordBatch:
-        own = Slice(tables[0][-1])
-        count = _answers(own.words, _got(tables[1]), buckets)[0]
-        pair_count = _answers(own.pair_keys, _got(tables[2]), buckets)[0]
-        pair_tables = _answers(own.pair_keys, _got(tables[3]), buckets)[0]
-        mean_tables = np.where(pair_count > 1, pair_tables / len(samples), pair_count)
+        own = Slice(tables[0][-1], tables[1][-1])
+        count = _answers(own.words, _got(tables[2]), buckets)[0]
+        pair_count = _answers(own.pair_keys, _got(tables[3]), buckets)[0]
+        summed = _answers(own.pair_keys, _got(tables[4]), buckets)[0]
+        mean_tables = np.where(pair_count > 1, summed / len(samples), pair_count)
         back_off = np.zeros(len(pair_count))
         for k, s in enumerate(samples):
-            seated, customers, root_tables = _answers(own.words, _got(tables[4 + k]), buckets)
+            seated, customers, root_tables = _answers(own.words, _got(tables[5 + k]), buckets)
             back_off += (STRENGTH + discount * seated[own.context]) * s.probability(customers, root_tables)[own.word]
         probability = (pair_count - discount * mean_tables + back_off / len(samples)) / (STRENGTH + count[own.context])
         token_count = count[own.tokens]
@@ -461,4 +516,5 @@ def score(docs: DataFrame) -> DataFrame:
         arrays = [pa.array(own.doc_ids, pa.int64()), pa.array(own.held), pa.array(length), pa.array(columns[0]), pa.array(np.full(len(length), n, np.int64)), pa.array(columns[1]), pa.array(columns[2])]
         return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in RESULT.split(", ")])
 
-    return at_home([stored, words, pairs, tables_of_pairs, *(a for a, _ in swept[BURN_IN:])], finish, RESULT, buckets)
+    both = [_part(stored, "words", -1), _part(stored, "tokens", -1)]
+    return at_home([*both, words, pairs, pair_tables, *(a for a, _ in kept)], finish, RESULT, buckets)

@@ -8,7 +8,6 @@ import re
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from hearthlake.llm import common, language
@@ -24,11 +23,7 @@ def words(text):
 
 
 def key_of(word):
-    if word is None:
-        return int(language.END)
-    data, offsets = common.buffer_of(pa.array([word]))
-    starts, ends, _ = common.words_of(data, offsets)
-    return int(common.word_hashes(data, starts, ends)[0])
+    return int(language.END) if word is None else int.from_bytes(language.name(word.encode()), "little")
 
 
 def held(i):
