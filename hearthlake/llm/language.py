@@ -30,7 +30,7 @@ from hearthlake.llm import common
 
 HELD_OUT = (7, 2)
 # Sweeps whose probabilities are averaged, those before them, re-seatings of a block in a sweep, strength of each level.
-SAMPLES, BURN_IN, MOVES, STRENGTH = 2, 1, 3, 1.0
+SAMPLES, BURN_IN, MOVES, STRENGTH = 2, 1, 2, 1.0
 END = np.uint64(0x5851F42D4C957F2D)
 SUMMARY, DRAWN = -1, -2  # instead of a slice
 MESSAGE = "slice long, bucket int, payload binary"
@@ -185,12 +185,25 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+def _planes(values: np.ndarray) -> list[np.ndarray]:
+    """Counts byte by byte, the lowest first: small ones pack well whatever the largest is."""
+    top = int(values.max()) if len(values) else 0
+    return [(values >> shift & 255).astype(np.uint8) for shift in range(0, max(1, top.bit_length()), 8)]
+
+
+def _whole(planes: list[np.ndarray]) -> np.ndarray:
+    out = planes[0].astype(np.int64)
+    for k, plane in enumerate(planes[1:], 1):
+        out |= plane.astype(np.int64) << 8 * k
+    return out
+
+
 def name(word: bytes) -> bytes:
     return hashlib.blake2b(word, digest_size=8).digest()
 
 
-def word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit names of the lower-cased words, each different one hashed once, and their texts."""
+def word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit names of the different lower-cased words, the last one END; number of each word among them; and its text."""
     data, offsets = common.buffer_of(texts)
     starts, ends, owner = common.words_of(data, offsets)
     letters = data[~common.SEPARATORS[data]]
@@ -198,7 +211,7 @@ def word_names(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     cuts = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(letters)]).dictionary_encode()
     names = np.frombuffer(b"".join(map(name, words.dictionary.to_pylist())), "<u8")
-    return names[words.indices.to_numpy()], owner
+    return np.append(names, END), words.indices.to_numpy(), owner
 
 
 def slices(docs: DataFrame) -> DataFrame:
@@ -209,19 +222,18 @@ def slices(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in common.steps(batch):
-                hashes, owner = word_names(part.column("text"))
+                words, numbers, owner = word_names(part.column("text"))
                 per_text = np.bincount(owner, minlength=part.num_rows)
                 begins = np.concatenate([[0], np.cumsum(per_text + 1)])
-                every = np.full(int(begins[-1]), END, np.uint64)
-                every[np.arange(len(hashes)) + owner] = hashes
-                words, tokens, times = np.unique(every, return_inverse=True, return_counts=True)
+                tokens = np.full(int(begins[-1]), len(words) - 1)
+                tokens[np.arange(len(numbers)) + owner] = numbers
+                times = np.bincount(tokens, minlength=len(words))
                 # Frequent words get small numbers, whose bytes are stored apart and pack well.
                 order = np.argsort(-times, kind="stable")
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
                 words, tokens = words[order], rank[tokens]
-                planes = [(tokens >> shift & 255).astype(np.uint8) for shift in range(0, max(1, len(order).bit_length()), 8)]
-                payload = {"doc_ids": part.column("doc_id").to_pylist(), "held": part.column("held").to_numpy(zero_copy_only=False), "starts": begins, "planes": planes}
+                payload = {"doc_ids": part.column("doc_id").to_pylist(), "held": part.column("held").to_numpy(zero_copy_only=False), "starts": begins, "planes": _planes(tokens)}
                 columns = [pa.array([number], pa.int64()), pa.array([_packed(words)], pa.binary()), pa.array([_packed(payload)], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["slice", "words", "tokens"])
                 number += 1
@@ -241,7 +253,7 @@ class Slice:
     def __init__(self, words: bytes, tokens: bytes):
         self.words = _unpacked(words)
         self.__dict__.update(_unpacked(tokens))
-        tokens = sum(plane.astype(np.int64) << 8 * k for k, plane in enumerate(self.planes))
+        tokens = _whole(self.planes)
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[self.starts[:-1]] = np.flatnonzero(self.words == END)[0]
@@ -270,7 +282,7 @@ def _offer(slice_id: int, keys: np.ndarray, values: list[np.ndarray], buckets: i
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         mine = order[cuts[b] : cuts[b + 1]]
         sent = keys[mine]
-        out.append(_row(slice_id, b, ([sent.astype(np.uint32), (sent >> np.uint64(32)).astype(np.uint8)] if short else [sent], [_narrow(v[mine]) for v in values])))
+        out.append(_row(slice_id, b, ([sent.astype(np.uint32), (sent >> np.uint64(32)).astype(np.uint8)] if short else [sent], [_planes(v[mine]) for v in values])))
     return out
 
 
@@ -278,13 +290,13 @@ def _keys(sent: list[np.ndarray]) -> np.ndarray:
     return sent[0] if len(sent) == 1 else sent[0].astype(np.uint64) | sent[1].astype(np.uint64) << np.uint64(32)
 
 
-def _answers(keys: np.ndarray, got: list[tuple[int, list[np.ndarray]]], buckets: int) -> list[np.ndarray]:
+def _answers(keys: np.ndarray, got: list[tuple[int, list[list[np.ndarray]]]], buckets: int) -> list[np.ndarray]:
     """The buckets' answers put into the order of the slice's keys."""
     order = np.argsort(((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), kind="stable")
     out = []
     for column in zip(*(values for _, values in sorted(got, key=lambda g: g[0])), strict=True):
         values = np.empty(len(keys), np.int64)
-        values[order] = np.concatenate([c.astype(np.int64) for c in column])
+        values[order] = np.concatenate([_whole(c) for c in column])
         out.append(values)
     return out
 
@@ -314,7 +326,7 @@ def totals(messages: DataFrame, buckets: int, combine: Callable[[np.ndarray, lis
             return
         sizes = [len(k) for k in keys]
         unique, at = np.unique(np.concatenate(keys), return_inverse=True)
-        columns = [np.concatenate([v[c].astype(np.float64) for v in values]) for c in range(len(values[0]))]
+        columns = [np.concatenate([_whole(v[c]).astype(np.float64) for v in values]) for c in range(len(values[0]))]
         sums = [np.bincount(at, weights=c, minlength=len(unique)).astype(np.int64) for c in columns]
         answers, summary = combine(unique, sums)
         mine = [a[at] for a in answers]
@@ -329,7 +341,7 @@ def totals(messages: DataFrame, buckets: int, combine: Callable[[np.ndarray, lis
         yield _rows([_row(SUMMARY, bucket, summary)])
         for i, a, b in zip(range(len(senders)), edges[:-1], edges[1:], strict=True):
             if senders[i] != DRAWN:
-                yield _rows([_row(senders[i], bucket, [_narrow(m[a:b]) for m in mine])])
+                yield _rows([_row(senders[i], bucket, [_planes(m[a:b]) for m in mine])])
 
     return common.materialise(messages.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MESSAGE), name, keep)
 
@@ -363,7 +375,7 @@ def at_home(tables: list[DataFrame], work: Callable[[int, list[dict[int, bytes]]
     return rows.repartition(buckets, "slice").sortWithinPartitions("slice").mapInArrow(run, schema)
 
 
-def _got(table: dict[int, bytes]) -> list[tuple[int, list[np.ndarray]]]:
+def _got(table: dict[int, bytes]) -> list[tuple[int, list[list[np.ndarray]]]]:
     return [(b, _unpacked(p)) for b, p in table.items()]
 
 
