@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -77,36 +79,72 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
+PRIME = (1 << 61) - 1
 SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+_LOW32, _LOW29, _P = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1), np.uint64(PRIME)
 _POWERS: dict[int, np.ndarray] = {}
+_RUN = {"base": 0}
+
+
+def run_base() -> int:
+    """The base of this driver's hashes: drawn anew for each run, so that no text can be written to collide."""
+    if not _RUN["base"]:
+        _RUN["base"] = secrets.randbelow(PRIME - (1 << 32)) + (1 << 31)
+    return _RUN["base"]
+
+
+def use_base(base: int) -> None:
+    """Take over the driver's base in a task, before its first :class:`Hasher`."""
+    _RUN["base"] = base
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME of numbers below it, from products of their halves."""
+    a_high, a_low, b_high, b_low = a >> np.uint64(32), a & _LOW32, b >> np.uint64(32), b & _LOW32
+    middle, low = a_high * b_low + a_low * b_high, a_low * b_low
+    whole = (a_high * b_high << np.uint64(3)) + (middle >> np.uint64(29)) + ((middle & _LOW29) << np.uint64(32))
+    return _reduced(whole + (low >> np.uint64(61)) + (low & _P))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. n - 1 modulo 2 ** 64; kept for the next step unless it is unusually long."""
+    """base ** 0 .. n - 1 modulo PRIME, doubling; kept for the next step unless it is unusually long."""
     known = _POWERS.get(base)
     if known is not None and len(known) >= n:
         return known[:n]
-    made = np.full(max(n, 1), base, np.uint64)
-    made[0] = 1
-    made = np.multiply.accumulate(made)
+    made = np.ones(1, np.uint64)
+    while len(made) < n:
+        made = np.concatenate([made, _times(made, np.uint64(pow(base, len(made), PRIME)))])
     if n <= 4 * STEP_BYTES:
+        if len(_POWERS) > 4:
+            _POWERS.clear()
         _POWERS[base] = made
     return made[:n]
 
 
 class Hasher:
-    """64-bit hashes of any ranges of one sequence of symbols, by prefix sums of a polynomial modulo 2 ** 64."""
+    """64-bit hashes of any ranges of one sequence of symbols, by prefix sums of a polynomial modulo 2 ** 61 - 1.
+
+    Two different ranges of n symbols agree for at most n of all bases.
+    """
 
     def __init__(self, values: np.ndarray):
-        n = len(values)
+        n, base = len(values), _RUN["base"]
+        if not base:
+            raise RuntimeError("no base: call use_base with the driver's run_base first")
+        terms = _times(_reduced(values), _powers(base, n))
+        high, low = np.cumsum(terms >> np.uint64(32), dtype=np.uint64), np.cumsum(terms & _LOW32, dtype=np.uint64)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * _powers(BASE, n), out=self.sums[1:])
-        self.back = _powers(INVERSE, n + 1)
+        self.sums[1:] = _reduced((high >> np.uint64(29)) + ((high & _LOW29) << np.uint64(32)) + _reduced(low))
+        self.back = _powers(pow(base, -1, PRIME), n + 1)
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
+        between = _reduced(self.sums[ends] + (_P - self.sums[starts]))
+        return mix(_times(between, self.back[starts]) + ((ends - starts).astype(np.uint64) << np.uint64(61)))
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,8 +163,19 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def _name(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=8).digest()
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Hasher(SYMBOLS[data]).ranges(starts, ends)
+    """64 bits of a cryptographic hash of every word of :func:`words_of`; each different word is hashed once."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    letters = np.ascontiguousarray(data[~SEPARATORS[data]])
+    cuts = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(letters)]).dictionary_encode()
+    names = np.frombuffer(b"".join(map(_name, words.dictionary.to_pylist())), "<u8")
+    return names[words.indices.to_numpy()]
 
 
 def per_text(owner: np.ndarray, n: int) -> np.ndarray:
@@ -140,8 +189,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``function`` over bounded slices of the column ``text``; a slice it has nothing for gives no rows."""
+    base = run_base()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_base(base)
         for batch in batches:
             for part in steps(batch):
                 out = function(part)

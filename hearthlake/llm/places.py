@@ -87,8 +87,10 @@ def repeated(rows: DataFrame, offer: Callable[[pa.RecordBatch], Places], marked:
     buckets = common.tasks_for(rows)
     crowded_bit = np.uint32(1 << 31)
     names = ["bucket", "batch", "hashes", "at"]
+    base = common.run_base()
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.use_base(base)
         batch_id = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in common.steps(batch):

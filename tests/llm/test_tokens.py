@@ -1,3 +1,4 @@
+import collections
 import zlib
 
 import numpy as np
@@ -96,5 +97,8 @@ def test_pack(spark, encoder, length):
 
 
 def test_repeated_rows_are_packed_each(spark):
-    found = packing.pack(frame(spark, [(1, "a b"), (1, "a b"), (None, None)])).collect()
-    assert sorted((p.doc_id or 0, p.doc_tokens) for p in found) == [(0, 1), (1, 3), (1, 3)]
+    """Pieces of equal rows cannot be told apart; together they hold each id of the row once per copy."""
+    rows = [(1, "a b"), (1, "a b"), (None, None), (None, None), (None, "c"), (2, None), (2, "")]
+    found = packing.pack(frame(spark, rows)).collect()
+    held = collections.Counter((p.doc_id, p.doc_tokens, k) for p in found for k in range(p.start, p.start + p.length))
+    assert held == collections.Counter({(1, 3, 0): 2, (1, 3, 1): 2, (1, 3, 2): 2, (None, 1, 0): 2, (None, 2, 0): 1, (None, 2, 1): 1, (2, 1, 0): 2})
