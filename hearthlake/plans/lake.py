@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import contextlib
-import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -16,7 +14,7 @@ from hearthlake import schemas, session
 from hearthlake.functions import calendar
 from hearthlake.operators import dedupe, flatten, forecasts
 from hearthlake.plans import dimensions, facts
-from hearthlake.sources import listing, sensors, tables, weather as weather_source
+from hearthlake.sources import listing, locks, sensors, tables, weather as weather_source
 
 SENSOR_EVENTS = "silver/sensor_events"
 FORECASTS = "silver/weather_forecasts"
@@ -252,7 +250,7 @@ def refresh_dimensions(
     return dims
 
 
-def _publish(lake: Lake, name: str, rows: DataFrame, whole: bool) -> DataFrame:
+def _publish(lake: Lake, name: str, rows: DataFrame, whole: bool, lock: locks.Lock) -> DataFrame:
     """Replace the periods that ``rows`` covers, or the whole fact, so that periods gone from silver go here too.
 
     Facts derive from silver alone, so a failed run is simply repeated.
@@ -261,10 +259,7 @@ def _publish(lake: Lake, name: str, rows: DataFrame, whole: bool) -> DataFrame:
     day = calendar.day_of_key(F.col("date_key")).cast("timestamp")
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     dated = typed.withColumn("period", calendar.period(day, lake.grain)).hint("rebalance", "period")
-    if whole:
-        dated.write.mode("overwrite").partitionBy("period").parquet(lake.path(f"gold/{name}"))
-    else:
-        tables.replace_partitions(dated, lake.path(f"gold/{name}"), ["period"])
+    tables.replace_partitions(dated, lake.path(f"gold/{name}"), ["period"], whole, check=lock.check)
     return lake.gold(name)
 
 
@@ -272,27 +267,12 @@ def _within(df: DataFrame, periods: list[date] | None) -> DataFrame:
     return df if periods is None else df.filter(F.col("period").isin(periods))
 
 
-# A refresh that takes longer than this is taken for dead, and the next one goes on.
-LOCK_SECONDS = 6 * 3600
+def _alone(lake: Lake):
+    """One refresh of a lake at a time: dimensions are rewritten in place and may not get a member twice."""
+    return locks.held(lake.spark, lake.path("_refreshing"), LEASE_SECONDS)
 
 
-@contextlib.contextmanager
-def _alone(lake: Lake, seconds: int = LOCK_SECONDS) -> Iterator[None]:
-    """One refresh of a lake at a time: dimensions are rewritten in place and may not get a member twice.
-
-    The lock is a file whose creation fails if it exists, which file systems such as HDFS guarantee.
-    """
-    path = lake.spark._jvm.org.apache.hadoop.fs.Path(lake.path("_refreshing"))
-    fs = path.getFileSystem(lake.spark._jsc.hadoopConfiguration())
-    while not fs.createNewFile(path):
-        with contextlib.suppress(Exception):  # the other refresh may end meanwhile
-            if time.time() - fs.getFileStatus(path).getModificationTime() / 1000 > seconds:
-                fs.delete(path, False)
-        time.sleep(0.5)
-    try:
-        yield
-    finally:
-        fs.delete(path, False)
+LEASE_SECONDS = locks.LEASE_SECONDS
 
 
 def _prices(lake: Lake) -> set[tuple]:
@@ -309,22 +289,22 @@ def refresh_gold(
     """
     readings, outlook = _within(lake.readings(), periods), _within(lake.forecasts(), periods)
     whole = periods is None
-    with _alone(lake), session.scratch(lake.spark):
+    with _alone(lake) as lock, session.scratch(lake.spark):
         before = _prices(lake)
         gold = refresh_dimensions(lake, readings, outlook, tariffs)
         if sensor:
             for name, build in MINUTE_FACTS.items():
-                gold[name] = _publish(lake, name, build(readings, gold), whole)
+                gold[name] = _publish(lake, name, build(readings, gold), whole, lock)
             errors = _within(lake.with_period(lake.errors()), periods)
             name = "fact_device_health_day"
-            gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold), whole)
+            gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold), whole, lock)
             everywhere = whole or _prices(lake) != before
             energy = _within(gold["fact_energy_minute"], None if everywhere else periods).drop("period")
             costed = facts.energy_with_cost(energy, gold["dim_date"], gold["dim_tariff"])
-            gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed, everywhere)
+            gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed, everywhere, lock)
         if weather:
             hours = facts.fact_weather_hour(outlook, gold["dim_weather_site"])
-            gold["fact_weather_hour"] = _publish(lake, "fact_weather_hour", hours, whole)
+            gold["fact_weather_hour"] = _publish(lake, "fact_weather_hour", hours, whole, lock)
     return gold
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from hearthlake import session
 from hearthlake.operators import dedupe
+from hearthlake.sources import locks, publish
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -24,8 +26,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+@contextlib.contextmanager
+def writing(spark: SparkSession, path: str) -> Iterator[locks.Lock]:
+    """One writer of a table at a time; whoever comes finishes what a dead one had decided."""
+    with locks.held(spark, f"{path}.lock") as lock:
+        publish.recover(spark, path)
+        yield lock
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one; the schema is always declared, never inferred."""
+    if publish.pending(spark, path):
+        with writing(spark, path):
+            pass
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -36,20 +49,17 @@ def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Overwrite exactly the partitions that occur in ``df``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], whole: bool = False, check: Callable[[], None] | None = None) -> None:
+    """Replace exactly the partitions that occur in ``df``, or the ``whole`` table, which ``df`` may be derived from.
 
-
-def recover(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str]) -> bool:
-    """Publish a merge that was completely staged but whose publication did not finish."""
-    fs, staged = _hadoop_path(spark, f"{path}.staged")
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(staged, "_SUCCESS")):
-        return False
-    replace_partitions(spark.read.schema(schema).parquet(staged.toString()), path, partition_by)
-    fs.delete(staged, True)
-    return True
+    Rows are written once and renamed into place. ``check`` is asked before, and may raise.
+    """
+    with writing(df.sparkSession, path) as lock:
+        writer = publish.stage(df, path, partition_by)
+        if check:
+            check()
+        lock.check()
+        publish.commit(df.sparkSession, path, writer, partition_by, whole)
 
 
 def touched_partitions(target: DataFrame, new: DataFrame, partition_by: str) -> DataFrame:
@@ -80,28 +90,24 @@ def upsert(
 
     Only the touched partitions are read and rewritten. ``new`` is written once to the shared folder, so the anti
     join against the stored rows broadcasts it when it is really small (a minute's worth of files) and sorts both
-    sides when it is not (a backfill). The merge is staged in full before any partition is replaced, and
-    :func:`recover` finishes an interrupted publication. A first load has nothing to merge with and writes once.
+    sides when it is not (a backfill). Merged rows are written once, in a folder of this writer, and their partitions
+    renamed into place with a journal (:mod:`publish`); writers of one table wait for each other.
     """
     spark = new.sparkSession
     stored = [name for name in new.columns if not name.startswith("_")]
     unique = dedupe.one_per_key(new, keys, order_by).select(*stored)
-    schema = unique.schema
-    recover(spark, path, schema, [partition_by])
 
     def arranged(df: DataFrame) -> DataFrame:
         return df.sortWithinPartitions(partition_by, *cluster_by)
 
-    if not exists(spark, path):
-        first = arranged(unique.hint("rebalance", partition_by))
-        first.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-        return
     with session.scratch(spark):
-        _merge(session.materialise(unique, "upsert_batch"), path, keys, partition_by, keep, arranged)
+        batch = session.materialise(unique, "upsert_batch")
+        with writing(spark, path) as lock:
+            _merge(batch, path, keys, partition_by, keep, arranged, lock)
 
 
 def _merge(
-    batch: DataFrame, path: str, keys: list[str], partition_by: str, keep: str, arranged: Callable[[DataFrame], DataFrame]
+    batch: DataFrame, path: str, keys: list[str], partition_by: str, keep: str, arranged: Callable[[DataFrame], DataFrame], lock: locks.Lock
 ) -> None:
     spark, schema = batch.sparkSession, batch.schema
     existing = read(spark, path, schema)
@@ -112,8 +118,9 @@ def _merge(
     old = touched_partitions(existing, batch, partition_by)
     kept = old.join(batch, same_key(old, batch, keys), "left_anti")
     merged = arranged(kept.unionByName(batch).hint("rebalance", partition_by))
-    merged.write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.staged")
-    recover(spark, path, schema, [partition_by])
+    writer = publish.stage(merged, path, [partition_by])
+    lock.check()
+    publish.commit(spark, path, writer, [partition_by])
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -123,39 +130,36 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> Da
 
 
 def recover_table(spark: SparkSession, path: str) -> bool:
-    """Finish a :func:`truncate_and_load` whose copy was completely staged but not published."""
-    fs, staged = _hadoop_path(spark, f"{path}.staged")
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(staged, "_SUCCESS")):
+    """Finish a change of the table that was decided by a writer who died."""
+    if not publish.pending(spark, path):
         return False
-    spark.read.parquet(staged.toString()).write.mode("overwrite").parquet(path)
-    fs.delete(staged, True)
-    return True
+    with writing(spark, path):
+        return True
 
 
 def truncate_and_load(df: DataFrame, path: str) -> None:
     """Replace a whole table, which ``df`` may be derived from. The new content is complete before the old goes."""
-    df.write.mode("overwrite").parquet(f"{path}.staged")
-    recover_table(df.sparkSession, path)
+    replace_partitions(df, path, [], whole=True)
 
 
 def append(df: DataFrame, path: str, most: int = 64) -> None:
     """Add rows to a small unpartitioned table, and rewrite it whenever it has come to more than ``most`` files.
 
-    Jobs that run every minute would otherwise leave a tiny file each time. The rewriting is staged, so an interrupted
-    one is finished by :func:`recover_table`.
+    Jobs that run every minute would otherwise leave a tiny file each time. Writers of one table wait for each other.
     """
     spark = df.sparkSession
-    recover_table(spark, path)
-    df.write.mode("append").parquet(path)
-    fs, hadoop = _hadoop_path(spark, path)
-    if fs.getContentSummary(hadoop).getFileCount() > most:
-        truncate_and_load(spark.read.parquet(path).coalesce(max(1, most // 8)), path)
+    with writing(spark, path) as lock:
+        df.write.mode("append").parquet(path)
+        fs, hadoop = _hadoop_path(spark, path)
+        if fs.getContentSummary(hadoop).getFileCount() > most:
+            writer = publish.stage(spark.read.parquet(path).coalesce(max(1, most // 8)), path, [])
+            lock.check()
+            publish.commit(spark, path, writer, [], whole=True)
 
 
 def rewrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace a whole table by rows derived from it; they are complete in the shared folder before the old ones go."""
-    staged = session.materialise(df, "rewritten")
-    staged.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replace a whole table by rows derived from it; they are complete before the old ones go."""
+    replace_partitions(df.hint("rebalance", *partition_by), path, partition_by, whole=True)
 
 
 def export_csv(df: DataFrame, path: str, apartment: str | None = None) -> None:

@@ -11,7 +11,7 @@ import pytest
 
 from hearthlake import session
 from hearthlake.plans import lake as lakes
-from hearthlake.sources import files, sensors, tables, weather
+from hearthlake.sources import files, locks, sensors, tables, weather
 from hearthlake.streaming import ingest
 from tests.payloads import file_name, plug, write
 from tests.test_lake import weather_file
@@ -143,14 +143,16 @@ def test_two_refreshes_side_by_side(lake, spark, tmp_path):
     minutes = lake.gold("dim_datetime")
     assert minutes.count() == minutes.select("datetime_key").distinct().count()
     assert lake.gold("mv_energy_with_cost").count() == 2 and lake.gold("fact_weather_hour").count() == 1
-    assert not tables.exists(spark, lake.path("_refreshing"))
+    assert locks.Lock(spark, lake.path("_refreshing")).try_acquire()
 
 
 def test_a_dead_refresh_does_not_block_for_ever(lake, spark, monkeypatch, tmp_path):
     loaded(lake, tmp_path / "in", 1)
-    lock = tmp_path / "lake" / "_refreshing"
-    lock.write_text("")
-    os.utime(lock, (time.time() - DAY, time.time() - DAY))
+    dead = locks.Lock(spark, lake.path("_refreshing"))
+    assert dead.try_acquire()
+    dead._stop.set()
+    file = tmp_path / "lake" / "_refreshing" / f"{dead.number:012d}"
+    os.utime(file, (time.time() - DAY, time.time() - DAY))
     assert lakes.refresh_gold(lake)["fact_energy_minute"].count() == 1
 
 

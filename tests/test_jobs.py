@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from hearthlake.plans import jobs, lake as lakes
-from hearthlake.sources import sensors, tables
+from hearthlake.sources import locks, sensors, tables
 from tests.payloads import FULL, file_name, plug, write
 
 NOW = datetime(2024, 1, 5, 12)
@@ -82,4 +82,4 @@ def test_erasure_rewrites_what_is_stored(home, spark):
     assert jobs.erase_apartments(home, ["apt_b"]) == done
     assert home.errors().count() == 2
     assert lakes.refresh_gold(home, weather=False)["fact_energy_minute"].count() * 2 == before["fact_energy_minute"]
-    assert not tables.exists(spark, home.path("_refreshing"))
+    assert locks.Lock(spark, home.path("_refreshing")).try_acquire()

@@ -1,10 +1,11 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from hearthlake import schemas
 from hearthlake.operators import dedupe, surrogate
-from hearthlake.sources import tables
+from hearthlake.sources import publish, tables
 
 SCHEMA = "site string, run int, value double, period date"
 DAY1, DAY2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -78,16 +79,27 @@ def test_rows_of_a_null_period_stay(spark, tmp_path):
     assert stored(spark, path) == [("a", 1, 4.0, None), ("b", 1, 2.0, None), ("c", 1, 3.0, DAY1)]
 
 
-def test_interrupted_publication_is_finished(spark, tmp_path):
+def test_interrupted_publication_is_finished(spark, monkeypatch, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert(frame(spark, [("a", 1, 1.0, DAY1), ("b", 1, 2.0, DAY1)]), path, ["site", "run"], "period")
-    # the merge was staged, then the driver died after the old partition had been removed
+    # the merge was staged and decided, then the driver died after the old partition had been moved away
     staged = frame(spark, [("a", 1, 9.0, DAY1), ("b", 1, 2.0, DAY1)])
-    staged.write.partitionBy("period").parquet(f"{path}.staged")
-    tables.replace_partitions(frame(spark, [("x", 0, 0.0, DAY1)]), path, ["period"])
-    tables.upsert(frame(spark, [("c", 1, 3.0, DAY1)]), path, ["site", "run"], "period")
-    assert stored(spark, path) == [("a", 1, 9.0, DAY1), ("b", 1, 2.0, DAY1), ("c", 1, 3.0, DAY1)]
-    assert not tables.exists(spark, f"{path}.staged")
+    writer = publish.stage(staged, path, ["period"])
+    with pytest.raises(RuntimeError):
+        with monkeypatch.context() as m:
+            steps = iter([publish.Folder.rename] * 2)
+
+            def rename(self, old, new):
+                step = next(steps, None)
+                if step is None:
+                    raise RuntimeError("killed")
+                step(self, old, new)
+
+            m.setattr(publish.Folder, "rename", rename)
+            publish.commit(spark, path, writer, ["period"])
+    tables.upsert(frame(spark, [("z", 1, 0.0, DAY2)]), path, ["site", "run"], "period")
+    assert stored(spark, path) == [("a", 1, 9.0, DAY1), ("b", 1, 2.0, DAY1), ("z", 1, 0.0, DAY2)]
+    assert publish.Folder(spark, path).names(f"{path}.staged") == []
 
 
 def test_truncate_and_load_from_itself(spark, tmp_path):
