@@ -48,13 +48,29 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphan rows for every foreign key whose two tables are given."""
-    reports = [
-        orphans(tables[table], column, tables[parent], parent_key)
-        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"))
-        .select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "orphan_rows")
+    """Orphan rows for every foreign key whose two tables are given.
+
+    Each table is read once: its rows become (column, reference) pairs that are counted before anything moves, and all
+    pairs of all tables meet the keys of all parents in one join.
+    """
+    checked = {
+        table: [(column, parent, key) for column, parent, key in keys if parent in tables]
         for table, keys in FOREIGN_KEYS.items()
-        for column, parent, parent_key in keys
-        if table in tables and parent in tables
-    ]
-    return reduce(DataFrame.unionByName, reports)
+        if table in tables
+    }
+    used, known, names = [], [], []
+    for table, keys in checked.items():
+        if not keys:
+            continue
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("reference"), F.lit(f"{p}.{k}").alias("parent")) for c, p, k in keys]))
+        counted = tables[table].select(pairs.alias("r")).filter("r.reference IS NOT NULL").groupBy("r.column_name", "r.reference", "r.parent")
+        used.append(counted.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(table)))
+        names += [(table, c) for c, _, _ in keys]
+    for parent, key in sorted({(p, k) for keys in checked.values() for _, p, k in keys}):
+        known.append(tables[parent].select(F.lit(f"{parent}.{key}").alias("parent"), F.col(key).cast("string").alias("reference")).distinct())
+    orphaned = reduce(DataFrame.unionByName, used).join(reduce(DataFrame.unionByName, known), ["parent", "reference"], "left_anti")
+    totals = orphaned.groupBy("table_name", "column_name").agg(F.sum("rows").alias("orphan_rows"))
+    every = orphaned.sparkSession.createDataFrame(names, "table_name string, column_name string")
+    return every.join(totals, ["table_name", "column_name"], "left").select(
+        "table_name", "column_name", F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows")
+    )

@@ -285,7 +285,7 @@ def refresh_gold(
 ) -> dict[str, DataFrame]:
     """Rebuild gold for the given periods, or for all. Only those silver partitions are read.
 
-    Costs follow a changed price in all periods. Two refreshes of one lake wait for each other.
+    Costs follow a changed price in all periods of its year. Two refreshes of one lake wait for each other.
     """
     readings, outlook = _within(lake.readings(), periods), _within(lake.forecasts(), periods)
     whole = periods is None
@@ -298,10 +298,13 @@ def refresh_gold(
             errors = _within(lake.with_period(lake.errors()), periods)
             name = "fact_device_health_day"
             gold[name] = _publish(lake, name, facts.fact_device_health_day(readings, errors, gold), whole, lock)
-            everywhere = whole or _prices(lake) != before
-            energy = _within(gold["fact_energy_minute"], None if everywhere else periods).drop("period")
+            years = {year for _, year, _ in _prices(lake) ^ before}
+            energy = gold["fact_energy_minute"]
+            if not whole:
+                energy = energy.filter(F.col("period").isin(periods) | F.year("period").isin(list(years)))
+            energy = energy.drop("period")
             costed = facts.energy_with_cost(energy, gold["dim_date"], gold["dim_tariff"])
-            gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed, everywhere, lock)
+            gold["mv_energy_with_cost"] = _publish(lake, "mv_energy_with_cost", costed, whole, lock)
         if weather:
             hours = facts.fact_weather_hour(outlook, gold["dim_weather_site"])
             gold["fact_weather_hour"] = _publish(lake, "fact_weather_hour", hours, whole, lock)

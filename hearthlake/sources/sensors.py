@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.functions import calendar, cleaning
-from hearthlake.sources import files
+from hearthlake.sources import files, locks, publish
 
 PAYLOAD_GLOB = "*.json{,.gz}"
 
@@ -41,13 +44,9 @@ def land_payloads(raw: DataFrame, path: str, grain: str = "day") -> None:
     period = calendar.period(F.coalesce("file_ts", "modified"), grain)
     readable = raw.filter(F.col("apartment").isNotNull() & F.col("value").isNotNull()).drop("file_error")
     landed = readable.withColumn("period", period)
-    (
-        landed.hint("rebalance", "apartment", "period")
-        .write.mode("append")
-        .partitionBy("apartment", "period")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    writer = landed.hint("rebalance", "apartment", "period").write.mode("append").partitionBy("apartment", "period")
+    with locks.held(raw.sparkSession, f"{path}.lock"):  # compaction may not replace a partition meanwhile
+        writer.option("compression", "zstd").parquet(path)
 
 
 BRONZE_SCHEMA = (
@@ -64,3 +63,38 @@ def stream_bronze(spark: SparkSession, path: str, max_files: int = 10_000) -> Da
     reader = spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", max_files)
     reader = reader.option("maxFileAge", files.MAX_FILE_AGE)
     return reader.parquet(path).select("path", "name", "modified", "value")
+
+
+def drop_landed(spark: SparkSession, path: str, manifest: DataFrame, before: date, dry_run: bool = True) -> DataFrame:
+    """Remove landed partitions whose period ended before ``before`` and whose files are all processed.
+
+    Returns (apartment, period, files, unprocessed, dropped). Only folders are deleted; payloads are not read, the names in
+    them are. Nothing that the manifest lacks goes, and ``dry_run`` only reports.
+    """
+    landed = read_bronze(spark, path).filter(F.col("period") < F.lit(before)).select("apartment", "period", calendar.canonical_name(F.col("name")).alias("filename"))
+    known = manifest.select("filename", F.lit(True).alias("known")).distinct()
+    counted = landed.join(known, "filename", "left").groupBy("apartment", "period")
+    report = counted.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("known").isNull()).alias("unprocessed"))
+    report = session.materialise(report.withColumn("dropped", (F.col("unprocessed") == 0) & F.lit(not dry_run)), "retention")
+    if not dry_run:
+        folder = publish.Folder(spark, path)
+        with locks.held(spark, f"{path}.lock"):
+            for row in report.filter("dropped").select("apartment", "period").toLocalIterator():
+                folder.delete(f"{path}/apartment={row.apartment}/period={row.period}")
+    return report
+
+
+def compact_landed(spark: SparkSession, path: str, most: int = 8) -> list[str]:
+    """Rewrite the landed partitions that have more than ``most`` files, sized by ``rebalance``; returns their folders.
+
+    Their rows are staged once and renamed into place, so a reader sees the old files or the new ones.
+    """
+    folder = publish.Folder(spark, path)
+    crowded = [p for p in folder.partitions(path, 2) if sum(n.endswith(".parquet") for n in folder.names(f"{path}/{p}")) > most]
+    if crowded:
+        with locks.held(spark, f"{path}.lock"):
+            publish.recover(spark, path)
+            rows = spark.read.schema(BRONZE_SCHEMA).option("basePath", path).parquet(*[f"{path}/{p}" for p in crowded])
+            writer = publish.stage(rows.hint("rebalance", "apartment", "period"), path, ["apartment", "period"])
+            publish.commit(spark, path, writer, ["apartment", "period"])
+    return crowded

@@ -16,6 +16,28 @@ _CALENDAR = "day_of_week, week, month, year, is_weekend, is_holiday"
 # ---- dimensions -------------------------------------------------------------------------------------------------
 
 
+_HASHED = "CAST('0x' || substr(sha256(length({0}) || ':' || {0}{1}), 1, 15) AS BIGINT)"
+
+
+@query(
+    "SELECT 'customer' AS member_of, CAST(c_custkey AS VARCHAR) AS member, "
+    + _HASHED.format("CAST(c_custkey AS VARCHAR)", " || length(c_name) || ':' || c_name")
+    + " AS member_key FROM customer UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), "
+    + _HASHED.format("CAST(o_orderkey AS VARCHAR)", "")
+    + " FROM (SELECT DISTINCT o_orderkey FROM orders)"
+)
+def hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of members too many to number densely; the load aborts if two members have one key."""
+    from hearthlake.operators import surrogate
+
+    out = []
+    for name, natural in (("customer", ["c_custkey", "c_name"]), ("orders", ["o_orderkey"])):
+        members = adapters.table(spark, sf_dir, name).select(*natural)
+        keyed = surrogate.with_hash_keys(members, natural, "member_key")
+        out.append(keyed.select(F.lit(name).alias("member_of"), F.col(natural[0]).cast("string").alias("member"), "member_key"))
+    return out[0].unionByName(out[1])
+
+
 @query(oracles.over_star(f"SELECT date_key, date, {_CALENDAR} FROM dim_date"))
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_date(adapters.readings(spark, sf_dir), adapters.forecasts(spark, sf_dir))

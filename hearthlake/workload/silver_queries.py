@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +150,24 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensors.read_bronze(spark, path).groupBy("apartment", "period").agg(F.count(F.lit(1)).alias("files"))
 
 
+@query(
+    oracles.over_readings(
+        """SELECT apartment, CAST(date_trunc('year', ts) AS DATE) AS period, count(*) AS files,
+             count(*) FILTER (apartment <> 'apt_a') AS unprocessed, bool_and(apartment = 'apt_a') AS dropped
+           FROM (SELECT apartment, ts FROM ev_all UNION ALL SELECT apartment, ts FROM ord)
+           WHERE ts < TIMESTAMP '2023-01-01' GROUP BY 1, 2"""
+    )
+)
+def landed_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed partitions before a day: dropped where all their files are processed, after compaction of those with many files."""
+    path, payloads = session.new_path(spark, "bronze"), _keyed_payloads(spark, sf_dir)
+    for part in range(3):
+        sensors.land_payloads(payloads.filter(F.pmod(F.xxhash64("path"), F.lit(3)) == part), path, _GRAIN)
+    sensors.compact_landed(spark, path, most=2)
+    done = payloads.filter("apartment = 'apt_a'").select(calendar.canonical_name(F.col("name")).alias("filename"))
+    return sensors.drop_landed(spark, path, done, date(2023, 1, 1), dry_run=False)
+
+
 def _listing_and_manifest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Some listed files are compressed since they were marked; clicks and views are already processed."""
     events = adapters.table(spark, sf_dir, "events")
@@ -510,46 +528,70 @@ def sensor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(energy.select("device_id", "datetime_key", "power_w", "energy_kwh", "is_valid"))
 
 
-def _reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings as a stream. The files follow the time of the readings, as they do when data arrives in order."""
+# The readings that _reading_stream delivers, one per key.
+_UNIQUE = """(SELECT * FROM readings QUALIFY row_number() OVER (PARTITION BY apartment, room, sensor_type, field, "timestamp"
+      ORDER BY value DESC NULLS LAST, unit DESC, is_outlier) = 1)"""
+
+
+def _reading_stream(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) -> DataFrame:
+    """Readings as a stream of three micro-batches at least, in no order of time, a tenth of them delivered twice."""
     path = session.new_path(spark, "reading_files")
     silver = adapters.readings(spark, sf_dir).select(*[f.name for f in schemas.READINGS])
-    silver.repartitionByRange("timestamp").sortWithinPartitions("timestamp").write.parquet(path)
-    return spark.readStream.schema(schemas.READINGS).parquet(path)
+    silver = dedupe.one_per_key(silver, schemas.READING_KEY, [F.desc_nulls_last("value"), F.desc("unit"), F.asc("is_outlier")])
+    silver = silver.filter(F.col("sensor_type").isin(kinds)) if kinds else silver
+    again = silver.filter(F.pmod(F.xxhash64(*schemas.READING_KEY), F.lit(10)) == 0).withColumn("part", F.lit(1))
+    twice = silver.withColumn("part", F.lit(0)).unionByName(again)
+    twice.repartition(6, "part", F.xxhash64("apartment", "timestamp") % 5).drop("part").write.parquet(path)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    count = sum(1 for s in files.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(files) if s.getPath().getName().startswith("part-"))
+    return spark.readStream.schema(schemas.READINGS).option("maxFilesPerTrigger", max(1, count // 3)).parquet(path)
 
 
-def _run_once(stream: DataFrame, mode: str) -> DataFrame:
-    """Drain a stream into a Parquet table and read the table."""
-    spark = stream.sparkSession
-    out = session.new_path(spark, "stream_out")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}_checkpoint")
-    writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+@query(
+    oracles.over_readings(f'SELECT apartment, room, sensor_type, field, round(value, 6) AS value, unit, "timestamp", is_outlier FROM {_UNIQUE}')
+)
+def stream_unique_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed readings, one whole row per key, state bounded to the span of the events; what is late would be kept apart."""
+    path = session.new_path(spark, "split")
+    ingest.split_readings(_reading_stream(spark, sf_dir), path, "3650 days").awaitTermination()
+    return rounded(ingest.split_table(spark, path, "unique").unionByName(ingest.split_table(spark, path, "late")).drop("batch"))
 
 
-@query(oracles.over_readings('SELECT DISTINCT apartment, room, sensor_type, field, "timestamp" FROM readings'))
-def stream_unique_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed readings, one per key, with bounded state."""
-    unique = ingest.unique_readings(_reading_stream(spark, sf_dir), "1 hour")
-    return _run_once(unique, "append").select(*schemas.READING_KEY)
+def _streamed_minutes(spark: SparkSession, sf_dir: str, kind: str, kinds: list[str]) -> DataFrame:
+    """Minutes of readings as they arrive, two batches at most beside the compacted ones."""
+    path = session.new_path(spark, f"{kind}_minutes")
+    ingest.publish_minutes(_reading_stream(spark, sf_dir, kinds), kind, path, most=2, grain=_GRAIN).awaitTermination()
+    return rounded(ingest.published_minutes(spark, kind, path))
 
 
 @query(
     oracles.over_readings(
-        """SELECT apartment, room, sensor_type, "timestamp" AS minute,
+        f"""SELECT apartment, room, sensor_type, "timestamp" AS minute,
              round(max(CASE WHEN field IN ('power', 'total_power') THEN value END), 6) AS power_w,
              round(max(CASE WHEN field = 'total' THEN value / 1000.0 END), 6) AS energy_kwh,
              bool_and(NOT is_outlier) AS is_valid
-           FROM readings WHERE sensor_type IN ('plug', 'consumption')
+           FROM {_UNIQUE} WHERE sensor_type IN ('plug', 'consumption')
            GROUP BY 1, 2, 3, 4"""
     )
 )
 def stream_energy_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minute energy as readings arrive, open minutes too: every batch publishes what changed, and that is merged."""
-    energy = _reading_stream(spark, sf_dir).filter(F.col("sensor_type").isin("plug", "consumption"))
-    path = session.new_path(spark, "energy_minutes")
-    ingest.publish_minutes(energy, "energy", path).awaitTermination()
-    return rounded(ingest.published_minutes(spark, "energy", path))
+    """Minute energy as readings arrive, open minutes too."""
+    return _streamed_minutes(spark, sf_dir, "energy", ["plug", "consumption"])
+
+
+@query(
+    oracles.over_readings(
+        f"""SELECT apartment, room, "timestamp" AS minute,
+             CAST(count(*) FILTER (sensor_type = 'motion' AND field = 'motion' AND value = 1) AS INT) AS motion_count,
+             bool_or(value = 1) FILTER (sensor_type = 'door' AND field = 'open') AS door_open_flag,
+             bool_or(sensor_type = 'motion' AND field = 'motion' AND value = 1) AS presence_flag
+           FROM {_UNIQUE} WHERE sensor_type IN ('motion', 'door') AND field IN ('motion', 'open')
+           GROUP BY 1, 2, 3"""
+    )
+)
+def stream_presence_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute presence as readings arrive; a reading that comes twice counts once."""
+    return _streamed_minutes(spark, sf_dir, "presence", ["motion", "door"])
 
 
 # ---- freshness and pivots ---------------------------------------------------------------------------------------

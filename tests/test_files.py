@@ -82,7 +82,7 @@ def test_forecast_files_are_taken_whole_or_not_at_all(lake, spark, tmp_path):
     assert [(r.prediction_date.day, r.value) for r in lake.forecasts().collect()] == [(1, 5.0)]
     assert sorted(r.filename for r in lake.manifest(lakes.WEATHER_MANIFEST).collect()) == ["Pred_2024-01-01.csv", "Pred_2024-01-04.csv"]
     assert {r.name: r.reason for r in lake.quarantine().collect()} == {
-        "Pred_2024-01-02.csv.gz": "truncated gzip file", "Pred_2024-01-03.csv": "unexpected header: Time,Value",
+        "Pred_2024-01-02.csv.gz": "truncated gzip file", "Pred_2024-01-03.csv": "no column Prediction, Site, Measurement, Unit in header: Time,Value",
     }
     assert lakes.load_new_weather(lake, str(root), NOW) == []
 

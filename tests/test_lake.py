@@ -199,9 +199,61 @@ def test_published_minutes_take_readings_of_any_age(spark, tmp_path, kind):
     stream = spark.readStream.schema(schemas.READINGS).option("maxFilesPerTrigger", 1).parquet(path)
     out = str(tmp_path / "out")
     ingest.publish_minutes(stream, kind, out).awaitTermination()
-    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+    assert len(list((tmp_path / "out" / "batches").glob("batch=*"))) == 4
     want = ingest.MINUTES[kind](spark.read.parquet(path))
     assert rows(ingest.published_minutes(spark, kind, out).select(want.columns)) == rows(want)
+    for _ in range(2):
+        ingest.compact_minutes(spark, kind, out)
+        assert list((tmp_path / "out" / "batches").glob("batch=*")) == []
+        assert rows(ingest.published_minutes(spark, kind, out).select(want.columns)) == rows(want)
+
+
+def one_file_per_batch(spark, folder, *batches):
+    """A stream that takes the batches in order, one file each."""
+    seen = set()
+    for k, data in enumerate(batches):
+        spark.createDataFrame(data, schemas.READINGS).coalesce(1).write.mode("append").parquet(str(folder))
+        for f in set(folder.glob("part-*")) - seen:
+            os.utime(f, (1_700_000_000 + 60 * k,) * 2)
+            seen.add(f)
+    return spark.readStream.schema(schemas.READINGS).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def motion(value, at, room="r"):
+    return ("a", room, "motion", "motion", float(value), "bool", at, False)
+
+
+def test_published_minutes_stay_few_folders_and_count_a_key_once(spark, tmp_path):
+    at = datetime(2024, 1, 1, 23, 59)
+    batches = [[motion(1, at + timedelta(seconds=40 * k)), motion(k % 2, at)] for k in range(7)]
+    out = str(tmp_path / "out")
+    stream = one_file_per_batch(spark, tmp_path / "r", *batches)
+    ingest.publish_minutes(stream, "presence", out, most=2).awaitTermination()
+    assert len(list((tmp_path / "out" / "batches").glob("batch=*"))) <= 2
+    # the later value of a key counts: batch 6 has 0 for the first one
+    last = spark.createDataFrame([motion(1, at + timedelta(seconds=40 * k)) for k in range(1, 7)] + [motion(0, at)], schemas.READINGS)
+    want = ingest.MINUTES["presence"](last)
+    assert rows(ingest.published_minutes(spark, "presence", out).select(want.columns)) == rows(want)
+
+
+def test_late_readings_are_kept_apart_and_counted(spark, tmp_path):
+    at = datetime(2024, 1, 1, 10)
+    hour = timedelta(hours=1)
+    batches = [
+        [motion(1, at), motion(1, at), motion(0, at + 2 * hour)],
+        [motion(1, at + hour), motion(0, at + 2 * hour), motion(1, at), motion(1, at + hour, "s")],
+        [motion(1, at + 5 * hour), motion(1, at + hour)],
+        [motion(1, at + hour), motion(1, at + 5 * hour)],
+    ]
+    out = str(tmp_path / "out")
+    ingest.split_readings(one_file_per_batch(spark, tmp_path / "r", *batches), out, "90 minutes").awaitTermination()
+    got = {n: ingest.split_table(spark, out, n) for n in ("unique", "late", "counts")}
+    assert sorted((r.room, r.timestamp - at) for r in got["unique"].collect()) == [
+        ("r", 0 * hour), ("r", hour), ("r", 2 * hour), ("r", 5 * hour), ("s", hour),
+    ]
+    assert sorted((r.timestamp - at, r.batch) for r in got["late"].collect()) == [(0 * hour, 1), (hour, 3)]
+    totals = [sum(r[n] for r in got["counts"].collect()) for n in ("rows", "unique", "late", "duplicates")]
+    assert totals == [11, 5, 2, 4]
 
 
 def test_readings_survive_any_batching(lake, spark, tmp_path):

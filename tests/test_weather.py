@@ -29,6 +29,19 @@ def test_row_is_typed(spark, tmp_path):
     assert (r.measurement, r.value, r.unit, r.is_outlier) == (GLOB, 1.5, "Watt/m2", False)
 
 
+def test_columns_go_by_their_names(spark, tmp_path):
+    """Swapped columns, one more column, quoted fields with commas and quotes; a missing name rejects the file."""
+    put(tmp_path, [row()])
+    put(tmp_path, ["Sion,1.5,2023-01-06 00:00:00+00:00,01," + GLOB + ",W"], "Pred_2023-01-02.csv", '"Site",Value, Time ,Prediction,Measurement,Unit')
+    put(tmp_path, [f'x,2023-01-07 00:00:00+00:00,2.5,02,"A, ""b""",{GLOB},W,,'], "Pred_2023-01-03.csv", "Extra,Time,Value,Prediction,Site,Measurement,Unit,More")
+    put(tmp_path, ["2023-01-07 00:00:00+00:00,2.5,02,Sion,W"], "Pred_2023-01-04.csv", "Time,Value,Prediction,Site,Unit")
+    put(tmp_path, [",2.5,02,Sion," + GLOB + ",W", "2023-01-08 00:00:00+00:00,3.5"], "Pred_2023-01-05.csv")
+    found = sorted((r.prediction_date.day, r.site, r.value, r.prediction) for r in clean(spark, tmp_path))
+    assert found == [(1, "Aadorf / Tänikon", 1.5, 0), (2, "Sion", 1.5, 1), (3, "A, b", 2.5, 2)]
+    errors = {r.name: r.file_error for r in weather.read_weather_files(spark, str(tmp_path)).filter("file_error IS NOT NULL").collect()}
+    assert errors == {"Pred_2023-01-04.csv": "no column Measurement in header: Time,Value,Prediction,Site,Unit"}
+
+
 def test_rows_are_dropped_in_order(spark, tmp_path):
     put(
         tmp_path,
