@@ -178,6 +178,34 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return names[words.indices.to_numpy()]
 
 
+FEATURE_BASE = 0x9E3779B97F4A7C15 | 1
+_FEATURES: dict[int, np.ndarray] = {}
+
+
+def _feature_powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. n - 1 modulo 2 ** 64; kept for the next step unless it is unusually long."""
+    known = _FEATURES.get(base)
+    if known is not None and len(known) >= n:
+        return known[:n]
+    made = np.full(max(n, 1), base, np.uint64)
+    made[0] = 1
+    made = np.multiply.accumulate(made)
+    if n <= 4 * STEP_BYTES:
+        _FEATURES[base] = made
+    return made[:n]
+
+
+def feature_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Cheap hashes of words, the same in every run, for inputs of a model or a curve.
+
+    Words can be written to collide, so nothing that has to be exact may rest on them.
+    """
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(SYMBOLS[data] * _feature_powers(FEATURE_BASE, len(data)), out=sums[1:])
+    back = _feature_powers(pow(FEATURE_BASE, -1, 1 << 64), len(data) + 1)
+    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
 def per_text(owner: np.ndarray, n: int) -> np.ndarray:
     """Where the entries of each text begin, for entries sorted by owner; one more entry than texts."""
     return np.searchsorted(owner, np.arange(n + 1))

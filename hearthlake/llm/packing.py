@@ -26,7 +26,7 @@ def document_vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     bag with a fixed random matrix.
     """
     starts, ends, owner = common.words_of(data, offsets)
-    hashes = common.word_hashes(data, starts, ends)
+    hashes = common.feature_hashes(data, starts, ends)
     out = np.empty((len(offsets) - 1, DIMENSIONS))
     for j in range(DIMENSIONS):
         values = (hashes >> np.uint64(16 * j) & np.uint64(0xFFFF)).astype(np.float64) - 32767.5

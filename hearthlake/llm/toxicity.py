@@ -44,7 +44,7 @@ def inputs_of(data: np.ndarray, offsets: np.ndarray) -> Inputs:
     letter = (lower >= 128) | ((lower >= 97) & (lower <= 122)) | ((lower >= 48) & (lower <= 57))
     shown = np.where(letter, lower, 32).astype(np.uint8)
     starts, ends, owner = common.words_of(shown, offsets)
-    word = (common.word_hashes(shown, starts, ends) % np.uint64(WORD_ROWS)).astype(np.int32)
+    word = (common.feature_hashes(shown, starts, ends) % np.uint64(WORD_ROWS)).astype(np.int32)
     # Letter triples with a mark on both sides of a word: one per letter, the word's own bytes around it.
     code = shown.astype(np.uint64)
     before, after = np.empty_like(code), np.empty_like(code)
