@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hearthlake.functions import calendar, cleaning
@@ -146,6 +146,19 @@ def flatten_sensors(raw: DataFrame) -> DataFrame:
     return readings_of(parse_payloads(raw))
 
 
+def observed(parsed: DataFrame, observation: Observation) -> DataFrame:
+    """``parsed``, unchanged; once written, the observation holds its files, the good ones, those with readings, and readings."""
+    good = ~F.col("is_bad")
+    found = F.when(good, F.greatest(F.size("readings"), F.lit(0))).otherwise(0)
+    return parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(good).alias("readable"),
+        F.count_if(found > 0).alias("with_readings"),
+        F.coalesce(F.sum(found), F.lit(0)).cast("bigint").alias("readings"),
+    )
+
+
 def quarantined(parsed: DataFrame) -> DataFrame:
     """Files rejected as a whole, with the reason; they stay out of the manifest and count as new when they change."""
     reason = F.coalesce("file_error", F.lit("a part of the payload cannot be read")).alias("reason")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hearthlake.functions import cleaning
@@ -97,15 +97,24 @@ def usable_files(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
     return raw.join(rejected_files(raw, min_year), "path", "left_anti")
 
 
-def stage_counts(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
-    """Rows left after each rule, in one pass over the data."""
-    typed = _typed(raw)
+def _stage_columns(min_year: int) -> list[Column]:
+    """Rows left after each rule."""
     passed = F.lit(True)
     counts = [F.count(F.lit(1)).alias("raw")]
     for name, rule in _rules(min_year):
         passed = passed & F.coalesce(rule, F.lit(False))
         counts.append(F.count_if(passed).alias(name))
-    return typed.agg(*counts)
+    return counts
+
+
+def stage_counts(raw: DataFrame, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
+    """Rows left after each rule, in one pass over the data."""
+    return _typed(raw).agg(*_stage_columns(min_year))
+
+
+def observed(raw: DataFrame, observation: Observation, min_year: int = WEATHER_MIN_YEAR) -> DataFrame:
+    """``raw``, unchanged, whose :func:`stage_counts` the observation holds once it has been written."""
+    return _typed(raw).observe(observation, *_stage_columns(min_year)).select(*raw.columns)
 
 
 def last_forecast_order() -> list[Column]:

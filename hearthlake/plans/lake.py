@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from hearthlake import schemas, session
 from hearthlake.functions import calendar
 from hearthlake.operators import dedupe, flatten, forecasts
 from hearthlake.plans import dimensions, facts
+from hearthlake.sources import files as text_files
 from hearthlake.sources import listing, locks, sensors, tables, weather as weather_source
 
 SENSOR_EVENTS = "silver/sensor_events"
@@ -23,6 +24,8 @@ BUILDINGS = "silver/dim_buildings"
 SENSOR_MANIFEST = "silver/etl_watermark"
 WEATHER_MANIFEST = "silver/weather_watermark"
 QUARANTINE = "silver/quarantine"
+LOAD_COUNTS = "silver/load_counts"
+MANIFEST_DAY = T.StructField("day", T.DateType())  # the day in a file's name, by which manifests are partitioned
 
 MINUTE_FACTS: dict[str, Callable] = {
     "fact_energy_minute": facts.fact_energy_minute,
@@ -67,7 +70,11 @@ class Lake:
         return tables.read(self.spark, self.path(DI_ERRORS), schemas.DI_ERRORS)
 
     def manifest(self, table: str = SENSOR_MANIFEST) -> DataFrame:
-        return tables.read(self.spark, self.path(table), schemas.MANIFEST)
+        return tables.read(self.spark, self.path(table), T.StructType([*schemas.MANIFEST.fields, MANIFEST_DAY]))
+
+    def load_counts(self) -> DataFrame:
+        """Rows that each load had left after each of its stages."""
+        return tables.read(self.spark, self.path(LOAD_COUNTS), schemas.LOAD_COUNTS)
 
     def quarantine(self) -> DataFrame:
         return tables.read(self.spark, self.path(QUARANTINE), schemas.QUARANTINE)
@@ -86,12 +93,22 @@ class Lake:
 
 
 def _mark_done(lake: Lake, names: DataFrame, table: str, now: datetime) -> None:
-    """Add canonical file names to a manifest; names already there are left alone."""
+    """Add canonical file names to a manifest; names already there are left alone. Only the days in the names are read."""
+    filename = calendar.canonical_name(F.col("name"))
     done = names.select(
-        calendar.canonical_name(F.col("name")).alias("filename"), F.lit(now).cast("timestamp").alias("processed_at")
+        filename.alias("filename"),
+        F.lit(now).cast("timestamp").alias("processed_at"),
+        listing.named_day(filename).alias("day"),
     )
-    fresh = tables.insert_if_absent(done, lake.manifest(table), ["filename"])
-    tables.append(session.materialise(fresh, "done"), lake.path(table))
+    known = tables.touched_partitions(lake.manifest(table), done, "day")
+    fresh = tables.insert_if_absent(done, known, ["filename"])
+    tables.append_by_day(session.materialise(fresh, "done"), lake.path(table), "day")
+
+
+def _report(lake: Lake, job: str, now: datetime, counts: dict[str, int]) -> None:
+    """Store the stage counts of a load."""
+    rows = [(job, now, stage, n, rows) for n, (stage, rows) in enumerate(counts.items())]
+    tables.append(lake.spark.createDataFrame(rows, schemas.LOAD_COUNTS).coalesce(1), lake.path(LOAD_COUNTS))
 
 
 def _quarantine(lake: Lake, rejected: DataFrame) -> None:
@@ -108,11 +125,13 @@ def load_sensors(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
     """Flatten, upsert and mark a batch of sensor files; returns the periods it touched.
 
     The batch is parsed once. Readings are stored before their files are marked, so a failure in between only
-    means that the same files are upserted again. Files that cannot be read are quarantined and never marked.
+    means that the same files are upserted again. Files that cannot be read are quarantined and never marked. How many
+    files and readings came and stayed is counted while the parsed files are written, and stored per load.
     """
+    counts = Observation("load_sensors")
     keyed = sensors.with_file_keys(raw, lake.apartment_map).filter(F.col("apartment").isNotNull())
     with session.scratch(lake.spark):
-        parsed = session.materialise(flatten.parse_payloads(keyed), "parsed")
+        parsed = session.materialise(flatten.observed(flatten.parse_payloads(keyed), counts), "parsed")
         readings = lake.with_period(flatten.readings_of(parsed))
         tables.upsert(
             readings,
@@ -124,6 +143,7 @@ def load_sensors(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
         )
         _quarantine(lake, flatten.quarantined(parsed))
         _mark_done(lake, parsed.filter(~F.col("is_bad")), SENSOR_MANIFEST, now)
+        _report(lake, "load_sensors", now, counts.get)
         good = parsed.filter(~F.col("is_bad") & (F.size("readings") > 0))
         periods = as_list(lake.with_period(good).select("period"))
     return _as_periods(lake, periods)
@@ -133,10 +153,12 @@ def load_weather(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
     """Clean, upsert and mark a batch of forecast files; returns the periods it touched.
 
     The files are read once and their rows stored; what is rejected, kept and marked comes from there. A file that
-    holds a header alone is done, one that cannot be read is quarantined.
+    holds a header alone is done, one that cannot be read is quarantined. The rows left after each rule are counted while
+    the rows are written, and stored per load; a file without rows counts as one raw row.
     """
+    counts = Observation("load_weather")
     with session.scratch(lake.spark):
-        rows = session.materialise(raw, "forecast_rows")
+        rows = session.materialise(forecasts.observed(raw, counts, lake.min_year), "forecast_rows")
         rejected = session.materialise(forecasts.rejected_files(rows, lake.min_year), "rejected_files")
         usable = rows.join(rejected, "path", "left_anti")
         clean = session.materialise(lake.with_period(forecasts.clean_forecasts(usable, lake.min_year)), "clean_forecasts")
@@ -147,49 +169,46 @@ def load_weather(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
         names = rows.select("path", "name", modified).distinct()
         _quarantine(lake, names.join(rejected, "path").select("path", "name", "modified", "reason"))
         _mark_done(lake, names.join(rejected, "path", "left_anti"), WEATHER_MANIFEST, now)
+        _report(lake, "load_weather", now, counts.get)
         periods = as_list(clean.select("period"))
     return _as_periods(lake, periods)
 
 
-def _load_new(lake: Lake, root: str, glob: str, manifest: str, load: Callable[[list[str]], DataFrame], lot: int) -> list[date]:
-    """Load the files below ``root`` that were neither processed nor rejected in their present state, ``lot`` at a time."""
-    listed = listing.new_files(listing.list_files(lake.spark, root, glob), lake.manifest(manifest))
-    known = lake.quarantine().select("path", "modified")
-    fresh = listed.join(known, (listed["path"] == known["path"]) & listed["modified"].eqNullSafe(known["modified"]), "left_anti")
+def _load_new(lake: Lake, root: str, glob: str, manifest: str, load: Callable[[DataFrame], DataFrame], lot: int) -> list[date]:
+    """Load the files below ``root`` that were neither processed nor rejected in their present state, about ``lot`` at a time.
+
+    The names are listed once and meet only those days of the manifest that they carry. What is new stays a table: a lot is
+    a range of modification times, so that no task gets a file outside it, joined with the new paths, so that known files
+    inside it go before they are parsed.
+    """
+    spark = lake.spark
+    files = text_files.open_files(spark, root, glob)
     touched: set[date] = set()
-    paths: list[str] = []
-    for row in fresh.select("path").toLocalIterator():
-        paths.append(row["path"])
-        if len(paths) >= lot:
-            touched |= set(as_list(load(paths)))
-            paths = []
-    if paths:
-        touched |= set(as_list(load(paths)))
+    with session.scratch(spark):
+        named = listing.described(files).withColumn("day", listing.named_day(calendar.canonical_name(F.col("name"))))
+        listed = session.materialise(named, "listed")
+        unmarked = listing.new_files(listed, tables.touched_partitions(lake.manifest(manifest), listed, "day"))
+        known = lake.quarantine().select("path", "modified")
+        rejected = (unmarked["path"] == known["path"]) & unmarked["modified"].eqNullSafe(known["modified"])
+        fresh = session.materialise(unmarked.join(known, rejected, "left_anti").select("path", "modified"), "fresh")
+        for micros in listing.lots(fresh, lot):
+            batch = files.filter(listing.within(micros)).join(fresh.select("path"), "path", "left_semi")
+            touched |= set(as_list(load(text_files.texts(batch))))
     return sorted(touched)
 
 
 def load_new_sensors(lake: Lake, root: str, now: datetime, lot: int = 100_000) -> list[date]:
     """Catch up on sensor files: the listing without the manifest, whatever a stream has seen. Returns the periods."""
-    return _load_new(
-        lake,
-        root,
-        sensors.PAYLOAD_GLOB,
-        SENSOR_MANIFEST,
-        lambda paths: load_sensors(lake, sensors.read_sensor_files(lake.spark, paths), now),
-        lot,
-    )
+    return _load_new(lake, root, sensors.PAYLOAD_GLOB, SENSOR_MANIFEST, lambda texts: load_sensors(lake, texts, now), lot)
 
 
 def load_new_weather(lake: Lake, root: str, now: datetime, lot: int = 1000) -> list[date]:
     """Catch up on forecast files, as :func:`load_new_sensors`."""
-    return _load_new(
-        lake,
-        root,
-        weather_source.FORECAST_GLOB,
-        WEATHER_MANIFEST,
-        lambda paths: load_weather(lake, weather_source.read_weather_files(lake.spark, paths), now),
-        lot,
-    )
+
+    def load(texts: DataFrame) -> DataFrame:
+        return load_weather(lake, weather_source.rows_of(texts), now)
+
+    return _load_new(lake, root, weather_source.FORECAST_GLOB, WEATHER_MANIFEST, load, lot)
 
 
 # ---- silver to gold ---------------------------------------------------------------------------------------------

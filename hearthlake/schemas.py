@@ -155,6 +155,7 @@ DI_ERRORS = _schema(
     error_id=_INT, sensor_id=_STR, room_id=_INT, apartment=_STR, timestamp=_TS, error_message=_STR, severity=_STR
 )
 MANIFEST = _schema(filename=_STR, processed_at=_TS)
+LOAD_COUNTS = _schema(job=_STR, loaded_at=_TS, stage=_STR, position=_INT, rows=_LONG)
 QUARANTINE = _schema(path=_STR, name=_STR, modified=_TS, reason=_STR)
 
 # VARCHAR limits and NOT NULL rules of the silver readings, checked by operators.quality

@@ -34,7 +34,9 @@ def decode(name: str, content: bytes) -> tuple[str | None, str | None]:
         return None, "not UTF-8 text"
 
 
-def _texts(files: DataFrame) -> DataFrame:
+def texts(files: DataFrame) -> DataFrame:
+    """One row (path, name, modified, value, file_error) per file of a frame of :data:`FILE_SCHEMA`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths = batch.column("path").to_pylist()
@@ -49,14 +51,19 @@ def _texts(files: DataFrame) -> DataFrame:
     return files.select("path", "modificationTime", "content").mapInArrow(run, TEXT_SCHEMA)
 
 
+def open_files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
+    """Matching files below ``paths`` as :data:`FILE_SCHEMA`, listed once however often the frame is used."""
+    reader = spark.read.schema(FILE_SCHEMA).format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", glob).load(paths)
+
+
 def read_text_files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
     """One row (path, name, modified, value, file_error) per matching file below ``paths``."""
-    reader = spark.read.schema(FILE_SCHEMA).format("binaryFile").option("recursiveFileLookup", "true")
-    return _texts(reader.option("pathGlobFilter", glob).load(paths))
+    return texts(open_files(spark, paths, glob))
 
 
 def stream_text_files(spark: SparkSession, root: str, glob: str, max_files: int) -> DataFrame:
     """Streaming form of :func:`read_text_files`; each trigger takes at most ``max_files`` unseen files of any age."""
     reader = spark.readStream.schema(FILE_SCHEMA).format("binaryFile").option("recursiveFileLookup", "true")
     reader = reader.option("maxFileAge", MAX_FILE_AGE).option("maxFilesPerTrigger", max_files)
-    return _texts(reader.option("pathGlobFilter", glob).load(root))
+    return texts(reader.option("pathGlobFilter", glob).load(root))

@@ -6,16 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake.functions import calendar
+from hearthlake.sources import files as text_files
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """One row (path, name, bytes, modified) per file below ``root``; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-    )
+def described(files: DataFrame) -> DataFrame:
+    """One row (path, name, bytes, modified) per file of a frame of files; contents are not read."""
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
@@ -24,6 +19,44 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
+def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """One row (path, name, bytes, modified) per file below ``root``; contents are not read."""
+    return described(text_files.open_files(spark, root, glob))
+
+
+def named_day(name: Column) -> Column:
+    """The day in the name of a sensor or forecast file; null if it holds none. Compressing a file keeps its day."""
+    return F.coalesce(F.to_date(calendar.file_ts(name)), calendar.prediction_date(name))
+
+
+def lots(files: DataFrame, size: int) -> list[tuple[int, int]]:
+    """Ranges of modification times in microseconds, both ends included, that split ``files`` (column ``modified``) into lots of about ``size``.
+
+    The cuts are quantiles, so only they come to the driver. Files of one modification time stay in one lot.
+    """
+    count = files.count()
+    if not count:
+        return []
+    shares = [n / (-(-count // size)) for n in range(1, -(-count // size))]
+    micros = F.unix_micros("modified")
+    cuts = F.percentile_approx(micros, [*shares, 1.0], 20 * (len(shares) + 1))
+    low, cuts = files.agg(F.min(micros), cuts).first()
+    ranges = []
+    for cut in sorted(set(cuts)):
+        ranges.append((low, cut))
+        low = cut + 1
+    return ranges
+
+
+def within(micros: tuple[int, int]) -> Column:
+    """Whether a file was modified in a range of :func:`lots`.
+
+    On the file source's own metadata, so files outside the range are left out when the scan is planned: no task gets them.
+    """
+    low, high = (F.timestamp_micros(F.lit(m).cast("bigint")) for m in micros)
+    return F.col("_metadata.file_modification_time").between(low, high)
+
+
 def new_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     """Listed files that the manifest does not hold, comparing names without ``.gz``."""
     known = manifest.select(calendar.canonical_name(F.col("filename")).alias("canonical"))

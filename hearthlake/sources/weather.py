@@ -20,7 +20,7 @@ def _fields(line: Column) -> Column:
     return F.transform(raw, lambda f: F.when(f.startswith('"'), F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
 
 
-def _rows(texts: DataFrame) -> DataFrame:
+def rows_of(texts: DataFrame) -> DataFrame:
     """Rows of readable files; a file without rows, or one that cannot be used, is one row of nulls.
 
     Columns go by the names in the file's own header, in any order and with others between them. A header that lacks
@@ -41,8 +41,8 @@ def _rows(texts: DataFrame) -> DataFrame:
 
 def read_weather_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Rows of every ``.csv`` or ``.csv.gz`` below ``paths``, all columns text, with the issue date from the name."""
-    return _rows(files.read_text_files(spark, paths, FORECAST_GLOB))
+    return rows_of(files.read_text_files(spark, paths, FORECAST_GLOB))
 
 
 def stream_weather_files(spark: SparkSession, root: str, max_files: int = 100) -> DataFrame:
-    return _rows(files.stream_text_files(spark, root, FORECAST_GLOB, max_files))
+    return rows_of(files.stream_text_files(spark, root, FORECAST_GLOB, max_files))
