@@ -55,9 +55,21 @@ def file_gaps(arrivals: DataFrame, apartments: DataFrame, start: Column, end: Co
 
 
 def missing_files(arrivals: DataFrame, apartments: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Every expected (apartment, minute) without a file."""
-    every = F.sequence(F.col("gap_start"), F.col("gap_end"), _minutes(1))
-    return file_gaps(arrivals, apartments, start, end).select("apartment", F.explode(every).alias("minute"))
+    """Every expected (apartment, minute) without a file. A gap is unfolded day by day, so no row holds more than a day of it."""
+    day = F.col("day").cast("timestamp")
+    days = F.explode(F.sequence(F.to_date("gap_start"), F.to_date("gap_end"))).alias("day")
+    last = day + F.expr("INTERVAL 1439 MINUTES")
+    every = F.sequence(F.greatest("gap_start", day), F.least("gap_end", last), _minutes(1))
+    by_day = file_gaps(arrivals, apartments, start, end).select("apartment", "gap_start", "gap_end", days)
+    return by_day.select("apartment", F.explode(every).alias("minute"))
+
+
+def observed_range(arrivals: DataFrame, around: int = 0) -> tuple[Column, Column]:
+    """First and last minute with an arrival, ``around`` minutes further out; null if there are none."""
+    minute = calendar.minute(F.col("timestamp"))
+    first, last = arrivals.agg(F.min(minute), F.max(minute)).first()
+    low, high = (F.lit(value).cast("timestamp") for value in (first, last))
+    return low - _minutes(around), high + _minutes(around)
 
 
 def stops(arrivals: DataFrame, start: Column, end: Column, max_empty: int = EMPTY_MINUTES_STOP) -> DataFrame:

@@ -149,10 +149,14 @@ def dim_device(
 
 
 def dim_tariff(
-    spark: SparkSession, tariffs: Iterable[tuple] = TARIFFS, existing: DataFrame | None = None
+    spark: SparkSession, tariffs: Iterable[tuple] | DataFrame = TARIFFS, existing: DataFrame | None = None
 ) -> DataFrame:
-    """Configured prices; a changed price replaces the stored one and keeps its key."""
-    given = spark.createDataFrame([(p, int(y), str(c)) for p, y, c in tariffs], "provider string, year int, price string")
+    """Configured prices, as tuples or as a table (provider, year, price); a changed price replaces the stored one and
+    keeps its key."""
+    given = tariffs
+    if not isinstance(given, DataFrame):
+        rows = [(p, int(y), str(c)) for p, y, c in tariffs]
+        given = spark.createDataFrame(rows, "provider string, year int, price string")
     given = given.select(
         "provider", F.col("year").cast("smallint").alias("year"), F.col("price").cast("decimal(6,4)").alias("price")
     )

@@ -99,7 +99,7 @@ def erase_apartments(lake: lakes.Lake, apartments: list[str]) -> list[str]:
         stored: list[tuple[str, DataFrame, list[str], Callable]] = [
             (lakes.SENSOR_EVENTS, lake.readings(), ["period"], lambda df: df.join(leaving, "apartment", "left_anti")),
             (lakes.DI_ERRORS, lake.errors(), [], lambda df: df.join(leaving, "apartment", "left_anti")),
-            (lakes.SENSOR_MANIFEST, lake.manifest(), ["day"], lambda df: named(df, "filename")),
+            (lakes.SENSOR_MANIFEST, lake.manifest(), ["period"], lambda df: named(df, "filename")),
             (lakes.QUARANTINE, lake.quarantine(), [], lambda df: named(df, "name")),
         ]
         if tables.exists(spark, lake.path(BRONZE)):

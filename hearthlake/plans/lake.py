@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,6 @@ SENSOR_MANIFEST = "silver/etl_watermark"
 WEATHER_MANIFEST = "silver/weather_watermark"
 QUARANTINE = "silver/quarantine"
 LOAD_COUNTS = "silver/load_counts"
-MANIFEST_DAY = T.StructField("day", T.DateType())  # the day in a file's name, by which manifests are partitioned
 
 MINUTE_FACTS: dict[str, Callable] = {
     "fact_energy_minute": facts.fact_energy_minute,
@@ -70,7 +69,11 @@ class Lake:
         return tables.read(self.spark, self.path(DI_ERRORS), schemas.DI_ERRORS)
 
     def manifest(self, table: str = SENSOR_MANIFEST) -> DataFrame:
-        return tables.read(self.spark, self.path(table), T.StructType([*schemas.MANIFEST.fields, MANIFEST_DAY]))
+        return tables.read(self.spark, self.path(table), _stored(schemas.MANIFEST))
+
+    def named_period(self, name: str) -> Column:
+        """The period of the day in a file's name, by which manifests are partitioned."""
+        return calendar.period(listing.named_day(calendar.canonical_name(F.col(name))), self.grain).alias("period")
 
     def load_counts(self) -> DataFrame:
         """Rows that each load had left after each of its stages."""
@@ -93,16 +96,15 @@ class Lake:
 
 
 def _mark_done(lake: Lake, names: DataFrame, table: str, now: datetime) -> None:
-    """Add canonical file names to a manifest; names already there are left alone. Only the days in the names are read."""
-    filename = calendar.canonical_name(F.col("name"))
+    """Add canonical file names to a manifest; names already there are left alone. Only the periods in the names are read."""
     done = names.select(
-        filename.alias("filename"),
+        calendar.canonical_name(F.col("name")).alias("filename"),
         F.lit(now).cast("timestamp").alias("processed_at"),
-        listing.named_day(filename).alias("day"),
+        lake.named_period("name"),
     )
-    known = tables.touched_partitions(lake.manifest(table), done, "day")
+    known = tables.touched_partitions(lake.manifest(table), done, "period")
     fresh = tables.insert_if_absent(done, known, ["filename"])
-    tables.append_by_day(session.materialise(fresh, "done"), lake.path(table), "day")
+    tables.append_by_period(session.materialise(fresh, "done"), lake.path(table), "period")
 
 
 def _report(lake: Lake, job: str, now: datetime, counts: dict[str, int]) -> None:
@@ -177,7 +179,7 @@ def load_weather(lake: Lake, raw: DataFrame, now: datetime) -> DataFrame:
 def _load_new(lake: Lake, root: str, glob: str, manifest: str, load: Callable[[DataFrame], DataFrame], lot: int) -> list[date]:
     """Load the files below ``root`` that were neither processed nor rejected in their present state, about ``lot`` at a time.
 
-    The names are listed once and meet only those days of the manifest that they carry. What is new stays a table: a lot is
+    The names are listed once and meet only those periods of the manifest that they carry. What is new stays a table: a lot is
     a range of modification times, so that no task gets a file outside it, joined with the new paths, so that known files
     inside it go before they are parsed.
     """
@@ -185,9 +187,8 @@ def _load_new(lake: Lake, root: str, glob: str, manifest: str, load: Callable[[D
     files = text_files.open_files(spark, root, glob)
     touched: set[date] = set()
     with session.scratch(spark):
-        named = listing.described(files).withColumn("day", listing.named_day(calendar.canonical_name(F.col("name"))))
-        listed = session.materialise(named, "listed")
-        unmarked = listing.new_files(listed, tables.touched_partitions(lake.manifest(manifest), listed, "day"))
+        listed = session.materialise(listing.described(files).select("*", lake.named_period("name")), "listed")
+        unmarked = listing.new_files(listed, tables.touched_partitions(lake.manifest(manifest), listed, "period"))
         known = lake.quarantine().select("path", "modified")
         rejected = (unmarked["path"] == known["path"]) & unmarked["modified"].eqNullSafe(known["modified"])
         fresh = session.materialise(unmarked.join(known, rejected, "left_anti").select("path", "modified"), "fresh")

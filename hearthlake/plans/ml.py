@@ -5,8 +5,13 @@ Feature choice and the split by time are this package's own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -144,12 +149,56 @@ def known_before(rows: DataFrame, cut: datetime, ahead: int) -> DataFrame:
     return rows.filter(F.unix_timestamp("slot") + ahead < F.unix_timestamp(F.lit(cut)))
 
 
-def backtest(predictions: DataFrame, predicted: str, actual: str) -> DataFrame:
-    """Errors per model and target over the slots whose outcome is known."""
+@dataclass(frozen=True)
+class Target:
+    """What a model learns and how its predictions are scored."""
+
+    fit: Callable[[DataFrame], PipelineModel]
+    predict: Callable[[PipelineModel, DataFrame, Column], DataFrame]
+    label: str
+    ahead: int
+    predicted: str
+    actual: str
+
+
+OCCUPANCY = Target(fit_occupancy, predict_occupancy, "label_occupied", HOUR, "predicted_occupied", "actual_occupied")
+CONSUMPTION = Target(fit_consumption, predict_consumption, "label_power_w", DAY, "predicted_power_w", "actual_power_w")
+
+
+def rolling_backtest(rows: DataFrame, target: Target, shares: list[float], horizon_days: int = 30, threads: int = 4) -> DataFrame:
+    """Errors per fold and horizon: at each cut a model is fitted on what was known then and predicts up to the next cut.
+
+    ``rows`` are features, best stored, as every fold reads them. Cuts lie where the given ascending shares of the time
+    have passed; the last fold ends with the data. Horizon n holds the slots n times ``horizon_days`` after the cut. Folds are
+    fitted side by side, and scored in one job. A fold at whose cut no outcome is known yet has no model and no rows.
+    """
+    cuts = [split_time(rows, share) for share in shares]
+    made_at = F.lit(None).cast("timestamp")
+
+    def fold(n: int) -> DataFrame | None:
+        known = known_before(rows, cuts[n], target.ahead).filter(F.col(target.label).isNotNull())
+        if known.isEmpty():
+            return None
+        slot, cut = F.col("slot"), F.lit(cuts[n])
+        held_out = rows.filter((slot >= cut) & (slot < F.lit(cuts[n + 1])) if n + 1 < len(cuts) else slot >= cut)
+        start = F.unix_timestamp("timestamp_rounded") - target.ahead
+        horizon = F.floor((start - F.unix_timestamp(cut)) / (horizon_days * DAY)).cast("int")
+        predictions = target.predict(target.fit(known), held_out, made_at)
+        return predictions.withColumns({"fold": F.lit(n), "cut": cut.cast("timestamp"), "horizon": horizon})
+
+    with ThreadPoolExecutor(threads) as pool:
+        folds = [f for f in pool.map(inheritable_thread_target(rows.sparkSession)(fold), range(len(cuts))) if f is not None]
+    if not folds:
+        raise ValueError("no outcome is known before any cut")
+    return backtest(reduce(DataFrame.unionByName, folds), target.predicted, target.actual, ["fold", "cut", "horizon"])
+
+
+def backtest(predictions: DataFrame, predicted: str, actual: str, by: list[str] = ()) -> DataFrame:
+    """Errors per model and target, and per ``by``, over the slots whose outcome is known."""
     error = F.col(predicted) - F.col(actual)
     return (
         predictions.filter(F.col(actual).isNotNull())
-        .groupBy("model_name", "target")
+        .groupBy("model_name", "target", *by)
         .agg(
             F.count(F.lit(1)).alias("slots"),
             F.avg(actual).alias("mean_actual"),

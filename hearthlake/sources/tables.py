@@ -147,26 +147,26 @@ def _folder_name(column: str, value: date | None) -> str:
     return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
-def append_by_day(df: DataFrame, path: str, day: str, most: int = 64) -> None:
-    """Add rows to a table partitioned by the date column ``day``; a partition that has come to more than ``most`` files is packed.
+def append_by_period(df: DataFrame, path: str, period: str, most: int = 64) -> None:
+    """Add rows to a table partitioned by the date column ``period``; a partition that has come to more than ``most`` files is packed.
 
     Only the partitions of ``df`` are looked at, and only the crowded ones among them are read. Their packed rows are staged
     and renamed into place. Writers of one table wait for each other.
     """
     spark = df.sparkSession
-    days = [row[0] for row in df.select(day).distinct().collect()]  # one value per calendar day
-    if not days:
+    periods = [row[0] for row in df.select(period).distinct().collect()]  # one value per calendar day at most
+    if not periods:
         return
     with writing(spark, path) as lock:
-        df.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
+        df.hint("rebalance", period).write.mode("append").partitionBy(period).parquet(path)
         folder = publish.Folder(spark, path)
-        parts = [f"{path}/{_folder_name(day, value)}" for value in days]
+        parts = [f"{path}/{_folder_name(period, value)}" for value in periods]
         crowded = [p for p in parts if sum(n.endswith(".parquet") for n in folder.names(p)) > most]
         if crowded:
             rows = spark.read.schema(df.schema).option("basePath", path).parquet(*crowded)
-            writer = publish.stage(rows.hint("rebalance", day), path, [day])
+            writer = publish.stage(rows.hint("rebalance", period), path, [period])
             lock.check()
-            publish.commit(spark, path, writer, [day])
+            publish.commit(spark, path, writer, [period])
 
 
 def append(df: DataFrame, path: str, most: int = 64) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake import schemas, session
-from hearthlake.operators import privacy, quality
+from hearthlake.operators import freshness, privacy, quality
 from hearthlake.plans import dimensions, facts, measures, ml, reports
 from hearthlake.workload import adapters, oracles
 from hearthlake.workload.registry import query, rounded, rounded_sql
@@ -83,7 +83,7 @@ def dim_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices for the years found in the orders, one of them changed by a second load."""
     years = adapters.table(spark, sf_dir, "orders").select((F.year("o_orderdate") + 25).alias("year")).distinct()
-    given = [("OIKEN", row.year, "0.34") for row in years.collect()]  # one value per calendar year
+    given = years.select(F.lit("OIKEN").alias("provider"), "year", F.lit("0.34").alias("price"))
     first = session.materialise(dimensions.dim_tariff(spark, given), "dim_tariff")
     return rounded(dimensions.dim_tariff(spark, [("OIKEN", 2024, "0.36")], existing=first))
 
@@ -219,29 +219,6 @@ _TABLES = ["dim_apartment", "dim_room", "dim_device", "dim_date", "dim_datetime"
 _FACT_TABLES = [
     "fact_environment_minute", "fact_energy_minute", "fact_presence_minute", "fact_device_health_day", "fact_weather_hour"
 ]
-_PREDICTION_TABLES = {
-    "fact_prediction_motion": schemas.PREDICTION_MOTION,
-    "fact_prediction_consumption": schemas.PREDICTION_CONSUMPTION,
-}
-
-
-@query(
-    oracles.over_star(
-        " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, count(*) AS rows, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END AS status "
-            f"FROM {t}"
-            for t in _TABLES + _FACT_TABLES
-        )
-        + "".join(f" UNION ALL SELECT '{t}', 0, 'empty'" for t in _PREDICTION_TABLES)
-    )
-)
-def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of all gold tables, and whether each is ready; predictions were not made yet."""
-    star = adapters.star(spark, sf_dir, *_FACT_TABLES)
-    none = {name: spark.createDataFrame([], schema) for name, schema in _PREDICTION_TABLES.items()}
-    return quality.table_status({name: star[name] for name in _TABLES + _FACT_TABLES} | none)
-
-
 # What is left of each parent, by attributes that both engines know.
 _CUT = {
     "dim_apartment": "apartment_id = 'apt_b'",
@@ -685,3 +662,101 @@ def predicted_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = _predictions(spark, sf_dir, "consumption")
     page = reports.predicted_vs_actual(predictions, "predicted_power_w", "actual_power_w")
     return rounded(page.withColumn("has_prediction", F.col("avg_predicted").isNotNull()).drop("avg_predicted"))
+
+
+_SHARES = [0.5, 0.625, 0.75, 0.875]
+_HORIZON_DAYS = 180
+_FOLDS = f"""
+cuts AS (
+  SELECT fold, floor((min(epoch(slot)) * (1 - share) + max(epoch(slot)) * share) / 900) * 900 AS cut
+  FROM features, (VALUES {", ".join(f"({n}, CAST({s} AS DOUBLE))" for n, s in enumerate(_SHARES))}) shares(fold, share)
+  GROUP BY fold, share),
+folds AS (SELECT fold, cut, lead(cut) OVER (ORDER BY fold) AS until FROM cuts)"""
+
+
+@query(
+    oracles.over_star(
+        f"""SELECT 'linear_regression' AS model_name, 'Consumption' AS target, fold, CAST(to_timestamp(cut) AS TIMESTAMP) AS cut,
+              CAST(floor((epoch(slot) - cut) / ({_HORIZON_DAYS} * 86400)) AS INT) AS horizon, count(*) AS slots,
+              round(avg(label_power_w), 6) AS mean_actual, TRUE AS consistent
+            FROM features JOIN folds ON epoch(slot) >= cut AND (until IS NULL OR epoch(slot) < until)
+            WHERE label_power_w IS NOT NULL GROUP BY ALL""",
+        _SLOTS,
+        _FEATURES,
+        _FOLDS,
+    )
+)
+def rolling_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consumption models fitted at four cuts, their held-out slots and outcomes per fold and half year after the cut."""
+    rows = session.materialise(_features(spark, sf_dir), "features")
+    errors = ml.rolling_backtest(rows, ml.CONSUMPTION, _SHARES, _HORIZON_DAYS)
+    consistent = (F.abs("bias") <= F.col("mae") + 1e-9) & (F.col("mae") <= F.col("rmse") + 1e-9)
+    return rounded(errors.drop("mae", "rmse", "bias").join(errors.select("fold", "horizon", consistent.alias("consistent")), ["fold", "horizon"]))
+
+
+# ---- reports over stored predictions too ------------------------------------------------------------------------
+
+_PREDICTION_TABLES = {"fact_prediction_motion": "occupancy", "fact_prediction_consumption": "consumption"}
+_HELD_OUT = f"held_out AS (SELECT slot FROM features WHERE slot >= {_CUT_AT})"
+
+
+@query(
+    oracles.over_star(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS rows, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END AS status "
+            f"FROM {table}"
+            for name, table in [(t, t) for t in _TABLES + _FACT_TABLES] + [(t, "held_out") for t in _PREDICTION_TABLES]
+        ),
+        _SLOTS,
+        _FEATURES,
+        _HELD_OUT,
+    )
+)
+def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all gold tables, stored predictions among them, and whether each is ready."""
+    star = adapters.star(spark, sf_dir, *_FACT_TABLES)
+    made = {name: _predictions(spark, sf_dir, kind) for name, kind in _PREDICTION_TABLES.items()}
+    return quality.table_status({name: star[name] for name in _TABLES + _FACT_TABLES} | made)
+
+
+_HOURS_26, _HOURS_36, _HOURS_48 = 26 * 3600, 36 * 3600, 48 * 3600
+_FRESH = {
+    "energy": ("fact_energy_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "environment": ("fact_environment_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "presence": ("fact_presence_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
+    "device health": ("fact_device_health_day JOIN dim_date USING (date_key)", "CAST(max(date) AS TIMESTAMP)", _HOURS_26, 7),
+    "weather": ("fact_weather_hour JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_36, 14),
+    "motion predictions": ("held_out", f"CASE WHEN count(*) > 0 THEN TIMESTAMP '{adapters.NOW}' END", _HOURS_48, 14),
+    "consumption predictions": ("held_out", f"CASE WHEN count(*) > 0 THEN TIMESTAMP '{adapters.NOW}' END", _HOURS_48, 14),
+}
+
+
+@query(
+    oracles.over_star(
+        """SELECT source, latest, epoch(TIMESTAMP '2024-02-01') - epoch(latest) AS age_seconds,
+             CASE WHEN latest IS NULL THEN 'no data' WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < ok THEN 'ok'
+                  WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < days * 86400 THEN 'warn' ELSE 'fail' END AS status
+           FROM ("""
+        + " UNION ALL ".join(
+            f"SELECT '{source}' AS source, {latest} AS latest, {ok} AS ok, {days} AS days FROM {rows}"
+            for source, (rows, latest, ok, days) in _FRESH.items()
+        )
+        + ")",
+        _SLOTS,
+        _FEATURES,
+        _HELD_OUT,
+    )
+)
+def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest row, age and status of every gold source, stored predictions among them."""
+    minutes = {
+        "energy": "fact_energy_minute", "environment": "fact_environment_minute", "presence": "fact_presence_minute"
+    }
+    star = adapters.star(spark, sf_dir, *minutes.values(), "fact_device_health_day", "fact_weather_hour")
+    sources = {name: (star[table], "datetime_key", schemas.FRESHNESS_SENSORS) for name, table in minutes.items()}
+    sources["device health"] = (star["fact_device_health_day"], "date_key", schemas.FRESHNESS_SENSORS)
+    sources["weather"] = (star["fact_weather_hour"], "datetime_key", schemas.FRESHNESS_WEATHER)
+    for name, kind in (("motion", "occupancy"), ("consumption", "consumption")):
+        made = _predictions(spark, sf_dir, kind)
+        sources[f"{name} predictions"] = (made, "prediction_made_at", schemas.FRESHNESS_PREDICTIONS)
+    return freshness.freshness(sources, F.lit(adapters.NOW).cast("timestamp"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake import schemas, session
 from hearthlake.functions import calendar, cleaning
-from hearthlake.operators import dedupe, errors, flatten, forecasts, freshness, gaps, quality
+from hearthlake.operators import dedupe, errors, flatten, forecasts, gaps, quality
 from hearthlake.plans import facts
 from hearthlake.plans import lake as lakes
 from hearthlake.sources import listing, registry, sensors, tables, weather
@@ -88,12 +89,22 @@ def weather_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOG = """SELECT CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS id, event_id % 10 AS building,
+         CASE event_id % 4 WHEN 0 THEN 'Sensor DOWN, read failed' WHEN 1 THEN 'null value'
+              WHEN 2 THEN 'Exception in poll' ELSE 'battery replaced' END AS message,
+         CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 17 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS made
+       FROM events WHERE event_type = 'error'
+       UNION ALL SELECT '9' || doc_id, doc_id % 10, text, '2024-01-15 12:00:00' FROM documents"""
+
+
 @query(
-    """SELECT CAST(s_suppkey AS VARCHAR) AS idBuilding,
-       CASE s_suppkey WHEN 3 THEN 'Villa ALPHA' WHEN 7 THEN 'Beta house' ELSE s_name END AS houseName FROM supplier"""
+    f"""SELECT 'dim_buildings' AS snapshot, CAST(s_suppkey AS VARCHAR) AS id, md5(s_suppkey || '|' ||
+         CASE s_suppkey WHEN 3 THEN 'Villa ALPHA' WHEN 7 THEN 'Beta house' ELSE s_name END) AS record FROM supplier
+       UNION ALL SELECT '{schemas.REGISTRY_TABLES["dierrors"]}', id,
+         md5(id || '|' || building || '|' || coalesce(message, '-') || '|' || coalesce(made, '-')) FROM ({_LOG})"""
 )
 def registry_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text snapshots of the registry tables that are present, allowed and not empty, with allowed columns only."""
+    """Text snapshots of the registry tables that are present, allowed and not empty, with allowed columns only; every record by a digest."""
     root = session.new_path(spark, "registry")
     source = {
         "buildings": lambda: adapters.buildings(spark, sf_dir),
@@ -101,13 +112,19 @@ def registry_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rooms": lambda: adapters.table(spark, sf_dir, "nation").filter("n_nationkey < 0"),
         "users": lambda: adapters.table(spark, sf_dir, "customer"),
     }
-    registry.import_registry(
+    written = registry.import_registry(
         source,
         lambda name: source[name](),
         lambda name, df: tables.truncate_and_load(df, f"{root}/{name}"),
         allow={"buildings": ["IDBUILDING", "houseName"]},
     )
-    return spark.read.parquet(f"{root}/dim_buildings")
+
+    def records(name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{root}/{name}")
+        fields = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("-")) for c in rows.columns])
+        return rows.select(F.lit(name).alias("snapshot"), F.col(rows.columns[0]).alias("id"), F.md5(fields).alias("record"))
+
+    return reduce(DataFrame.unionByName, [records(name) for name in written])
 
 
 @query(
@@ -346,6 +363,33 @@ def cleaning_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecasts.stage_counts(adapters.raw_forecasts(spark, sf_dir))
 
 
+_LOAD_STAGES = [
+    ("load_weather", "raw", "count(*) FROM fc_raw"),
+    ("load_weather", "after_timestamp", 'count("timestamp") FROM fc_raw'),
+    ("load_weather", "after_year", "count(*) FROM fc_raw WHERE year(\"timestamp\") >= 2023"),
+    ("load_weather", "after_measurement", "count(*) FROM fc_raw WHERE year(\"timestamp\") >= 2023 AND measurement <> 'PRED_OTHER'"),
+    ("load_weather", "after_sentinel", "count(value) FROM fc_raw WHERE year(\"timestamp\") >= 2023 AND measurement <> 'PRED_OTHER'"),
+    ("load_sensors", "files", "(SELECT count(*) FROM ev_all) + (SELECT count(*) FROM ord)"),
+    ("load_sensors", "readable", "(SELECT count(*) FROM ev) + (SELECT count(*) FROM ord)"),
+    ("load_sensors", "with_readings", "count(DISTINCT folder) FROM readings"),
+    ("load_sensors", "readings", "count(*) FROM readings"),
+]
+
+
+@query(
+    oracles.over_readings(
+        " UNION ALL ".join(f"SELECT '{job}' AS job, '{stage}' AS stage, ({'SELECT ' + rows}) AS rows" for job, stage, rows in _LOAD_STAGES),
+        *oracles.FORECAST_CTES,
+    )
+)
+def load_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loads of all payloads and forecasts counted themselves while they wrote, stage by stage."""
+    lake = _lake(spark)
+    lakes.load_sensors(lake, adapters.payloads(spark, sf_dir), _NOW)
+    lakes.load_weather(lake, adapters.raw_forecasts(spark, sf_dir), _NOW)
+    return lake.load_counts().select("job", "stage", "rows")
+
+
 @query(
     oracles.over_forecasts(
         f"""SELECT "timestamp", site, prediction, prediction_date, measurement, {rounded_sql("value")}, unit, is_outlier
@@ -458,7 +502,8 @@ def quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- operations data --------------------------------------------------------------------------------------------
 
-_RANGE = """RANGE_MIN AS (SELECT TIMESTAMP '2023-12-31 23:30:00' AS lo, TIMESTAMP '2024-01-31 00:29:00' AS hi),
+_RANGE = """RANGE_MIN AS (SELECT date_trunc('minute', min(ts)) - INTERVAL 30 MINUTE AS lo,
+              date_trunc('minute', max(ts)) + INTERVAL 30 MINUTE AS hi FROM events),
 expected AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS minute FROM RANGE_MIN),
 arrived AS (SELECT DISTINCT CASE WHEN user_id % 2 = 0 THEN 'apt_a' ELSE 'apt_b' END AS apartment,
             date_trunc('minute', ts) AS minute FROM events)"""
@@ -468,8 +513,7 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, o
     events = adapters.table(spark, sf_dir, "events")
     apartment = F.when(F.col("user_id") % 2 == 0, "apt_a").otherwise("apt_b").alias("apartment")
     arrivals = events.select(apartment, F.col("ts").cast("timestamp").alias("timestamp"))
-    start = F.lit("2023-12-31 23:30:00").cast("timestamp")
-    end = F.lit("2024-01-31 00:29:00").cast("timestamp")
+    start, end = gaps.observed_range(arrivals, around=30)
     return arrivals, spark.createDataFrame([("apt_a",), ("apt_b",)], "apartment string"), start, end
 
 
@@ -611,43 +655,3 @@ def conditional_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     meteo = adapters.readings(spark, sf_dir).filter(F.col("sensor_type") == "meteo")
     fields = {name: name for name in ("temperature_c", "co2_ppm", "noise_db")}
     return rounded(facts.pivot_fields(meteo, ["apartment", "room", "timestamp"], fields))
-
-
-_HOURS_26, _HOURS_36, _HOURS_48 = 26 * 3600, 36 * 3600, 48 * 3600
-_FRESH = {
-    "energy": ("fact_energy_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
-    "environment": ("fact_environment_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
-    "presence": ("fact_presence_minute JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_26, 7),
-    "device health": ("fact_device_health_day JOIN dim_date USING (date_key)", "CAST(max(date) AS TIMESTAMP)", _HOURS_26, 7),
-    "weather": ("fact_weather_hour JOIN dim_datetime USING (datetime_key)", "max(timestamp_utc)", _HOURS_36, 14),
-    "motion predictions": ("(SELECT 1)", "CAST(NULL AS TIMESTAMP)", _HOURS_48, 14),
-    "consumption predictions": ("(SELECT 1)", "CAST(NULL AS TIMESTAMP)", _HOURS_48, 14),
-}
-
-
-@query(
-    oracles.over_star(
-        """SELECT source, latest, epoch(TIMESTAMP '2024-02-01') - epoch(latest) AS age_seconds,
-             CASE WHEN latest IS NULL THEN 'no data' WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < ok THEN 'ok'
-                  WHEN epoch(TIMESTAMP '2024-02-01') - epoch(latest) < days * 86400 THEN 'warn' ELSE 'fail' END AS status
-           FROM ("""
-        + " UNION ALL ".join(
-            f"SELECT '{source}' AS source, {latest} AS latest, {ok} AS ok, {days} AS days FROM {rows}"
-            for source, (rows, latest, ok, days) in _FRESH.items()
-        )
-        + ")"
-    )
-)
-def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest row, age and status of every gold source; predictions were not made yet."""
-    minutes = {
-        "energy": "fact_energy_minute", "environment": "fact_environment_minute", "presence": "fact_presence_minute"
-    }
-    star = adapters.star(spark, sf_dir, *minutes.values(), "fact_device_health_day", "fact_weather_hour")
-    sources = {name: (star[table], "datetime_key", schemas.FRESHNESS_SENSORS) for name, table in minutes.items()}
-    sources["device health"] = (star["fact_device_health_day"], "date_key", schemas.FRESHNESS_SENSORS)
-    sources["weather"] = (star["fact_weather_hour"], "datetime_key", schemas.FRESHNESS_WEATHER)
-    for name, schema in (("motion", schemas.PREDICTION_MOTION), ("consumption", schemas.PREDICTION_CONSUMPTION)):
-        none = spark.createDataFrame([], schema)
-        sources[f"{name} predictions"] = (none, "prediction_made_at", schemas.FRESHNESS_PREDICTIONS)
-    return freshness.freshness(sources, F.lit(adapters.NOW).cast("timestamp"))

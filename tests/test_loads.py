@@ -31,18 +31,18 @@ def spoil(folder):
     return len(spoilt)
 
 
-def test_a_tick_reads_the_touched_days_of_the_manifest_only(lake, tmp_path):
+def test_a_tick_reads_the_touched_periods_of_the_manifest_only(lake, tmp_path):
     for day in range(3):
         put(tmp_path / "old", AT + timedelta(days=day))
     lakes.load_new_sensors(lake, str(tmp_path / "old"), NOW)
     stored = tmp_path / "lake" / lakes.SENSOR_MANIFEST
-    assert sorted(p.name for p in stored.iterdir() if p.is_dir()) == [f"day=2024-01-0{d}" for d in (1, 2, 3)]
-    assert spoil(stored / "day=2024-01-01") and spoil(stored / "day=2024-01-02")
+    assert sorted(p.name for p in stored.iterdir() if p.is_dir()) == [f"period=2024-01-0{d}" for d in (1, 2, 3)]
+    assert spoil(stored / "period=2024-01-01") and spoil(stored / "period=2024-01-02")
     put(tmp_path / "new", AT + timedelta(days=2))
     put(tmp_path / "new", AT + timedelta(days=2, minutes=1))
     put(tmp_path / "new", AT + timedelta(days=3))
     lakes.load_new_sensors(lake, str(tmp_path / "new"), NOW)
-    days = lake.manifest().filter(F.col("day") >= datetime(2024, 1, 3))
+    days = lake.manifest().filter(F.col("period") >= datetime(2024, 1, 3))
     assert sorted(r.filename for r in days.collect()) == sorted(
         file_name(AT + delta, "Alpha") for delta in (timedelta(days=2), timedelta(days=2, minutes=1), timedelta(days=3))
     )
@@ -52,18 +52,18 @@ def test_names_without_a_day_are_marked_once(lake, tmp_path):
     frame = lake.spark.createDataFrame([("x.json",), ("Pred_2024-13-01.csv",), ("x.json.gz",)], "name string")
     for _ in range(2):
         lakes._mark_done(lake, frame, lakes.SENSOR_MANIFEST, NOW)
-    assert sorted((r.filename, r.day) for r in lake.manifest().collect()) == [("Pred_2024-13-01.csv", None), ("x.json", None)]
+    assert sorted((r.filename, r.period) for r in lake.manifest().collect()) == [("Pred_2024-13-01.csv", None), ("x.json", None)]
     lakes._mark_done(lake, frame.filter("false"), lakes.WEATHER_MANIFEST, NOW)
     assert lake.manifest(lakes.WEATHER_MANIFEST).count() == 0
 
 
-def test_crowded_days_are_packed(spark, tmp_path):
-    path, schema = str(tmp_path / "t"), "name string, day date"
+def test_crowded_periods_are_packed(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "name string, period date"
     for n in range(9):
         rows = [(f"a{n}", AT.date()), (f"b{n}", None)] + ([("c", NOW.date())] if n == 0 else [])
-        tables.append_by_day(spark.createDataFrame(rows, schema).coalesce(1), path, "day", most=3)
+        tables.append_by_period(spark.createDataFrame(rows, schema).coalesce(1), path, "period", most=3)
     files_of = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").iterdir() if p.is_dir()}
-    assert set(files_of) == {"day=2024-01-01", "day=2024-03-01", "day=__HIVE_DEFAULT_PARTITION__"}
+    assert set(files_of) == {"period=2024-01-01", "period=2024-03-01", "period=__HIVE_DEFAULT_PARTITION__"}
     assert max(files_of.values()) <= 4
     names = [r.name for r in spark.read.schema(schema).parquet(path).collect()]
     assert sorted(names) == sorted([f"{c}{n}" for c in "ab" for n in range(9)] + ["c"])
