@@ -17,12 +17,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hearthlake import session
 from hearthlake.functions import calendar
 from hearthlake.schemas import PREDICTION_KEY
-from hearthlake.sources import tables
+from hearthlake.sources import publish, tables
 
 HOUR, DAY = 3600, 86400
 LAGS = {"15m": 900, "1h": HOUR, "24h": DAY}
@@ -85,6 +86,19 @@ def _inputs(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns({f"in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
 
 
+def _reloaded(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as it would be read from storage, without the summary of its training.
+
+    The summary refers to the session, which tasks cannot be sent any more once a load has counted its rows.
+    """
+    path = session.new_path(spark, "model")
+    model.save(path)
+    try:
+        return PipelineModel.load(path)
+    finally:
+        publish.Folder(spark, path).delete(path.rsplit("/", 1)[0])
+
+
 def _fit(rows: DataFrame, columns: list[str], label: str, estimator) -> PipelineModel:
     known = _inputs(rows.filter(F.col(label).isNotNull()), columns).withColumn("label", F.col(label).cast("double"))
     stages = [
@@ -92,7 +106,7 @@ def _fit(rows: DataFrame, columns: list[str], label: str, estimator) -> Pipeline
         StandardScaler(inputCol="raw", outputCol="features"),
         estimator,
     ]
-    return Pipeline(stages=stages).fit(known)
+    return _reloaded(Pipeline(stages=stages).fit(known), rows.sparkSession)
 
 
 def fit_occupancy(rows: DataFrame) -> PipelineModel:
