@@ -2,14 +2,14 @@
 
 Texts are compared as lower-cased words joined by one space. An item of n characters may occur with up to
 ``error_rate * n`` edits; cut into one piece more than that, at least one piece occurs unchanged. Pieces found in a
-text name the stretch in which the item could lie, and only those stretches are verified.
+text name the stretch in which the item could lie, and only those stretches are verified. Items of fewer than
+LEAST_CHARS characters have no budget and must stand there as whole words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hearthlake.llm import common
 
 ERROR_RATE = 0.05
-# Items whose normal form is shorter say too little to be recognised in a text.
+# Items whose normal form is shorter are looked for without edits, and only as whole words.
 LEAST_CHARS = 30
 # Characters of items that one automaton may hold; a larger benchmark is searched in several blocks.
 BLOCK_CHARS = 4_000_000
@@ -71,7 +71,7 @@ class Index:
         import ahocorasick
 
         self.items = items
-        self.errors = [int(len(t) * error_rate) for _, t in items]
+        self.errors = [int(len(t) * error_rate) if len(t) >= LEAST_CHARS else 0 for _, t in items]
         found: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text) in enumerate(items):
             for at, piece in pieces(text, self.errors[i]):
@@ -88,10 +88,14 @@ class Index:
         repeats costs one verification per place, and a found item is not looked for again unless it can get closer.
         """
         diagonals: dict[int, list[int]] = {}
+        words: set[int] = set()
         for end, (size, places) in self.automaton.iter(text):
             for i, at in places:
-                diagonals.setdefault(i, []).append(end + 1 - size - at)
-        out = []
+                if len(self.items[i][1]) >= LEAST_CHARS:
+                    diagonals.setdefault(i, []).append(end + 1 - size - at)
+                elif text[end - size : end - size + 1] in ("", " ") and text[end + 1 : end + 2] in ("", " "):
+                    words.add(i)
+        out = [(i, 0) for i in sorted(words)]
         for i, starts in diagonals.items():
             pattern, errors = self.items[i][1], self.errors[i]
             best: int | None = None
@@ -110,58 +114,63 @@ class Index:
         return out
 
 
-def blocks_of(benchmark: DataFrame, error_rate: float, block_chars: int) -> Iterator[Index]:
+def blocks_of(benchmark: DataFrame, block_chars: int, with_id: bool) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of bounded size, streamed through the driver one block at a time; equal items once each."""
-    held: list[tuple[int, str]] = []
+    held: list[tuple[int | None, str]] = []
     size = 0
-    for row in benchmark.select("item_id", common.text_of(benchmark).alias("text")).distinct().toLocalIterator():
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id") if with_id else F.lit(None).cast("long").alias("item_id"), common.text_of(benchmark).alias("text"))
+    rows = rows.filter("item_id IS NOT NULL") if with_id else rows
+    for row in rows.distinct().toLocalIterator():
         text = normal(row["text"])
-        if len(text) < LEAST_CHARS or row["item_id"] is None:
+        if not text:
             continue
         if held and size + len(text) > block_chars:
-            yield Index(held, error_rate)
+            yield held
             held, size = [], 0
         held.append((row["item_id"], text))
         size += len(text)
     if held:
-        yield Index(held, error_rate)
+        yield held
 
 
 def find(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of ``docs`` and item that it contains: doc_id, item_id, distance (the least, in edits).
+    """One row per row of ``docs`` and item that it contains: doc_id, item_id, distance (the least, in edits), short.
 
     Each block of items is broadcast, at most ``block_chars`` characters, and meets every text whole; texts are never
-    shuffled. Null and empty texts contain nothing; items that are null, without id or shorter than LEAST_CHARS in
-    normal form are not searched; an item that is listed twice is reported once per id. No rows give no rows.
+    shuffled. Null and empty texts contain nothing. ``short`` tells items of fewer than LEAST_CHARS characters in normal
+    form, found as whole words without edits. Items without words stand in no text, items without id cannot be named
+    here (:func:`clean` heeds them); an item that is listed twice is reported once per id. No rows give no rows.
     """
     spark = docs.sparkSession
+    schema = "doc_id long, item_id long, distance int, short boolean"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
-    found = [spark.createDataFrame([], "doc_id long, item_id long, distance int")]
-    for index in blocks_of(benchmark, error_rate, block_chars):
-        shared = spark.sparkContext.broadcast((index.items, error_rate))
+    found = [spark.createDataFrame([], schema)]
+    for items in blocks_of(benchmark, block_chars, True):
+        shared = spark.sparkContext.broadcast((items, error_rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = Index(*shared.value)
             for batch in batches:
                 for part in common.steps(batch):
-                    hits = [(d, own.items[i][0], n) for d, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True) for i, n in own.search(normal(t))]
+                    hits = [(d, own.items[i][0], n, len(own.items[i][1]) < LEAST_CHARS) for d, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True) for i, n in own.search(normal(t))]
                     if hits:
-                        ids, items, distances = zip(*hits, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(items, pa.int64()), pa.array(np.array(distances, np.int32))], ["doc_id", "item_id", "distance"])
+                        ids, named, distances, short = zip(*hits, strict=True)
+                        columns = [pa.array(ids, pa.int64()), pa.array(named, pa.int64()), pa.array(distances, pa.int32()), pa.array(short, pa.bool_())]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "distance", "short"])
 
-        found.append(rows.mapInArrow(run, "doc_id long, item_id long, distance int"))
+        found.append(rows.mapInArrow(run, schema))
     return common.union_all(found)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns.
+    """The rows of ``docs`` that contain no item, with all their columns; items need no id, short ones count as in :func:`find`.
 
     Rows are judged in place, so equal or null ids need no join and nothing is shuffled.
     """
     spark = docs.sparkSession
     out = docs
-    for index in blocks_of(benchmark, error_rate, block_chars):
-        shared = spark.sparkContext.broadcast((index.items, error_rate))
+    for items in blocks_of(benchmark, block_chars, False):
+        shared = spark.sparkContext.broadcast((items, error_rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = Index(*shared.value)

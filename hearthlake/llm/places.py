@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthlake.llm import common
@@ -25,12 +25,23 @@ Places = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and key, a 64-bit name of the text: equal texts have equal results, whatever their ids."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of(docs).alias("text")).withColumn("key", F.xxhash64("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of(docs).alias("text")).withColumn("key", name_of(F.col("text")))
+
+
+def name_of(text: Column) -> Column:
+    """64 bits that name a text in this run; the number in front is drawn per run, so no text can be written to collide."""
+    return F.xxhash64(F.lit(common.run_base()), text)
 
 
 def one_text(rows: DataFrame) -> DataFrame:
-    """One row per key with its number of copies; they are merged before the shuffle too, so no text is a hot key."""
-    return rows.groupBy("key").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    """One row per key with its number of copies; they are merged before the shuffle too, so no text is a hot key.
+
+    Two texts with one key differ in a second name; they end the job, whose next run draws other names.
+    """
+    second = F.xxhash64(F.lit(-common.run_base()), "text")
+    merged = rows.groupBy("key").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"), F.min(second).alias("low"), F.max(second).alias("high"))
+    twice = F.raise_error(F.lit("two texts have one name; run again")).cast("string")
+    return merged.select("key", F.when(F.col("low") == F.col("high"), F.col("text")).otherwise(twice).alias("text"), "copies")
 
 
 def _pack(at: np.ndarray) -> bytes:

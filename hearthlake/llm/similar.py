@@ -43,20 +43,43 @@ class Plan:
     def similarity(self) -> float:
         return self.numerator / self.denominator
 
-    def found_by_one_run(self) -> float:
-        """Chance that a pair at the threshold stays together on some path of full depth."""
+    def lost_by_branch(self) -> float:
+        """Chance that a pair at the threshold is parted on all paths of full depth that begin with one branch of a root."""
         alive, twice = 1.0, 1 / self.similarity - 1
-        for _ in range(self.depth):
+        for _ in range(self.depth - 1):
             miss = 1 - self.similarity * alive
             alive = 1 - ((1 - twice) * miss + twice * miss * miss)
-        return alive
+        return 1 - self.similarity * alive
+
+    def lost(self, runs: int) -> float:
+        """Chance that a pair at the threshold is missed: by every branch that the roots really have, or by the signatures."""
+        branches = runs + int(_second(_here(np.arange(1, runs + 1, dtype=np.uint64)), self).sum())
+        return self.lost_by_branch() ** branches + self.lost_by_sketch()
 
     def runs(self) -> int:
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.found_by_one_run()))
+        runs = 1
+        while self.lost(runs) > 1 - self.recall:
+            runs += 1
+        return runs
 
     def sketch_threshold(self) -> float:
-        """Agreement below which a pair cannot be similar but with a chance of about one in 10,000."""
-        return self.similarity - 3.7 * math.sqrt(self.similarity * (1 - self.similarity) / POSITIONS)
+        """Agreement below which a pair is not looked at: five deviations under the similarity."""
+        return self.similarity - 5 * math.sqrt(self.similarity * (1 - self.similarity) / POSITIONS)
+
+    def lost_by_sketch(self) -> float:
+        """Chance that a pair at the threshold agrees in fewer positions."""
+        s = self.similarity
+        return sum(math.comb(POSITIONS, k) * s**k * (1 - s) ** (POSITIONS - k) for k in range(math.ceil(self.sketch_threshold() * POSITIONS)))
+
+
+def _here(parent: np.ndarray) -> np.ndarray:
+    """What a node draws its positions from."""
+    return common.mix(parent ^ SEED)
+
+
+def _second(here: np.ndarray, plan: Plan) -> np.ndarray:
+    """Which nodes sample a second position."""
+    return (common.mix(here) >> np.uint64(11)).astype(np.float64) / 2**53 < 1 / plan.similarity - 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +150,6 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _children(plan: Plan, rows: DataFrame, runs: int | None = None) -> DataFrame:
     """path and node of every child that a set is sent to; with ``runs``, from the root of each run."""
-    twice = 1 / plan.similarity - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,11 +158,10 @@ def _children(plan: Plan, rows: DataFrame, runs: int | None = None) -> DataFrame
             signed = common.matrix(batch.column("signature"), "<u2", POSITIONS)
             parents = [np.full(batch.num_rows, r + 1, np.uint64) for r in range(runs)] if runs else [batch.column("path").to_numpy().view(np.uint64)]
             for parent in parents:
-                here = common.mix(parent ^ SEED)
+                here = _here(parent)
                 picks = [(here % np.uint64(POSITIONS)).astype(np.int64)]
                 picks.append((picks[0] + 1 + (here >> np.uint64(20)) % np.uint64(POSITIONS - 1)).astype(np.int64) % POSITIONS)
-                second = (common.mix(here) >> np.uint64(11)).astype(np.float64) / 2**53 < twice
-                for pick, use in zip(picks, (np.ones(len(here), bool), second), strict=True):
+                for pick, use in zip(picks, (np.ones(len(here), bool), _second(here, plan)), strict=True):
                     rows_used = np.flatnonzero(use)
                     value = signed[rows_used, pick[use]].astype(np.uint64)
                     path = common.mix(here[use] ^ common.mix(value << np.uint64(8) | pick[use].astype(np.uint64)))
@@ -243,7 +264,7 @@ def exact_links(values: np.ndarray, at: np.ndarray, plan: Plan) -> np.ndarray:
 
 def verified(docs: DataFrame, sets: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
     """Rows (node, links, root): links found in one pair of blocks, and the least node it is connected with there."""
-    inside = sets.join(labels, "node").select("node", "label", "size", "copies", "text_key")
+    inside = sets.join(labels, "node").select("node", "label", "size", "copies", "row.text_key", "row.doc")
     total = inside.groupBy("label").agg(F.sum("size").alias("all"), F.count(F.lit(1)).alias("n"))
     blocks = F.greatest(F.ceil(F.col("all") / plan.block_shingles), F.ceil(F.col("n") / (plan.block // 4)))
     inside = inside.join(total, "label").withColumn("g", blocks).drop("all", "n", "size")
@@ -254,8 +275,9 @@ def verified(docs: DataFrame, sets: DataFrame, labels: DataFrame, plan: Plan) ->
         keep = ["node", "label", "copies", "g"]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sets_out, pa.binary())], [*keep, "shingles"])
 
-    # Copies of a text all match its key; one of them is cut into shingles.
-    texts = one_per_key(keyed(docs).select("text_key", "text").join(inside, "text_key"), ["node"], [F.col("text_key")])
+    # A set names one row with its text, so copies have keys of their own; rows that agree in both are one again after it.
+    rows = keyed(docs).select("text_key", F.coalesce("doc_id", F.lit(-1)).alias("doc"), "text")
+    texts = one_per_key(rows.join(inside, ["text_key", "doc"]), ["node"], [F.col("text_key")])
     cut_sets = common.mapped(texts, cut, "node binary, label binary, copies long, g long, shingles binary")
     dealt = blocked(cut_sets.withColumn("group", F.xxhash64("label")), "group", F.col("g"))
 
@@ -294,7 +316,7 @@ def _solved(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
         embedded = common.materialise(embed(docs, plan), "signatures")
         rows = common.materialise(embedded.select("doc_id", "text_key", "node", "size"), "nodes", keep=True)
         sets = embedded.filter("size > 0").groupBy("node").agg(
-            F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("signature").alias("signature")
+            F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_doc"), F.min(F.struct("text_key", F.coalesce("doc_id", F.lit(-1)).alias("doc"))).alias("row"), F.first("size").alias("size"), F.first("signature").alias("signature")
         )
         sets = common.materialise(sets, "sets")
         labels = common.components(candidate_edges(sets, plan))
@@ -331,8 +353,10 @@ def one_per_class(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     chosen = texts.groupBy("label").agg(first)
     others = texts.join(chosen, "label").filter("text_key != first.text_key").select(F.col("text_key").alias("__text_key"))
     text = common.text_of(docs)
-    rows = docs.withColumn("__text_key", F.md5(text.cast("binary"))).join(others, "__text_key", "left_anti")
+    rows = docs.withColumn("__text_key", F.md5(text.cast("binary")))
     worded = F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]"))
     order = [F.col("doc_id").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")]
-    kept = one_per_key(rows.filter(worded), ["__text_key"], order).unionByName(rows.filter(~worded))
+    # The copies of a text come down to one per task before they are shuffled; only then other texts of a class go.
+    one = one_per_key(rows.filter(worded), ["__text_key"], order).join(others, "__text_key", "left_anti")
+    kept = one.unionByName(rows.filter(~worded))
     return kept.select(*docs.columns)

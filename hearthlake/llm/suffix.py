@@ -495,10 +495,10 @@ def cut_repeats(docs: DataFrame, length: int = 200, crowd: tuple[int, int] = CRO
 
     What is left of a character that is cut in two goes as well. Rows of which nothing is left go, rows that were null
     or empty stay. Rows that nothing is taken from are unchanged.
+    Own columns may have any name but __key and __kept.
     """
-    kept = _per_text(places.keyed(docs), length, True, crowd).filter("n_removed > 0").select("key", F.col("kept").alias("__kept"))
-    text = common.text_of(docs)
-    joined = docs.withColumn("key", F.xxhash64(text)).join(kept, "key", "left").filter("__kept IS NULL OR __kept != ''")
+    kept = _per_text(places.keyed(docs), length, True, crowd).filter("n_removed > 0").select(F.col("key").alias("__key"), F.col("kept").alias("__kept"))
+    joined = docs.withColumn("__key", places.name_of(common.text_of(docs))).join(kept, "__key", "left").filter("__kept IS NULL OR __kept != ''")
     joined = joined.withColumn("text", F.coalesce("__kept", "text"))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

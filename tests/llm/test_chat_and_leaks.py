@@ -78,26 +78,27 @@ def test_bit_parallel_distance():
 def test_finds_edited_items_and_nothing_else(spark, block_chars):
     r = random.Random(7)
     item = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(20))
-    items = [(i, item()) for i in range(6)] + [(6, None), (7, ""), (8, "too short"), (None, item())]
+    items = [(i, item()) for i in range(6)] + [(6, None), (7, ""), (8, "too  short"), (9, "a"), (None, item()), (None, "no id")]
     docs = [(n, f"{item()} {item()}") for n in range(20)]
     for n in range(40):
         chars = list(items[n % 6][1])
         for _ in range(r.randint(0, int(len(chars) * 0.09))):
             chars[r.randrange(len(chars))] = r.choice("abcdefghijXY")
         docs.append((100 + n, f"{item()}\n{''.join(chars).upper()}  {item() * (n % 3)}"))
+    docs += [(210, "Too\nShort"), (211, "it is too short, a"), (212, "too shortened"), (213, "x too short"), (214, "has no id"), (215, "has no idea"), (216, items[10][1])]
     docs += [(200, None), (201, ""), (202, items[0][1]), (202, items[0][1]), (None, items[1][1]), (203, " ".join(t for _, t in items[:3]))]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items + items[:1]], "item_id long, text string, doc_id string")
     want = []
     for d, t in docs:
         for i, p in items:
-            p = decontaminate.normal(p)
-            if i is not None and len(p) >= decontaminate.LEAST_CHARS:
-                n = plain_distance(p, decontaminate.normal(t))
-                if n <= int(len(p) * decontaminate.ERROR_RATE):
-                    want.append((d, i, n))
+            p, t = decontaminate.normal(p), decontaminate.normal(t)
+            short = len(p) < decontaminate.LEAST_CHARS
+            n = plain_distance(p, t) if p and not short else 0 if p and f" {p} " in f" {t} " else None
+            if n is not None and n <= int(len(p) * decontaminate.ERROR_RATE):
+                want.append((d, i, n, short))
     found = decontaminate.find(frame(spark, docs), benchmark, block_chars=block_chars)
-    assert rows_of(found, "doc_id", "item_id", "distance") == sorted(want, key=str)
-    leaked = {d for d, _, _ in want}
+    assert rows_of(found, "doc_id", "item_id", "distance", "short") == sorted([w for w in want if w[1] is not None], key=str)
+    leaked = {d for d, *_ in want}
     kept = decontaminate.clean(frame(spark, docs), benchmark, block_chars=block_chars)
     assert kept.columns == frame(spark, docs).columns
     assert rows_of(kept, "doc_id") == sorted(((d,) for d, _ in docs if d not in leaked), key=str)
