@@ -153,3 +153,23 @@ def test_expectation_maximisation_finds_accuracies():
     assert found.prior == pytest.approx(0.8, abs=0.03)
     assert np.abs(found.table - table).max() < 0.06
     assert rules.weigh([], np.array([]), made).posterior == {}
+
+
+def test_quality_scores_in_a_worker_without_the_base(spark, monkeypatch):
+    """A fresh Python worker has no hash base until the task takes over the driver's."""
+    docs, labels = labelled(60)
+    docs_frame = frame(spark, docs)
+    tasks = []
+    real = type(docs_frame).mapInArrow
+
+    def spy(self, function, schema, *args, **kwargs):
+        tasks.append(function)
+        return real(self, function, schema, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs_frame), "mapInArrow", spy)
+    quality.score(docs_frame, label_frame(spark, labels))
+    monkeypatch.setitem(common._RUN, "base", 0)
+    row = {c: [v] for c, v in zip(docs_frame.columns, (7, "ab ab ab\nx\nx", "s", 1, "l", 2), strict=True)}
+    batch = pa.RecordBatch.from_pydict({**row, "__text": row["text"]})
+    out = list(tasks[-1](iter([batch])))
+    assert out[0].num_rows == 1 and 0 <= out[0].column("score")[0].as_py() <= 1
