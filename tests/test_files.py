@@ -171,3 +171,15 @@ def test_jobs_leave_no_intermediate_tables(spark, tmp_path, lake):
 @pytest.mark.parametrize("reader", [sensors.read_sensor_files, weather.read_weather_files])
 def test_a_folder_without_files(spark, tmp_path, reader):
     assert reader(spark, str(tmp_path)).count() == 0
+
+
+def test_one_file_per_row_is_written_by_many_tasks(spark, tmp_path):
+    from hearthlake.workload import silver_queries
+
+    rows = spark.createDataFrame([(i, f"n{i}") for i in range(40)], "k long, value string").coalesce(1)
+    root = str(tmp_path / "landing")
+    silver_queries.one_task_each(rows.select("value")).write.option("maxRecordsPerFile", 1).text(root)
+    written = [p for p in os.listdir(root) if p.startswith("part-")]
+    assert len(written) == 40
+    assert len({p.split("-")[1] for p in written}) > 1
+    assert sorted(r.value for r in spark.read.text(root).collect()) == sorted(f"n{i}" for i in range(40))
