@@ -21,7 +21,7 @@ def described(files: DataFrame) -> DataFrame:
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """One row (path, name, bytes, modified) per file below ``root``; contents are not read."""
-    return described(text_files.open_files(spark, root, glob))
+    return described(text_files.listed_files(spark, root, glob))
 
 
 def named_day(name: Column) -> Column:
