@@ -123,3 +123,42 @@ def test_bronze_footprint_writes_one_file_per_customer(spark, tmp_path, monkeypa
     assert written == collections.Counter((f"source=src{r[0] % 3}", ".txt", f"{r[1] or ''}\n".encode()) for r in rows)
     assert not list((tmp_path / "landing").rglob("*.crc"))  # no process per file, which Hadoop's client would start
     assert "bronze_footprint" in entry.queries()
+
+
+@pytest.mark.parametrize("glob", [sensors.PAYLOAD_GLOB, "*"])
+@pytest.mark.parametrize("most", [(4 * 2**20, 1000), (8, 3)])
+def test_texts_are_those_of_sparks_file_source(spark, tmp_path, glob, most, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", most[0])
+    monkeypatch.setattr(files, "BATCH_FILES", most[1])
+    odd_tree(tmp_path)
+    own, theirs = files.read_text_files(spark, str(tmp_path), glob), files.texts(files.open_files(spark, str(tmp_path), glob))
+    assert own.schema == theirs.schema
+    assert sorted(own.collect(), key=str) == sorted(theirs.collect(), key=str)
+    assert {r.file_error for r in own.collect()} == {None, "not UTF-8 text", "truncated gzip file"}
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path, small_shares):
+    for i in range(100):
+        (tmp_path / f"{i}.json").write_text(f'{{"i": {i}}}')
+    read = sensors.read_sensor_files(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() <= 16
+    assert {(r.name, r.value) for r in read.collect()} == {(f"{i}.json", f'{{"i": {i}}}') for i in range(100)}
+
+
+def test_another_file_system_is_read_by_spark(spark, tmp_path):
+    (tmp_path / "a.json").write_text("{}")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.texts.link./in", f"file://{tmp_path}")
+    assert [(r.path, r.value) for r in sensors.read_sensor_files(spark, "viewfs://texts/in").collect()] == [("viewfs://texts/in/a.json", "{}")]
+
+
+def test_sensor_json_scan_writes_one_file_per_customer(spark, tmp_path, monkeypatch):
+    rows = customers(spark, tmp_path)
+    monkeypatch.setattr(session, "new_path", lambda spark, name: str(tmp_path / name))
+    found = {r.apartment: (r.files, r.total) for r in silver_queries.sensor_json_scan(spark, str(tmp_path)).collect()}
+    expected = {f"apt_{a}": [r for r in rows if r[0] % 2 == k] for k, a in enumerate("ab")}
+    assert found == {k: (len(v), sum(int(r[2] * 100) for r in v if r[2] is not None)) for k, v in expected.items()}
+    written = by_folder(tmp_path / "json_files")
+    assert sum(written.values()) == len(rows)
+    assert written[("apartment=apt_b", ".json", b'{"reading":{"c_custkey":1,"value":0.25}}\n')] == 2
+    assert written[("apartment=apt_b", ".json", b'{"reading":{"c_custkey":7}}\n')] == 2
+    assert not list((tmp_path / "json_files").rglob("*.crc"))
